@@ -12,6 +12,12 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.pmod("a", F.lit(1_000_003))), F.expr("bit_xor(xxhash64(a, b))")).first())
 
 
+def _named(stars: DataFrame) -> DataFrame:
+    """Every id with its component, the smallest id with itself."""
+    least = stars.select(F.col("b").alias("id")).distinct()
+    return stars.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(least.withColumn("component", F.col("id")))
+
+
 def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(a, b) links of longs -> (id, component) for every id that has a link to another; component is the smallest id reachable.
 
@@ -23,7 +29,7 @@ def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     e = materialise(e, "links")
     before = _digest(e)
     if not before[0]:
-        return e.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        return _named(e)
     for _ in range(most_rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -33,6 +39,6 @@ def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         e = materialise(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "links")
         now = _digest(e)
         if now == before:
-            return e.select(F.col("a").alias("id"), F.col("b").alias("component"))
+            return _named(e)
         before = now
     raise RuntimeError("components did not settle")

@@ -25,6 +25,12 @@ def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op2_sorted_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embed_dedup import dedup_embeddings
+
+    return dedup_embeddings(_read(spark, sf_dir, "embeddings"))
+
+
 def op3_power_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -62,6 +68,12 @@ def op6_chat_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"), "valid")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import jaccard_components
+
+    return jaccard_components(_read(spark, sf_dir, "documents"))
+
+
 def op8_weighted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import filter_urls
 
@@ -76,7 +88,7 @@ def op10_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_attention_quality, op3_power_packing, op4_stream_files, op5_multinomial_mix, op6_chat_machine, op8_weighted_urls, op10_boosted_rules)}
+    return {f.__name__: f for f in (op1_attention_quality, op2_sorted_passes, op3_power_packing, op4_stream_files, op5_multinomial_mix, op6_chat_machine, op7_jaccard_join, op8_weighted_urls, op10_boosted_rules)}
 
 
 def _op6_sql() -> str:
