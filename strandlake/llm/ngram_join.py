@@ -238,6 +238,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, all columns, that are the smallest of their component; of rows with the same id, one stays."""
-    kept = jaccard_components(docs, n, percent).where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id").dropDuplicates(["doc_id"])
+    """The documents, all columns, that are the smallest of their component. doc_id is a key: of rows that share one, one
+    stays. Rows with a null doc_id cannot be named and stay as they are."""
+    named = docs.where("doc_id is not null")
+    kept = jaccard_components(named, n, percent).where("doc_id = component_id").select("doc_id").distinct()
+    return named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))

@@ -154,6 +154,18 @@ def fit_rules(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     return fit_forest(found[list(FEATURES)].to_numpy(float), found["y"].to_numpy(int), list(FEATURES.values()))
 
 
+def judge_texts(texts: pa.Array, forest: Forest, keep: float = KEEP, min_words: int = 50, max_repeat: int = 50) -> tuple:
+    """(base statistics, base_failed, score, kept) of a string column."""
+    base, x = statistics(texts)
+    score = forest.probability(x)
+    failed = (base[:, 0] < min_words) | (100 * base[:, 4] > max_repeat * base[:, 0])
+    return base, failed, score, ~failed & (score >= keep)
+
+
+def passes(texts: pa.Array, forest: Forest, keep: float = KEEP) -> np.ndarray:
+    return judge_texts(texts, forest, keep)[3]
+
+
 def apply_rules(docs: DataFrame, forest: Forest, keep: float = KEEP, min_words: int = 50, max_repeat: int = 50) -> DataFrame:
     """(doc_id, the five base statistics, base_failed, score, kept) of every document.
 
@@ -166,9 +178,7 @@ def apply_rules(docs: DataFrame, forest: Forest, keep: float = KEEP, min_words:
     def judge(batches):
         for batch in batches:
             for a, b in slices(batch.column(1)):
-                base, x = statistics(batch.column(1)[a:b])
-                score = forest.probability(x)
-                failed = (base[:, 0] < min_words) | (100 * base[:, 4] > max_repeat * base[:, 0])
-                yield pa.record_batch([batch.column(0)[a:b], *[pa.array(base[:, j]) for j in range(5)], pa.array(failed), pa.array(score), pa.array(~failed & (score >= keep))], names=schema.names)
+                base, failed, score, kept = judge_texts(batch.column(1)[a:b], forest, keep, min_words, max_repeat)
+                yield pa.record_batch([batch.column(0)[a:b], *[pa.array(base[:, j]) for j in range(5)], pa.array(failed), pa.array(score), pa.array(kept)], names=schema.names)
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(judge, schema)

@@ -80,6 +80,13 @@ def op8_weighted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_read(spark, sf_dir, "pages"))
 
 
+def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .backoff_lm import backoff_scores
+
+    scored = backoff_scores(_read(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 def op10_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import apply_rules, fit_rules
 
@@ -88,7 +95,7 @@ def op10_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_attention_quality, op2_sorted_passes, op3_power_packing, op4_stream_files, op5_multinomial_mix, op6_chat_machine, op7_jaccard_join, op8_weighted_urls, op10_boosted_rules)}
+    return {f.__name__: f for f in (op1_attention_quality, op2_sorted_passes, op3_power_packing, op4_stream_files, op5_multinomial_mix, op6_chat_machine, op7_jaccard_join, op8_weighted_urls, op9_stupid_backoff, op10_boosted_rules)}
 
 
 def _op6_sql() -> str:
@@ -135,5 +142,19 @@ c as (select *, {count(STRICT)} as n_strict, {count(SOFT)} as n_soft from b)
 select page_id, host, path, {rule} as rule, {verdict} as verdict, n_strict, n_soft from c"""
 
 
+def _op9_sql() -> str:
+    return r"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+w as (select r, unnest(ws) as w, generate_subscripts(ws, 1) as i from d),
+g as (select r, i, w, lag(w) over (partition by r order by i) as v from w),
+one as (select w, count(*) as c from g group by w),
+two as (select v, w, count(*) as c from g where v is not null group by v, w),
+n as (select cast(count(*) as double) as n from g),
+s as (select g.r, case when two.c >= 2 then ln(two.c / cast(h.c as double)) when g.v is null then ln(one.c / n.n) else ln(0.4) + ln(one.c / n.n) end as s
+  from g join one on g.w = one.w left join two on g.v = two.v and g.w = two.w left join one h on g.v = h.w cross join n),
+t as (select r, sum(s) as s from s group by r)
+select doc_id, cast(len(ws) as bigint) as n_words, round(coalesce(s, 0), 4) as log_score, round(s / nullif(len(ws), 0), 6) as mean_log_score from d left join t using (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_machine": _op6_sql(), "op8_weighted_urls": _op8_sql()}
+    return {"op6_chat_machine": _op6_sql(), "op8_weighted_urls": _op8_sql(), "op9_stupid_backoff": _op9_sql()}
