@@ -167,12 +167,12 @@ def _sets(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 sets = shingle_sets(batch.column(1)[a:b], n)
-                cells = [np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).tolist() for s in sets]
-                yield pa.record_batch([batch.column(0)[a:b], pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(cells, pa.list_(pa.int32()))], names=["k", "s", "cells"])
+                cells = [np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype("<i4").tobytes() for s in sets]
+                yield pa.record_batch([batch.column(0)[a:b], pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(cells, pa.binary())], names=["k", "s", "cells"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), F.col("text").cast("string").alias("text"))
     met = classes.join(texts, "first_id").select("k", "text")
-    return materialise(met.mapInArrow(build, "k long, s binary, cells array<int>"), "sets")
+    return materialise(met.mapInArrow(build, "k long, s binary, cells binary"), "sets")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -181,20 +181,18 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def compare(batches):
         for batch in batches:
             good = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            for x, y, c, d in zip(*[batch.column(j) for j in range(2, 6)], strict=True):
+                p, q = np.frombuffer(c.as_buffer(), "<i4"), np.frombuffer(d.as_buffer(), "<i4")
+                if (100 + percent) * int(np.minimum(p, q).sum()) < percent * int(p.sum() + q.sum()):  # suffix filter
+                    good.append(False)
+                    continue
                 u, v = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
                 both = len(u) + len(v) - len(np.union1d(u, v))
                 good.append(100 * both >= percent * (len(u) + len(v) - both))
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    left = sets.select(F.col("k").alias("a"), F.col("cells").alias("ca"))
-    right = sets.select(F.col("k").alias("b"), F.col("cells").alias("cb"))
-    near = pairs.join(left, "a").join(right, "b")
-    total = lambda c: F.aggregate(c, F.lit(0), lambda x, y: x + y)
-    common = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    near = near.where((100 + percent) * common >= percent * (total("ca") + total("cb"))).select("a", "b").distinct()
-    whole = near.join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b")
-    return whole.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
+    left, right = (sets.select(F.col("k").alias(x), F.col("s").alias("s" + x), F.col("cells").alias("c" + x)) for x in "ab")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "ca", "cb").mapInArrow(compare, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
