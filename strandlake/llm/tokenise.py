@@ -9,8 +9,23 @@ from __future__ import annotations
 import re
 from array import array
 
+_OPEN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: The byte-level alphabet: printable bytes stand for themselves, the others follow from U+0100 on.
+_VISIBLE = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _OPEN)}
+
 #: Pieces in each of the two generations of the cache.
-GENERATION = 500_000
+GENERATION = 900_000
+
+
+def _gaps(parts: list) -> list[int]:
+    """Where parts holds None."""
+    out, i = [], -1
+    try:
+        while True:
+            i = parts.index(None, i + 1)
+            out.append(i)
+    except ValueError:
+        return out
 
 
 class PieceEncoder:
@@ -27,24 +42,43 @@ class PieceEncoder:
         self.tok.encode_special_tokens = True
         if self.tok.get_vocab_size() > 65_536:
             raise ValueError("ids do not fit 16 bits")
-        self.words = words
-        odd = r"[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ž]"
+        self.words, self.model = words, self.tok.model
+        letters = "A-Za-zÀ-ÖØ-öø-ž"
+        odd = rf"[^\t\n\r\x20-\x7e{letters}]|[\u0130\u0149]"
         self.odd = re.compile(odd if words else odd + r"|\x20\x20")
+        tails = "'(?:s|t|re|ve|m|ll|d)"
+        self.cut = re.compile(rf"{tails}|[{letters}]+|[0-9]|[^\s{letters}0-9]+" if words else rf"{tails}| ?[{letters}]+| ?[0-9]+| ?[^\s{letters}0-9]+|\s+(?!\S)|\s+")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("H", x.ids).tobytes() for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _parts(self, piece: str) -> list[str]:
+        """The pattern's parts of a piece, named like pieces."""
+        if self.words:
+            return self.cut.findall(piece.lower())
+        text = piece[1:] if piece[:1] == "\x00" else " " + piece
+        return [x[1:] if x[:1] == " " and len(x) > 1 else "\x00" + x for x in self.cut.findall(text)]
+
+    def _part(self, part: str) -> bytes:
+        """Ids of one part by the tokenizer's model."""
+        if (known := self.young.get(part)) is not None or (known := self.old.get(part)) is not None:
+            return known
+        text = part if self.words else part[1:] if part[:1] == "\x00" else " " + part
+        return array("H", [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(_VISIBLE))]).tobytes()
+
     def _learn(self, pieces: set[str]) -> None:
-        """A piece stands for itself with a space before it, or without one where it begins with \x00 (a text's first)."""
+        """A piece stands for itself with a space before it, or without one where it begins with \x00; with words, for itself."""
         if len(self.young) > GENERATION:
             self.young, self.old = {}, self.young
-        self.young.update((p, self.old[p]) for p in pieces if p in self.old)
-        new = [p for p in pieces if p not in self.young]
-        if new:
-            asked = new if self.words else [p[1:] if p[:1] == "\x00" else " " + p for p in new]
-            self.young.update(zip(new, self._whole(asked), strict=True))
+        for p in pieces:
+            known = self.old.get(p)
+            if known is None:
+                for part in (parts := self._parts(p)):
+                    self.young[part] = self._part(part)
+                known = b"".join([self.young[x] for x in parts])
+            self.young[p] = known
 
     def _pieces(self, text: str) -> list[str]:
         if self.words:
@@ -59,7 +93,7 @@ class PieceEncoder:
         rare = [t for t, ok in zip(texts, plain, strict=True) if t and not ok]
         whole = iter(self._whole(rare) if rare else [])
         found = [list(map(self.young.get, pieces)) for pieces in cut]
-        gaps = [[i for i, x in enumerate(parts) if x is None] if None in parts else [] for parts in found]
+        gaps = [_gaps(parts) for parts in found]
         if missing := {pieces[i] for pieces, gap in zip(cut, gaps, strict=True) for i in gap}:
             self._learn(missing)
         out = []
