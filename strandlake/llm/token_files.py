@@ -23,7 +23,7 @@ from .words import slices
 SEQ_LEN = 1024
 ROWS_PER_BATCH = 256
 #: Ids after which a new file begins, at the next document.
-FILE_IDS = 4_000_000
+FILE_IDS = 2_000_000
 
 
 def _schema(seq_len: int) -> pa.Schema:

@@ -15,6 +15,8 @@ _VISIBLE = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _
 
 #: Pieces in each of the two generations of the cache.
 GENERATION = 900_000
+#: The same where documents are buffered besides.
+WORD_GENERATION = 400_000
 
 
 def _gaps(parts: list) -> list[int]:
@@ -70,7 +72,7 @@ class PieceEncoder:
 
     def _learn(self, pieces: set[str]) -> None:
         """A piece stands for itself with a space before it, or without one where it begins with \x00; with words, for itself."""
-        if len(self.young) > GENERATION:
+        if len(self.young) > (WORD_GENERATION if self.words else GENERATION):
             self.young, self.old = {}, self.young
         for p in pieces:
             known = self.old.get(p)
