@@ -1,11 +1,138 @@
-"""Registry of the queries over the reference's operators."""
+"""Registry of the queries over the reference's operators, each with the DuckDB SQL that gives the same rows."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from .operators import alignments as al
+from .operators import intervals as iv
+from .operators import kmers as km
+from .operators import lengths as le
+from .operators import reports as rp
+from .operators import sequences as sq
+from .operators import variants as va
+from .plans.fixtures import ctes, view
+
+_MADE: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def _add(name: str, views: tuple[str, ...], build, sql: str | None = None) -> None:
+    """build takes the views as DataFrames; sql follows their common table expressions."""
+    _MADE[name] = lambda spark, sf_dir: build(*[view(spark, sf_dir, v) for v in views])
+    if sql:
+        _SQL[name] = f"{ctes(*views)}{sql}"
+
+
+_HIST = """, h1 as (select file, length, count(*) as freq from fx_read_lengths group by 1, 2),
+h as (select * from h1 union all select 'ALL', length, sum(freq) from h1 group by length),
+"""
+_ASC = """r as (select *, sum(freq) over (partition by file order by length) as c, sum(length * freq) over (partition by file order by length) as b,
+  sum(freq) over (partition by file) as n, sum(length * freq) over (partition by file) as t from h)
+"""
+_DESC = """r as (select *, sum(freq) over (partition by file order by length desc) as c, sum(length * freq) over (partition by file order by length desc) as b,
+  sum(freq) over (partition by file) as n, sum(length * freq) over (partition by file) as t from h1)
+"""
+_add("read_stats", ("fx_read_lengths",), le.read_stats, _HIST + _ASC + """select file, cast(max(n) as bigint) as total_reads, cast(max(t) as bigint) as total_bp, min(length) as min_length, max(length) as max_length,
+  min(length) filter (c > 0.25 * n) as q25, min(length) filter (c > 0.5 * n) as q50, min(length) filter (c > 0.75 * n) as q75,
+  min(length) filter (b >= 0.25 * t) as n25, min(length) filter (b >= 0.5 * t) as n50, min(length) filter (b >= 0.75 * t) as n75,
+  max(t) / 1e9 as total_gbp, cast(max(t) // max(n) as bigint) as mean_length from r group by file""")
+_add("length_distribution", ("fx_read_lengths",), le.length_distribution, " select length, count(*) as freq from fx_read_lengths group by length")
+_add("length_histogram", ("fx_read_lengths",), lambda r: le.length_histogram(r, 0, 100_000, 500), """, b as (select case when length = 100000 then 499 else cast(floor(length / 200.0) as bigint) end as bin, count(*) as n
+  from fx_read_lengths where length between 0 and 100000 group by 1) select range as bin, coalesce(n, 0) as n from range(500) left join b on range = bin""")
+_add("nx_lx_aun", ("fx_read_lengths",), le.nx_lx_aun, _HIST + _DESC + "select file, cast(max(n) as bigint) as contigs, cast(max(t) as bigint) as total, " + ", ".join(f"max(length) filter (b * 100 >= {x} * t) as n{x}" for x in range(0, 101, 10)) + """,
+  cast(min(c - freq + ceil((t / 2 - (b - length * freq)) / length)) filter (b * 2 >= t) as bigint) as l50, sum(cast(length as double) * length * freq) / max(t) as aun from r group by file""")
+_add("cumulative_nx_curve", ("fx_read_lengths",), le.cumulative_nx_curve, _HIST + _DESC + "select file, length, b / t as fraction from r")
+_add("base_count", ("fx_read_lengths",), le.base_count, " select file, cast(sum(length) as bigint) as bases, count(*) as reads, sum(length) / 3.1e9 as coverage_hic, sum(length) / 3.3e9 as coverage_wgs from fx_read_lengths group by file")
+_add("ont_run_stats", ("fx_run_summary",), le.ont_run_stats, """, f as (select *, case when mean_qscore >= 10 then 'pass' else 'fail' end as class from fx_run_summary),
+k as (select file, class from (select distinct file from f), (values ('pass'), ('fail')) v(class)),
+w as (select file, class, sequence_length as l, sum(sequence_length) over (partition by file, class order by sequence_length desc) as b, sum(sequence_length) over (partition by file, class) as t from f),
+s as (select file, class, max(l) filter (b * 2 >= t) as n50, max(t) / 1e9 as gb, max(t) / 3.3e9 as coverage, """ + ", ".join(f"coalesce(sum(l) filter (l >= {x}), 0) / 3.3e9 as cov_{x // 1000}kb" for x in (100_000, 200_000, 300_000, 400_000, 500_000, 1_000_000)) + """,
+  count(*) filter (l >= 1000000) as reads_1mb from w group by 1, 2)
+select file, class, coalesce(n50, 0) as n50, coalesce(gb, 0) as gb, coalesce(coverage, 0) as coverage, """ + ", ".join(f"coalesce(cov_{x}kb, 0) as cov_{x}kb" for x in (100, 200, 300, 400, 500, 1000)) + ", coalesce(reads_1mb, 0) as reads_1mb from k left join s using (file, class)")
+_add("filter_short_reads", ("fx_read_lengths",), lambda r: r.where("length > 50000"), " select * from fx_read_lengths where length > 50000")
+_add("run_summary_pass_fail", ("fx_run_summary",), lambda r: r.groupBy("file", F.when(F.col("mean_qscore") >= 10, "pass").otherwise("fail").alias("class")).agg(F.count("*").alias("reads"), F.sum("sequence_length").alias("bases")), " select file, case when mean_qscore >= 10 then 'pass' else 'fail' end as class, count(*) as reads, cast(sum(sequence_length) as bigint) as bases from fx_run_summary group by 1, 2")
+
+_ISLANDS = """, d as (select distinct {cols} from fx_intervals), e as (select *, max(end_pos) over (partition by contig order by start_pos, end_pos rows between unbounded preceding and 1 preceding) as reach from d),
+i as (select *, sum(case when start_pos <= reach + {gap} then 0 else 1 end) over (partition by contig order by start_pos, end_pos rows unbounded preceding) as island from e),
+m as (select contig, min(start_pos) as start_pos, max(end_pos) as end_pos{labels} from i group by contig, island) """
+_add("interval_merge", ("fx_intervals",), lambda a: iv.merge(a, 5, ("source", "hit_id")), _ISLANDS.format(cols="*", gap=5, labels=", array_to_string(list_sort(list_distinct(list(source))), ';') as source, array_to_string(list_sort(list_distinct(list(hit_id))), ';') as hit_id") + "select contig, start_pos, end_pos, source, hit_id from m")
+_add("interval_flank", ("fx_intervals", "fx_contigs"), lambda a, c: iv.flank(a, c, 100), """, f as (select contig, 'left' as side, greatest(start_pos - 100, 0) as start_pos, least(start_pos, length) as end_pos from fx_intervals join fx_contigs using (contig)
+  union all select contig, 'right', least(end_pos, length), least(end_pos + 100, length) from fx_intervals join fx_contigs using (contig)) select * from f where start_pos < end_pos""")
+_LOJ = " select a.*, b.start_pos as b_start_pos, b.end_pos as b_end_pos, b.label as b_label from (select distinct * from fx_intervals) a {} join fx_regions b on a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos"
+_add("interval_intersect", ("fx_intervals", "fx_regions"), lambda a, b: iv.overlaps(a.distinct(), b), _LOJ.format("inner"))
+_add("interval_intersect_loj", ("fx_intervals", "fx_regions"), iv.intersect_left, _LOJ.format("left"))
+_add("interval_semi", ("fx_intervals", "fx_regions"), iv.intersect_semi, " select distinct * from fx_intervals a where exists (select 1 from fx_regions b where a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos)")
+_add("break_annotation_counts", ("fx_intervals", "fx_regions"), lambda a, b: iv.overlaps(a.distinct(), b).groupBy(F.col("b_label").alias("label")).agg(F.count("*").alias("n")), " select b.label, count(*) as n from (select distinct * from fx_intervals) a join fx_regions b on a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos group by 1")
+_add("interval_coverage", ("fx_intervals", "fx_contigs"), iv.depth, """, v as (select contig, start_pos as pos, 1 as d from fx_intervals semi join fx_contigs using (contig) union all select contig, end_pos, -1 from fx_intervals semi join fx_contigs using (contig) union all select contig, 0, 0 from fx_contigs union all select contig, length, 0 from fx_contigs),
+s as (select contig, pos, sum(d) as d from v group by 1, 2), r as (select contig, sum(d) over w as depth, lead(pos) over w - pos as bases from s window w as (partition by contig order by pos))
+select contig, cast(depth as bigint) as depth, cast(sum(bases) as bigint) as bases, sum(bases) / max(length) as fraction from r join fx_contigs using (contig) where bases > 0 group by 1, 2""")
+_add("contig_contamination", ("fx_intervals", "fx_contigs"), iv.contamination, _ISLANDS.format(cols="contig, start_pos, end_pos", gap=0, labels="") + """, s as (select contig, array_to_string(list_sort(list_distinct(list(source))), ',') as sources from fx_intervals group by 1),
+c as (select contig, cast(sum(end_pos - start_pos) as bigint) as covered from m group by 1)
+select contig, covered, covered / length as fraction, sources, covered / length >= 0.95 as discard from c join s using (contig) join fx_contigs using (contig)""")
+_add("genome_windows", ("fx_contigs",), lambda c: iv.genome_windows(c, 5000), " select contig, cast(i * 5000 as bigint) as start_pos, least((i + 1) * 5000, length) as end_pos from fx_contigs, range(0, 1000) t(i) where i * 5000 < length")
+_add("interval_summary", ("fx_intervals",), lambda a: iv.summary(a, ["source", "hit_id"]), " select source, hit_id, count(*) as n, count(distinct contig) as contigs, cast(sum(end_pos - start_pos) as bigint) as bases from fx_intervals group by 1, 2")
+_add("alignment_ignore_filter", ("fx_paf", "fx_regions"), iv.alignment_ignore_filter, " select * from fx_paf p where not exists (select 1 from fx_regions r where r.contig = p.target) or exists (select 1 from fx_regions r where r.contig = p.target and (p.target_start < r.start_pos or p.target_end > r.end_pos))")
+
+_add("reverse_complement", ("fx_sequences",), lambda s: s.select("name", sq.reverse_complement(F.col("seq")).alias("seq")), " select name, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) as seq from fx_sequences")
+_add("break_at_n", ("fx_sequences",), sq.break_at_n, """, p as (select name, list_filter(regexp_split_to_array(seq, '[nN]+'), lambda x: x <> '') as p from fx_sequences),
+e as (select name, len(p) as k, unnest(p) as seq, generate_subscripts(p, 1) - 1 as j from p) select case when k > 1 then name || '_' || j else name end as name, seq from e""")
+_add("edge_bases", ("fx_sequences",), lambda s: sq.edge_bases(s, 100), " select name || '_start' as name, left(seq, 100) as seq from fx_sequences union all select name || '_end', right(seq, 100) from fx_sequences")
+_add("count_ns", ("fx_sequences",), sq.count_ns, " select name, length(seq) as length, length(seq) - length(replace(seq, 'N', '')) as ns from fx_sequences")
+_add("chunk_records", ("fx_sequences",), lambda s: sq.chunk_records(s, 1000, 50), """, c as (select name, seq, length(seq) as n, cast(greatest(ceil((length(seq) - 1050) / 1000.0), 0) as bigint) + 1 as k from fx_sequences where length(seq) >= 11)
+select name || '.chunk_' || (i + 1) as name, cast(i * 1000 as bigint) as "offset", substr(seq, i * 1000 + 1, case when i = k - 1 then n - i * 1000 else 1050 end) as seq from c, range(0, 100000) t(i) where i < k""")
+_add("n_gaps", ("fx_sequences",), lambda s: sq.n_gaps(s, 1), """, r as (select name, regexp_extract_all(seq, '[nN]+|[^nN]+') as p from fx_sequences), e as (select name, unnest(p) as x, generate_subscripts(p, 1) as i from r),
+o as (select *, sum(length(x)) over (partition by name order by i) as e from e) select name, cast(e - length(x) as bigint) as start_pos, cast(e as bigint) as end_pos from o where upper(left(x, 1)) = 'N'""")
+_add("rotate_circular", ("fx_sequences",), lambda s: sq.rotate_circular(s, 37), " select name || '_rot37' as name, substr(seq, 37 % greatest(length(seq), 1) + 1) || left(seq, 37 % greatest(length(seq), 1)) as seq from fx_sequences")
+_add("self_concat", ("fx_sequences",), lambda s: s.select("name", F.repeat("seq", F.lit(2)).alias("seq")), " select name, seq || seq as seq from fx_sequences")
+_add("dedup_by_sequence", ("fx_sequences",), sq.dedup_by_sequence, " select sha256(seq) as digest, min(name) as name, count(*) as copies from fx_sequences group by seq")
+_KMERS = """, k as (select substr(seq, i, 21) as x from (select seq, unnest(range(1, length(seq) - 19)) as i from fx_sequences where length(seq) >= 21)),
+c as (select least(x, reverse(translate(x, 'ACGTacgt', 'TGCAtgca'))) as kmer from k where not contains(x, 'N')) """
+_add("kmer_count", ("fx_sequences",), lambda s: km.kmer_count(s, 21, 2), _KMERS + "select kmer, count(*) as n from c group by kmer having count(*) >= 2")
+_PARTS = tuple(f"description like 'src{d}%'" for d in (1, 2, 3))
+_add("hapmers", ("fx_sequences",), lambda s: km.hapmers(*[km.kmer_count(s.where(p)) for p in _PARTS]), ", k as (select description, substr(seq, i, 21) as x from (select description, seq, unnest(range(1, length(seq) - 19)) as i from fx_sequences where length(seq) >= 21)), c as (select description, least(x, reverse(translate(x, 'ACGTacgt', 'TGCAtgca'))) as kmer from k where not contains(x, 'N')), " + ", ".join(f"{n} as (select distinct kmer from c where {p})" for n, p in zip(("mo", "fa", "ch"), _PARTS, strict=True)) + " select kmer, 'mat' as parent from mo anti join fa using (kmer) semi join ch using (kmer) union all select kmer, 'pat' from fa anti join mo using (kmer) semi join ch using (kmer)")
+
+_add("blast_tier_filter", ("fx_blast",), al.blast_tier_filter, " select * from fx_blast where (pident >= 98 and length >= 50) or (pident >= 94 and length >= 100) or (pident >= 90 and length >= 200)")
+_add("mito_hit_rollup", ("fx_blast",), lambda h: al.mito_hit_rollup(h, 10, 1, 70), """, a as (select qseqid, sum(length * 100 / qlen) as match from fx_blast group by 1),
+f as (select distinct on (qseqid) qseqid, qlen, slen from fx_blast order by qseqid, sseqid, qstart, qend, qlen, slen)
+select qseqid, match, qlen, slen from a join f using (qseqid) where qlen < 10 * slen and qlen * 100 / slen > 1 and match > 70""")
+_add("best_hit", ("fx_paf",), al.best_hit, " select distinct on (query) * from fx_paf order by query, as_score desc, nm, query_length, query_start, query_end, strand, target, target_length, target_start, target_end, block_len, mapq")
+_add("primary_target", ("fx_paf",), al.primary_target, """, c as (select query, target, sum(block_len) / max(query_length) as coverage from fx_paf group by 1, 2),
+b as (select distinct on (query) * from c order by query, coverage desc, target) select query, target, coverage, (select count(*) from c where c.query = b.query) as targets from b""")
+_add("misjoin_breaks", ("fx_paf",), al.misjoin_breaks, """, d as (select distinct * from fx_paf), s as (select *, lag(target) over w as b, lag(query_end) over w as e from d window w as (partition by query order by query_start, query_end, target, target_start, target_end))
+select query, b as from_target, target as to_target, e as break_start, query_start as break_end from s where b <> target""")
+_add("chrom_mapping_stats", ("fx_paf",), al.chrom_mapping_stats, " select target, cast(sum(target_end - target_start) as bigint) as target_span, cast(sum(query_end - query_start) as bigint) as query_span, max(target_length) as target_length, max(target_end - target_start) as longest from fx_paf group by 1")
+_add("chr_completeness", ("fx_paf",), lambda p: al.chr_completeness(p, 500, 20_500), """, d as (select distinct query, target, query_length, target_length from fx_paf where block_len > 500 and query_length > 20500)
+select target, count(*) as n, sum(query_length / target_length * 100) as percent, max(query_length / target_length * 100) as largest, max(query) as last_query from d group by 1""")
+_add("sam_flag_filter", ("fx_sam",), lambda s: al.flag_filter(s, 0x904), " select * from fx_sam where flag & 2308 = 0")
+_add("multi_primary_ids", ("fx_sam",), al.multi_primary_ids, " select read_id, count(*) filter (flag & 2304 = 0) as primary_records, count(*) filter (flag & 2048 <> 0) as supplementary from fx_sam group by 1 having count(*) filter (flag & 2304 = 0) > 1 or count(*) filter (flag & 2048 <> 0) > 0")
+_add("top_two_alleles", ("fx_base_counts",), al.top_two_alleles, " select contig, pos, list_reverse_sort([a, c, g, t])[1] as first, list_reverse_sort([a, c, g, t])[2] as second from fx_base_counts")
+_add("variant_clusters", ("fx_variants",), al.variant_clusters, """, d as (select distinct contig, pos from fx_variants), n as (select *, case when pos - lag(pos) over (partition by contig order by pos) <= 500 then 0 else 1 end as new from d),
+i as (select *, sum(new) over (partition by contig order by pos) as i from n) select contig, min(pos) as start_pos, max(pos) + 1 as end_pos, count(*) as sites from i group by contig, i having count(*) >= 5""")
+_add("vcf_exclude_expr", ("fx_variants",), va.exclude, " select * from fx_variants where not (vaf <= 0.5 or gq <= 30) and filter = 'PASS'")
+_add("vcf_tiered_gq", ("fx_variants",), va.tiered_gq, " select * from fx_variants where case length(alt) - length(ref) when 1 then gq > 20 when -1 then gq > 12 else gq > 5 end")
+_add("vcf_stats", ("fx_variants",), va.stats, """, v as (select *, length(ref) = 1 and length(alt) = 1 and ref <> alt as snv, ref || alt in ('AG', 'GA', 'CT', 'TC') as ts from fx_variants)
+select contig, count(*) as records, count(*) filter (snv) as snvs, count(*) filter (length(ref) <> length(alt)) as indels, count(*) filter (snv and ts) as ts, count(*) filter (snv and not ts) as tv from v group by 1""")
+_add("vcf_compare", ("fx_variants",), lambda v: va.compare(v.where("filter = 'PASS'"), v.where("gq > 10")), """, t as (select distinct contig, pos, ref, alt, 1 as t from fx_variants where filter = 'PASS'), q as (select distinct contig, pos, ref, alt, 1 as q from fx_variants where gq > 10),
+c as (select contig, count(*) filter (t is not null and q is not null) as shared, count(*) filter (q is null) as only_truth, count(*) filter (t is null) as only_query from t full join q using (contig, pos, ref, alt) group by contig)
+select *, shared / nullif(shared + only_query, 0) as precision, shared / nullif(shared + only_truth, 0) as recall from c""")
+
+_add("scan_sections", ("fx_report_lines",), rp.sections, """, h as (select *, case when regexp_matches(line, '^=+ (.*?) =+$') then regexp_extract(line, '^=+ (.*?) =+$', 1) when trim(line) = '' then '' end as title from fx_report_lines),
+s as (select *, last_value(title ignore nulls) over (partition by file order by line_no rows unbounded preceding) as section from h) select file, line_no, line, section from s where title is null and section <> ''""")
+_add("adapter_sections_to_bed", ("fx_report_lines",), rp.adapter_sections_to_bed, " select split_part(line, chr(9), 2) as contig, cast(split_part(line, chr(9), 3) as bigint) - 1 as start_pos, cast(split_part(line, chr(9), 4) as bigint) as end_pos from fx_report_lines where regexp_matches(line, '^VecScreen_(Strong|Moderate)\\t')")
+_add("sample_id_from_path", ("fx_paths",), lambda p: p.select("path", rp.sample_id(F.col("path")).alias("sample_id")), """, x as (select path, regexp_extract(path, '[^/]*$') as base, regexp_replace(regexp_extract(path, '((?:HG|NA|PG)\\d{5})', 1), '^PG', 'HG') as id from fx_paths)
+select path, case when id = '' or starts_with(base, id) then base else id || '_' || base end as sample_id from x""")
+_add("sample_swap_summary", ("fx_pairs",), rp.sample_swap_summary, """, p as (select *, left(sample1, 7) as s1, left(sample2, 7) as s2 from fx_pairs), f as (select s1 as sample, sample1 as file from p union select s2, sample2 from p),
+c as (select sample, count(*) as n_files, """ + ", ".join(f"count(*) filter (contains(file, '_{k}_')) as n_{k}" for k in ("hifi", "ont", "hic", "kinnex")) + """, cast(0 as bigint) as n_other from f group by 1),
+s as (select s1 as sample, 'w' as k, score from p where s1 = s2 union all select s1, 'c', score from p where s1 <> s2 union all select s2, 'c', score from p where s1 <> s2),
+a as (select sample, """ + ", ".join(f"{fn} filter (k = '{k}') as {n}_{w}" for k, w in (("w", "within"), ("c", "cross")) for n, fn in (("n", "count(*)"), ("min", "min(score)"), ("mean", "avg(score)"), ("max", "max(score)"))) + """ from s group by 1)
+select a.*, c.* exclude (sample), n_files * (n_files - 1) // 2 as expected_within, cast(n_files * ((select sum(n_files) from c) - n_files) as bigint) as expected_cross,
+  case when min_within > 0 and max_within < 0.5 and min_cross > 0.5 then 'PASS' else 'FAIL' end as verdict from a join c using (sample) where n_within > 0 and n_cross > 0""")
+
 
 def queries() -> dict:
-    return {}
+    return dict(_MADE)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
