@@ -126,7 +126,7 @@ def _slots(stats: DataFrame, most: int, slots: int, seed: int) -> DataFrame:
 def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     """The mix as documents, with the columns of docs: a row for each document and round that takes words of it, whose
     text holds those words in order, with the white space before them; n_chars, where there is one, is counted anew."""
-    words = F.regexp_extract_all("text", F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    words = F.regexp_extract_all(F.concat(F.lit("\n"), "text"), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
     parts = mix.pieces.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie2"), "round").agg(F.max("times").alias("_times"), F.array_sort(F.collect_list(F.struct("first", "n"))).alias("_parts"))
     own = docs.withColumn("_tie", _tie("text")).dropDuplicates(["doc_id", "_tie"])
     met = own.join(parts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_tie2"))).withColumn("_w", F.flatten(F.array_repeat(words, F.col("_times").cast("int"))))

@@ -6,7 +6,7 @@ n - ceil(t n) + 1. Sets that meet there, and pass the length and positional filt
 pair. Documents with equal sets are one class from the start.
 
 Only the components of the links are asked for, so pairs whose documents are already joined by other links are not
-compared: a first round links neighbours in each list of a shingle, and a second one compares what is left between
+compared: first rounds link neighbours in each list of a shingle, and a last one compares all that is left between
 components, after a suffix filter on counts of the rest of each set. No list is expanded into all its pairs.
 """
 
@@ -29,6 +29,7 @@ SKETCH_PARTS = 64
 #: A list longer than this by the counters is dealt to several tasks.
 HOT = 50_000
 FLUSH = 400_000
+NEIGHBOUR_ROUNDS = 3
 #: Cells of the suffix filter.
 CELLS = 32
 
@@ -210,22 +211,26 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     met = post.select("k").distinct()
     sets = _sets(docs, classes.join(met, "k").where("first_id is not null").select("k", "first_id"), n).groupBy("k").agg(F.first("s").alias("s"), F.first("cells").alias("cells"))
 
-    # Round 1: neighbours in each list, in an order that differs from list to list.
-    order = Window.partitionBy("h").orderBy(F.xxhash64("k", "h"))
-    before = lambda c: F.lag(c).over(order)
-    near = post.select(F.col("k").alias("a"), F.col("pos").alias("apos"), F.col("n").alias("an"), before("k").alias("b"), before("pos").alias("bpos"), before("n").alias("bn"))
-    first = near.where("b is not null").where(_may_link(percent)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = materialise(_verify(first, sets, percent), "links")
-    found = connected_components(links)
-
-    # Round 2: what meets in a list but lies in different components.
-    placed = post.join(found.withColumnRenamed("id", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component")
-    mixed = placed.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
-    left_over = materialise(placed.join(mixed, "h"), "rest")
-    a = left_over.select("h", *[F.col(x).alias("a" + x) for x in ("k", "pos", "n", "c")])
-    b = left_over.select("h", *[F.col(x).alias("b" + x) for x in ("k", "pos", "n", "c")])
-    second = a.join(b, "h").where("ac != bc and ak > bk").where(_may_link(percent)).select(F.col("ak").alias("a"), F.col("bk").alias("b")).distinct()
-    more = _verify(second.join(links, ["a", "b"], "left_anti"), sets, percent)
+    # Neighbour rounds: each compares neighbours in the lists, in an order that differs from list to list and round to
+    # round. From the second on, only lists that hold several components, and neighbours of different ones.
+    rest, found = post.withColumn("c", F.col("k")), None
+    for turn in range(NEIGHBOUR_ROUNDS):
+        # Entries far down their sets seldom pass the positional filter: they come last, so the others are neighbours.
+        late = F.col("pos") * (100 + percent) > F.col("n") * (100 - percent)
+        size = F.lit(0) if turn % 2 == 0 else F.col("n")
+        order = Window.partitionBy("h").orderBy(late, size, F.xxhash64("k", "h", F.lit(turn)))
+        near = rest.select(*[F.col(x).alias("a" + x) for x in ("k", "pos", "n", "c")], *[F.lag(x).over(order).alias("b" + x) for x in ("k", "pos", "n", "c")])
+        pairs = near.where("bk is not null and ac != bc").where(_may_link(percent)).select(F.greatest("ak", "bk").alias("a"), F.least("ak", "bk").alias("b")).distinct()
+        new = _verify(pairs, sets, percent)
+        found = connected_components(new if found is None else new.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        placed = post.join(found.withColumnRenamed("id", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component")
+        mixed = placed.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
+        rest = materialise(placed.join(mixed, "h"), "rest")
+
+    # What still meets in a list but lies in different components.
+    a, b = (rest.select("h", *[F.col(x).alias(y + x) for x in ("k", "pos", "n", "c")]) for y in "ab")
+    last = a.join(b, "h").where("ac != bc and ak > bk").where(_may_link(percent)).select(F.col("ak").alias("a"), F.col("bk").alias("b")).distinct()
+    more = _verify(last, sets, percent)
     final = connected_components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     named = classes.join(final.withColumnRenamed("id", "k"), "k").groupBy("component").agg(F.min("first_id").alias("least"))
