@@ -90,11 +90,12 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: int
 
     # A document's share of each block that it lies in, joined to the uses of the block.
     spread = placed.where("all > 0").withColumn("index", F.explode(F.sequence(F.floor(F.col("begin") / block), F.floor((F.col("begin") + F.col("all") - 1) / block))))
-    met = spread.join(used, ["k", "index"])
+    # Slots come from a row per source, so Spark underrates their number; they must not be broadcast.
+    met = spread.join(used.hint("merge"), ["k", "index"])
     low, high = F.greatest("begin", F.col("index") * block), F.least(F.col("begin") + F.col("all"), (F.col("index") + 1) * block)
     met = met.select("doc_id", "tie", "times", (low - F.col("begin")).alias("first"), (high - low).alias("n"), "uses", "rounds")
     taken = met.groupBy(F.col("doc_id").alias("id2"), F.col("tie").alias("tie2")).agg(F.sum(F.col("n") * F.col("uses")).alias("sum"))
-    per_doc = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("tie") == F.col("tie2")), "left").withColumn("sum", F.coalesce("sum", F.lit(0)))
+    per_doc = rows.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("tie") == F.col("tie2")), "left").withColumn("sum", F.coalesce("sum", F.lit(0)))
     per_doc = per_doc.join(stats.select("k", "source_size", "target"), "k").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
     share_of = F.expr("sum div times + if(copy < sum % times, 1, 0)").cast("long")
     per_doc = per_doc.select("doc_id", "tie", "size", "source_size", "target", share_of.alias("taken"))
@@ -116,7 +117,7 @@ def _slots(stats: DataFrame, most: int, slots: int, seed: int) -> DataFrame:
     shares = shares.withColumn("picks", F.when(F.col("left") > 0, drawn).otherwise(F.array().cast("array<int>")))
     counts = shares.select("shard", F.posexplode("parts").alias("i", "part"), "picks").select("shard", F.col("part.k").alias("k"), (F.col("part.whole") + F.size(F.filter("picks", lambda x: x == F.col("i")))).alias("n"))
     counts = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("shard"))).where("n > 0")
-    slot = counts.select("shard", "k", F.explode(F.sequence(F.col("upto") - F.col("n"), F.col("upto") - 1)).alias("j")).join(F.broadcast(stats.select("k", "blocks")), "k")
+    slot = counts.select("shard", "k", F.explode(F.sequence(F.col("upto") - F.col("n"), F.col("upto") - 1)).alias("j")).join(stats.select("k", "blocks"), "k")
     slot = slot.withColumn("round", F.floor(F.col("j") / F.col("blocks"))).where(F.col("round") < most)
     prime = F.element_at(F.array(*[F.lit(x) for x in PRIMES]), (F.pmod(F.xxhash64("k", "round", F.lit(seed)), F.lit(len(PRIMES))) + 1).cast("int")).cast("long")
     index = F.pmod(F.pmod("j", "blocks") * F.pmod(prime, F.col("blocks")) + F.pmod(F.xxhash64("k", "round", F.lit(seed + 1)), F.col("blocks")), F.col("blocks"))
@@ -129,7 +130,7 @@ def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     words = F.regexp_extract_all(F.concat(F.lit("\n"), "text"), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
     parts = mix.pieces.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie2"), "round").agg(F.max("times").alias("_times"), F.array_sort(F.collect_list(F.struct("first", "n"))).alias("_parts"))
     own = docs.withColumn("_tie", _tie("text")).dropDuplicates(["doc_id", "_tie"])
-    met = own.join(parts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_tie2"))).withColumn("_w", F.flatten(F.array_repeat(words, F.col("_times").cast("int"))))
+    met = own.join(parts.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_tie2"))).withColumn("_w", F.flatten(F.array_repeat(words, F.col("_times").cast("int"))))
     text = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice("_w", (p["first"] + 1).cast("int"), p["n"].cast("int")))), "")
     met = met.withColumn("text", F.regexp_replace(text, "^[\\x20\\x09-\\x0D]+", ""))
     if "n_chars" in docs.columns:
