@@ -7,7 +7,8 @@ pair. Documents with equal sets are one class from the start.
 
 Only the components of the links are asked for, so pairs whose documents are already joined by other links are not
 compared: first rounds link neighbours in each list of a shingle, and a last one compares all that is left between
-components, after a suffix filter on counts of the rest of each set. No list is expanded into all its pairs.
+components. The suffix filter compares signatures: parities of two sets differ in at most as many cells as the sets
+differ in shingles. Only sets of pairs that pass it travel. No list is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +32,8 @@ SKETCH_PARTS = 64
 HOT = 50_000
 FLUSH = 400_000
 NEIGHBOUR_ROUNDS = 3
-#: Cells of the suffix filter.
-CELLS = 32
+#: Columns of a signature: parities of the counts of shingles by hash cell, 64 cells a column.
+PARITIES = ("q0", "q1", "q2", "q3")
 
 
 def _set_key(s: np.ndarray) -> int:
@@ -161,19 +163,29 @@ def _may_link(percent: int):
     return f"100 * least(an, bn) >= {percent} * greatest(an, bn) and 1 + least(an - apos - 1, bn - bpos - 1) >= {least}"
 
 
+def _alike(percent: int):
+    """Suffix filter on sets a and b of sizes an and bn: the cells whose parities differ bound their symmetric difference."""
+    apart = " + ".join(f"bit_count(a{q} ^ b{q})" for q in PARITIES)
+    return f"{100 + percent} * ({apart}) <= {100 - percent} * (an + bn)"
+
+
 def _sets(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """(k, s, cells): the whole sets of some classes, and their counts by cell for the suffix filter."""
+    """(k, n, s, q0..): the whole sets of some classes and their signatures."""
 
     def build(batches):
         for batch in batches:
             for a, b in slices(batch.column(1)):
                 sets = shingle_sets(batch.column(1)[a:b], n)
-                cells = [np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype("<i4").tobytes() for s in sets]
-                yield pa.record_batch([batch.column(0)[a:b], pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(cells, pa.binary())], names=["k", "s", "cells"])
+                odd = [np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=64 * len(PARITIES)) & 1 for s in sets]
+                signs = np.packbits(np.array(odd, np.uint8), axis=1).view("<i8")
+                own = pa.array([_set_key(s) for s in sets], pa.int64())
+                rows = pa.record_batch([own, pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), *[pa.array(signs[:, j]) for j in range(len(PARITIES))]], names=["k", "n", "s", *PARITIES])
+                yield rows.filter(pc.equal(own, batch.column(0)[a:b]))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), F.col("text").cast("string").alias("text"))
-    met = classes.join(texts, "first_id").select("k", "text")
-    return materialise(met.mapInArrow(build, "k long, s binary, cells binary"), "sets")
+    # Rows may share a doc_id: equal ones count once, and build leaves out texts of another class.
+    met = classes.join(texts, "first_id").groupBy("first_id", "k", F.xxhash64("text")).agg(F.first("text").alias("text"))
+    return materialise(met.select("k", "text").mapInArrow(build, "k long, n int, s binary, " + ", ".join(f"{q} long" for q in PARITIES)), "sets")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -182,18 +194,17 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def compare(batches):
         for batch in batches:
             good = []
-            for x, y, c, d in zip(*[batch.column(j) for j in range(2, 6)], strict=True):
-                p, q = np.frombuffer(c.as_buffer(), "<i4"), np.frombuffer(d.as_buffer(), "<i4")
-                if (100 + percent) * int(np.minimum(p, q).sum()) < percent * int(p.sum() + q.sum()):  # suffix filter
-                    good.append(False)
-                    continue
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 u, v = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
                 both = len(u) + len(v) - len(np.union1d(u, v))
                 good.append(100 * both >= percent * (len(u) + len(v) - both))
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    left, right = (sets.select(F.col("k").alias(x), F.col("s").alias("s" + x), F.col("cells").alias("c" + x)) for x in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "ca", "cb").mapInArrow(compare, "a long, b long")
+    left, right = (sets.select(F.col("k").alias(x), *[F.col(c).alias(x + c) for c in ("n", *PARITIES)]) for x in "ab")
+    likely = materialise(pairs.join(left, "a").join(right, "b").where(_alike(percent)).select("a", "b"), "pairs")
+    used = sets.select("k", "s").join(likely.select(F.explode(F.array("a", "b")).alias("k")), "k", "left_semi")
+    left, right = (used.select(F.col("k").alias(x), F.col("s").alias("s" + x)) for x in "ab")
+    return likely.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -201,24 +212,26 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
     A document's set holds its distinct n-word shingles (A-Z lower-cased words); with fewer words, the whole sequence
     as one. Without words, or with a null text, the set is empty and the document is a component of its own. Two
-    documents link when 100 * intersection >= percent * union. Repeated rows fall into one class; a null doc_id takes
-    part but names no component; other columns are ignored; an empty table gives no rows.
+    documents link when 100 * intersection >= percent * union. Repeated rows fall into one class. A null doc_id names no
+    component, and a class of rows that all have none links with no other; other columns are ignored; an empty table gives no rows.
     """
     profiles = _profiles(docs, n)
     own = profiles.where("part = -1").select("doc_id", "n", "k")
     classes = own.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"))
     post = _postings(docs, _sketch(profiles), n, percent)
     met = post.select("k").distinct()
-    sets = _sets(docs, classes.join(met, "k").where("first_id is not null").select("k", "first_id"), n).groupBy("k").agg(F.first("s").alias("s"), F.first("cells").alias("cells"))
+    sets = _sets(docs, classes.join(met, "k").where("first_id is not null").select("k", "first_id"), n)
 
-    # Neighbour rounds: each compares neighbours in the lists, in an order that differs from list to list and round to
-    # round. From the second on, only lists that hold several components, and neighbours of different ones.
+    # Neighbour rounds: each compares neighbours in the lists. The first has one order for all lists, so lists of the same
+    # sets give the same pairs; later ones an order that differs from list to list and round to round, and only lists
+    # that hold several components and neighbours of different ones.
     rest, found = post.withColumn("c", F.col("k")), None
     for turn in range(NEIGHBOUR_ROUNDS):
         # Entries far down their sets seldom pass the positional filter: they come last, so the others are neighbours.
         late = F.col("pos") * (100 + percent) > F.col("n") * (100 - percent)
-        size = F.lit(0) if turn % 2 == 0 else F.col("n")
-        order = Window.partitionBy("h").orderBy(late, size, F.xxhash64("k", "h", F.lit(turn)))
+        size = F.lit(0) if turn % 2 else F.col("n")
+        draw = F.xxhash64("k", "h", F.lit(turn)) if turn else F.xxhash64("k")
+        order = Window.partitionBy("h").orderBy(late, size, draw)
         near = rest.select(*[F.col(x).alias("a" + x) for x in ("k", "pos", "n", "c")], *[F.lag(x).over(order).alias("b" + x) for x in ("k", "pos", "n", "c")])
         pairs = near.where("bk is not null and ac != bc").where(_may_link(percent)).select(F.greatest("ak", "bk").alias("a"), F.least("ak", "bk").alias("b")).distinct()
         new = _verify(pairs, sets, percent)
@@ -228,8 +241,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         rest = materialise(placed.join(mixed, "h"), "rest")
 
     # What still meets in a list but lies in different components.
-    a, b = (rest.select("h", *[F.col(x).alias(y + x) for x in ("k", "pos", "n", "c")]) for y in "ab")
-    last = a.join(b, "h").where("ac != bc and ak > bk").where(_may_link(percent)).select(F.col("ak").alias("a"), F.col("bk").alias("b")).distinct()
+    signed = rest.join(sets.select("k", *PARITIES), "k")
+    a, b = (signed.select("h", *[F.col(x).alias(y + x) for x in ("k", "pos", "n", "c", *PARITIES)]) for y in "ab")
+    last = a.join(b, "h").where("ac != bc and ak > bk").where(_may_link(percent)).where(_alike(percent)).select(F.col("ak").alias("a"), F.col("bk").alias("b")).distinct()
     more = _verify(last, sets, percent)
     final = connected_components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
