@@ -92,6 +92,10 @@ _add("kmer_count", ("fx_sequences",), lambda s: km.kmer_count(s, 21, 2), _KMERS
 _PARTS = tuple(f"description like 'src{d}%'" for d in (1, 2, 3))
 _add("hapmers", ("fx_sequences",), lambda s: km.hapmers(*[km.kmer_count(s.where(p)) for p in _PARTS]), ", k as (select description, substr(seq, i, 21) as x from (select description, seq, unnest(range(1, length(seq) - 19)) as i from fx_sequences where length(seq) >= 21)), c as (select description, least(x, reverse(translate(x, 'ACGTacgt', 'TGCAtgca'))) as kmer from k where not contains(x, 'N')), " + ", ".join(f"{n} as (select distinct kmer from c where {p})" for n, p in zip(("mo", "fa", "ch"), _PARTS, strict=True)) + " select kmer, 'mat' as parent from mo anti join fa using (kmer) semi join ch using (kmer) union all select kmer, 'pat' from fa anti join mo using (kmer) semi join ch using (kmer)")
 
+_add("kmer_union_sum", ("fx_sequences",), lambda s: km.union_sum(*[km.kmer_count(s.where(p)) for p in _PARTS]), _KMERS.replace("from fx_sequences where", f"from fx_sequences where ({' or '.join(_PARTS)}) and") + "select kmer, count(*) as n from c group by kmer")
+_add("lift_chunk_coords", ("fx_sequences",), lambda s: sq.lift_chunks(sq.chunk_records(s, 1000, 50).select("name", F.lit(0).cast("long").alias("start_pos"), F.length("seq").cast("long").alias("end_pos")), 1000), """, c as (select name, length(seq) as n, cast(greatest(ceil((length(seq) - 1050) / 1000.0), 0) as bigint) + 1 as k from fx_sequences where length(seq) >= 11)
+select name, cast(i * 1000 as bigint) as start_pos, case when i = k - 1 then n else i * 1000 + 1050 end as end_pos from c, range(0, 100000) t(i) where i < k""")
+
 _add("blast_tier_filter", ("fx_blast",), al.blast_tier_filter, " select * from fx_blast where (pident >= 98 and length >= 50) or (pident >= 94 and length >= 100) or (pident >= 90 and length >= 200)")
 _add("mito_hit_rollup", ("fx_blast",), lambda h: al.mito_hit_rollup(h, 10, 1, 70), """, a as (select qseqid, sum(length * 100 / qlen) as match from fx_blast group by 1),
 f as (select distinct on (qseqid) qseqid, qlen, slen from fx_blast order by qseqid, sseqid, qstart, qend, qlen, slen)
