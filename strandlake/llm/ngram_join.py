@@ -8,7 +8,7 @@ pair. Documents with equal sets are one class from the start.
 Only the components of the links are asked for, so pairs whose documents are already joined by other links are not
 compared: first rounds link neighbours in each list of a shingle, and a last one compares all that is left between
 components. The suffix filter compares signatures: parities of two sets differ in at most as many cells as the sets
-differ in shingles. Only sets of pairs that pass it travel. No list is expanded into all its pairs.
+differ in shingles. Only texts of pairs that pass it travel. No list is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -169,8 +169,8 @@ def _alike(percent: int):
     return f"{100 + percent} * ({apart}) <= {100 - percent} * (an + bn)"
 
 
-def _sets(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """(k, n, s, q0..): the whole sets of some classes and their signatures."""
+def _signed_texts(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
+    """(k, n, text, q0..): a whole text of some classes and the signature of its set. Texts are smaller than their sets."""
 
     def build(batches):
         for batch in batches:
@@ -179,32 +179,32 @@ def _sets(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
                 odd = [np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=64 * len(PARITIES)) & 1 for s in sets]
                 signs = np.packbits(np.array(odd, np.uint8), axis=1).view("<i8")
                 own = pa.array([_set_key(s) for s in sets], pa.int64())
-                rows = pa.record_batch([own, pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary()), *[pa.array(signs[:, j]) for j in range(len(PARITIES))]], names=["k", "n", "s", *PARITIES])
+                rows = pa.record_batch([own, pa.array([len(s) for s in sets], pa.int32()), batch.column(1)[a:b], *[pa.array(signs[:, j]) for j in range(len(PARITIES))]], names=["k", "n", "text", *PARITIES])
                 yield rows.filter(pc.equal(own, batch.column(0)[a:b]))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), F.col("text").cast("string").alias("text"))
     # Rows may share a doc_id: equal ones count once, and build leaves out texts of another class.
     met = classes.join(texts, "first_id").groupBy("first_id", "k", F.xxhash64("text")).agg(F.first("text").alias("text"))
-    return materialise(met.select("k", "text").mapInArrow(build, "k long, n int, s binary, " + ", ".join(f"{q} long" for q in PARITIES)), "sets")
+    return materialise(met.select("k", "text").mapInArrow(build, "k long, n int, text string, " + ", ".join(f"{q} long" for q in PARITIES)), "texts")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link: 100 * intersection >= percent * union over whole sets."""
+def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that link: 100 * intersection >= percent * union over whole sets, made where the texts meet."""
 
     def compare(batches):
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                u, v = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                both = len(u) + len(v) - len(np.union1d(u, v))
-                good.append(100 * both >= percent * (len(u) + len(v) - both))
-            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    left, right = (sets.select(F.col("k").alias(x), *[F.col(c).alias(x + c) for c in ("n", *PARITIES)]) for x in "ab")
+            for i, j in slices(batch.column(2)):
+                good = []
+                for u, v in zip(shingle_sets(batch.column(2)[i:j], n), shingle_sets(batch.column(3)[i:j], n), strict=True):
+                    both = len(u) + len(v) - len(np.union1d(u, v))
+                    good.append(100 * both >= percent * (len(u) + len(v) - both))
+                yield pa.record_batch([batch.column(0)[i:j], batch.column(1)[i:j]], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    left, right = (texts.select(F.col("k").alias(x), *[F.col(c).alias(x + c) for c in ("n", *PARITIES)]) for x in "ab")
     likely = materialise(pairs.join(left, "a").join(right, "b").where(_alike(percent)).select("a", "b"), "pairs")
-    used = sets.select("k", "s").join(likely.select(F.explode(F.array("a", "b")).alias("k")), "k", "left_semi")
-    left, right = (used.select(F.col("k").alias(x), F.col("s").alias("s" + x)) for x in "ab")
-    return likely.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
+    used = texts.select("k", "text").join(likely.select(F.explode(F.array("a", "b")).alias("k")), "k", "left_semi")
+    left, right = (used.select(F.col("k").alias(x), F.col("text").alias("t" + x)) for x in "ab")
+    return likely.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -220,7 +220,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     classes = own.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"))
     post = _postings(docs, _sketch(profiles), n, percent)
     met = post.select("k").distinct()
-    sets = _sets(docs, classes.join(met, "k").where("first_id is not null").select("k", "first_id"), n)
+    texts = _signed_texts(docs, classes.join(met, "k").where("first_id is not null").select("k", "first_id"), n)
 
     # Neighbour rounds: each compares neighbours in the lists. The first has one order for all lists, so lists of the same
     # sets give the same pairs; later ones an order that differs from list to list and round to round, and only lists
@@ -234,17 +234,18 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         order = Window.partitionBy("h").orderBy(late, size, draw)
         near = rest.select(*[F.col(x).alias("a" + x) for x in ("k", "pos", "n", "c")], *[F.lag(x).over(order).alias("b" + x) for x in ("k", "pos", "n", "c")])
         pairs = near.where("bk is not null and ac != bc").where(_may_link(percent)).select(F.greatest("ak", "bk").alias("a"), F.least("ak", "bk").alias("b")).distinct()
-        new = _verify(pairs, sets, percent)
+        new = _verify(pairs, texts, n, percent)
         found = connected_components(new if found is None else new.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
-        placed = post.join(found.withColumnRenamed("id", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component")
+        # Components only grow, so a list that holds one stays out.
+        placed = rest.drop("c").join(found.withColumnRenamed("id", "k"), "k", "left").withColumn("c", F.coalesce("component", "k")).drop("component")
         mixed = placed.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
         rest = materialise(placed.join(mixed, "h"), "rest")
 
     # What still meets in a list but lies in different components.
-    signed = rest.join(sets.select("k", *PARITIES), "k")
+    signed = rest.join(texts.select("k", *PARITIES), "k")
     a, b = (signed.select("h", *[F.col(x).alias(y + x) for x in ("k", "pos", "n", "c", *PARITIES)]) for y in "ab")
     last = a.join(b, "h").where("ac != bc and ak > bk").where(_may_link(percent)).where(_alike(percent)).select(F.col("ak").alias("a"), F.col("bk").alias("b")).distinct()
-    more = _verify(last, sets, percent)
+    more = _verify(last, texts, n, percent)
     final = connected_components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     named = classes.join(final.withColumnRenamed("id", "k"), "k").groupBy("component").agg(F.min("first_id").alias("least"))
