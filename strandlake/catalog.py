@@ -133,6 +133,33 @@ a as (select sample, """ + ", ".join(f"{fn} filter (k = '{k}') as {n}_{w}" for k
 select a.*, c.* exclude (sample), n_files * (n_files - 1) // 2 as expected_within, cast(n_files * ((select sum(n_files) from c) - n_files) as bigint) as expected_cross,
   case when min_within > 0 and max_within < 0.5 and min_cross > 0.5 then 'PASS' else 'FAIL' end as verdict from a join c using (sample) where n_within > 0 and n_cross > 0""")
 
+_PAIR = "from (select name, seq, length(seq) as n from fx_sequences)"
+_spans = lambda s: s.select(F.col("name").alias("contig"), F.explode(F.array(*[F.struct(F.lit(a).cast("long").alias("start_pos"), F.lit(b).cast("long").alias("end_pos")) for a, b in ((10, 60), (40, 90))])).alias("x")).select("contig", "x.start_pos", "x.end_pos")
+_add("mask_sequence", ("fx_sequences",), lambda s: sq.mask(s, iv.merge(_spans(s))), f" select name, case when n > 10 then left(seq, 10) || repeat('N', least(n, 90) - 10) || substr(seq, 91) else seq end as seq {_PAIR}")
+_add("extract_sequence", ("fx_sequences",), lambda s: sq.extract(s, _spans(s)), " select name, cast(a as bigint) as start_pos, cast(b as bigint) as end_pos, substr(seq, a + 1, b - a) as seq from fx_sequences, (values (10, 60), (40, 90)) v(a, b)")
+_add("telomere_ends", ("fx_sequences",), lambda s: sq.telomere_ends(s, 1000, 6), " select name, " + ", ".join(f"coalesce(list_max(list_transform(regexp_extract_all({side}(seq, 1000), '(?:TTAGGG|CCCTAA)+'), lambda x: length(x))), 0) >= 6 as at_{end}" for side, end in (("left", "start"), ("right", "end"))) + " from fx_sequences")
+_add("subset_by_names", ("fx_sequences",), lambda s: sq.subset_by_names(s, s.where(_PARTS[0])), f" select * from fx_sequences where {_PARTS[0]}")
+_add("drop_by_names", ("fx_sequences",), lambda s: sq.subset_by_names(s, s.where(_PARTS[0]), drop=True), f" select * from fx_sequences where not ({_PARTS[0]})")
+_add("filter_len_fasta", ("fx_sequences",), lambda s: s.where("length(seq) >= 1000"), " select * from fx_sequences where length(seq) >= 1000")
+_add("unmask_upper", ("fx_sequences",), lambda s: s.withColumn("seq", F.upper("seq")), " select name, description, upper(seq) as seq from fx_sequences")
+_add("kmer_high_freq", ("fx_sequences",), lambda s: km.high_frequency(km.kmer_count(s)), _KMERS + """, k2 as (select kmer, count(*) as n from c group by 1), h as (select n, count(*) as d from k2 group by 1),
+r as (select n, sum(d) over (order by n) as c, sum(d) over () as t from h) select kmer, n from k2 where n > (select min(n) from r where c >= 0.9998 * t)""")
+_add("kmer_qv", ("fx_sequences",), lambda s: km.kmer_qv(km.kmer_count(s.where(_PARTS[0])), km.kmer_count(s.where(_PARTS[1]))).withColumns({"error": F.round("error", 9), "qv": F.round("qv", 6)}), ", k as (select description, substr(seq, i, 21) as x from (select description, seq, unnest(range(1, length(seq) - 19)) as i from fx_sequences where length(seq) >= 21)), c as (select description, least(x, reverse(translate(x, 'ACGTacgt', 'TGCAtgca'))) as kmer from k where not contains(x, 'N')), " + f"a as (select distinct kmer from c where {_PARTS[0]}), b as (select distinct kmer from c where {_PARTS[1]}), " + """t as (select count(*) as total, count(*) filter (b.kmer is null) as only_assembly from a left join b using (kmer)),
+e as (select *, 1 - power(1 - only_assembly / nullif(total, 0), 1.0 / 21) as error from t) select total, only_assembly, round(error, 9) as error, round(case when error > 0 then -10 * log10(error) end, 6) + 0.0 as qv from e""")
+_add("overlap_resolution", ("fx_intervals",), lambda a: iv.resolve_overlaps(a.withColumn("score", F.col("end_pos") - F.col("start_pos"))), """, s as (select distinct *, end_pos - start_pos as score from fx_intervals)
+select * from s a where not exists (select 1 from s b where a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos and b.score > a.score)""")
+_add("dropped_vs_unmapped", ("fx_contigs", "fx_variants"), iv.list_difference, " select contig, case when a.contig is null then 'right' else 'left' end as side from (select distinct contig from fx_contigs) a full join (select distinct contig from fx_variants) b using (contig) where a.contig is null or b.contig is null")
+_add("intersect_ids", ("fx_contigs", "fx_variants"), lambda c, r: c.select("contig").intersect(r.select("contig")), " select contig from fx_contigs intersect select contig from fx_variants")
+_add("except_ids", ("fx_contigs", "fx_variants"), lambda c, r: c.select("contig").subtract(r.select("contig")), " select contig from fx_contigs except select contig from fx_variants")
+_add("union_distinct_ids", ("fx_contigs", "fx_variants"), lambda c, r: c.select("contig").union(r.select("contig")).distinct(), " select contig from fx_contigs union select contig from fx_variants")
+_add("first_n_records", ("fx_read_lengths",), le.first_records, " select * from fx_read_lengths qualify row_number() over (partition by file order by read_id, length) <= 100")
+_add("ont_qc_summary", ("fx_run_summary",), le.ont_qc_summary, None)
+_SQL["ont_qc_summary"] = "select file, " + ", ".join(f"max({c}) filter (class = '{k}') as {k}_{c}" for k in ("pass", "fail") for c in ("n50", "gb", "coverage", *[f"cov_{x}kb" for x in (100, 200, 300, 400, 500, 1000)], "reads_1mb")) + f" from ({_SQL['ont_run_stats']}) group by file"
+_add("natural_sort", ("fx_contigs",), lambda c: c.select("contig", *rp.natural_key(F.col("contig"))).orderBy("prefix", "number", "rest"), " select contig, regexp_extract(contig, '^(\\D*)', 1) as prefix, cast(regexp_extract(contig, '(\\d+)', 1) as bigint) as number, regexp_extract(contig, '^\\D*\\d*(.*)$', 1) as rest from fx_contigs order by 2, 3, 4")
+_add("melt_metrics", ("fx_base_counts",), lambda b: rp.melt(b, ["contig", "pos"], ["a", "c", "g", "t"]), " " + " union all ".join(f"select contig, pos, '{x}' as metric, {x} as value from fx_base_counts" for x in "acgt"))
+_add("metric_mean_stdev", ("fx_variants",), lambda v: rp.metric_mean_stdev(v.withColumn("m", F.when(F.col("filter") == "RefCall", "Not_Calc").otherwise(F.col("gq").cast("string"))), "contig", "m").withColumns({"mean": F.round("mean", 6), "stdev": F.round("stdev", 6)}), " select contig, count(*) filter (filter <> 'RefCall') as n, round(avg(gq) filter (filter <> 'RefCall'), 6) as mean, round(stddev_samp(gq) filter (filter <> 'RefCall'), 6) as stdev from fx_variants group by 1")
+_add("vcf_drop_star", ("fx_variants",), va.drop_star, " select * from fx_variants where not contains(alt, '*')")
+
 
 def queries() -> dict:
     return dict(_MADE)

@@ -85,3 +85,17 @@ def alignment_ignore_filter(alignments: DataFrame, regions: DataFrame) -> DataFr
     edge = regions.groupBy(F.col("contig").alias("target")).agg(F.max("start_pos").alias("last_start"), F.min("end_pos").alias("first_end"))
     met = alignments.join(edge, "target", "left")
     return met.where("last_start is null or target_start < last_start or target_end > first_end").drop("last_start", "first_end")
+
+
+def resolve_overlaps(annotations: DataFrame, score: str = "score", width: int = 4096) -> DataFrame:
+    """Annotations that no overlapping one outscores; equal scores both stay."""
+    rows = annotations.distinct()
+    beaten = overlaps(rows, rows.select("contig", "start_pos", "end_pos", score), width).where(F.col("b_" + score) > F.col(score))
+    return rows.join(beaten.select(*rows.columns).distinct(), rows.columns, "left_anti")
+
+
+def list_difference(a: DataFrame, b: DataFrame, key: str = "contig") -> DataFrame:
+    """Keys of one list alone, with the side that has them."""
+    left, right = (x.select(key).distinct().withColumn(n, F.lit(True)) for x, n in ((a, "l"), (b, "r")))
+    met = left.join(right, key, "full_outer").where("l is null or r is null")
+    return met.select(key, F.when(F.col("l"), "left").otherwise("right").alias("side"))

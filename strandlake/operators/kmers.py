@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sequences import reverse_complement
@@ -39,3 +39,11 @@ def kmer_qv(assembly: DataFrame, reads: DataFrame, k: int = 21) -> DataFrame:
     met = assembly.join(reads.select("kmer", F.lit(1).alias("seen")), "kmer", "left")
     out = met.agg(F.count("*").alias("total"), F.count_if(F.col("seen").isNull()).alias("only_assembly"))
     return out.withColumn("error", 1 - F.pow(1 - F.col("only_assembly") / F.nullif(F.col("total"), F.lit(0)), F.lit(1.0 / k))).withColumn("qv", F.when(F.col("error") > 0, -10 * F.log10("error")))
+
+
+def high_frequency(counts: DataFrame, fraction: float = 0.9998) -> DataFrame:
+    """k-mers more frequent than the smallest count up to which this share of distinct k-mers lies."""
+    hist = counts.groupBy("n").agg(F.count("*").alias("distinct"))  # a row per count
+    run = hist.select("n", F.sum("distinct").over(Window.orderBy("n")).alias("c"), F.sum("distinct").over(Window.partitionBy()).alias("all"))
+    edge = run.where(F.col("c") >= fraction * F.col("all")).agg(F.min("n").alias("edge"))  # one row
+    return counts.join(F.broadcast(edge), F.col("n") > F.col("edge")).drop("edge")

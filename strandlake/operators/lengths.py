@@ -76,3 +76,16 @@ def ont_run_stats(summary: DataFrame, genome: float = 3.3e9, min_q: float = 10.0
     out = run.groupBy("file", "class").agg(F.max(F.when(F.col("b") * 2 >= F.col("bases"), F.col("length"))).alias("n50"), (F.first("bases") / 1e9).alias("gb"), (F.first("bases") / genome).alias("coverage"), *[over(x).alias(f"cov_{x // 1000}kb") for x in (100_000, 200_000, 300_000, 400_000, 500_000, 1_000_000)], F.sum(F.when(F.col("length") >= 1_000_000, F.col("freq")).otherwise(0)).alias("reads_1mb"))
     every = summary.select("file").distinct().withColumn("class", F.explode(F.array(F.lit("pass"), F.lit("fail"))))
     return every.join(out, ["file", "class"], "left").na.fill(0)
+
+
+def first_records(reads: DataFrame, n: int = 100, key: str = "file", order: str = "read_id") -> DataFrame:
+    """The first n records of each file; each task keeps its own first n before the shuffle."""
+    at = F.row_number().over(Window.partitionBy(key).orderBy(order, "length"))
+    return reads.withColumn("at", at).where(F.col("at") <= n).drop("at")
+
+
+def ont_qc_summary(summary: DataFrame) -> DataFrame:
+    """One row per file: the statistics of passed and of failed reads side by side."""
+    stats = ont_run_stats(summary)
+    names = [c for c in stats.columns if c not in ("file", "class")]
+    return stats.groupBy("file").agg(*[F.max(F.when(F.col("class") == k, F.col(c))).alias(f"{k}_{c}") for k in ("pass", "fail") for c in names])

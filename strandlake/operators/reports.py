@@ -50,3 +50,19 @@ def sample_swap_summary(pairs: DataFrame, within_most: float = 0.5, cross_least:
     out = scores.unionByName(cross).groupBy("sample").agg(*agg).where("n_within > 0 and n_cross > 0").join(counts, "sample").join(F.broadcast(total))
     out = out.withColumns({"expected_within": F.expr("n_files * (n_files - 1) div 2"), "expected_cross": F.col("n_files") * (F.col("all_files") - F.col("n_files")), "verdict": F.when((F.col("min_within") > 0) & (F.col("max_within") < within_most) & (F.col("min_cross") > cross_least), "PASS").otherwise("FAIL")})
     return out.drop("all_files")
+
+
+def natural_key(name: Column) -> list[Column]:
+    """Sort columns that put chr2 before chr10: what precedes the first number, the number, the rest."""
+    return [F.regexp_extract(name, r"^(\D*)", 1).alias("prefix"), F.regexp_extract(name, r"(\d+)", 1).try_cast("long").alias("number"), F.regexp_extract(name, r"^\D*\d*(.*)$", 1).alias("rest")]
+
+
+def melt(table: DataFrame, keys: list[str], values: list[str], name: str = "metric") -> DataFrame:
+    """Wide to long."""
+    return table.unpivot(keys, values, name, "value")
+
+
+def metric_mean_stdev(table: DataFrame, key: str, metric: str) -> DataFrame:
+    """Mean and sample standard deviation of a text column; what is not a number, such as Not_Calc, is ignored."""
+    x = F.col(metric).try_cast("double")
+    return table.groupBy(key).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stdev"))

@@ -46,3 +46,17 @@ def test_chunks_lift_back(spark):
 
 def test_every_query_has_sql():
     assert set(catalog.queries()) == set(catalog.oracle_sql())
+
+
+def test_mask_and_extract(spark):
+    seqs = spark.createDataFrame([("a", "ACGTACGTAC"), ("b", "ACG"), ("c", ""), ("d", None)], "name string, seq string")
+    spans = spark.createDataFrame([("a", 2, 4), ("a", 6, 20), ("b", 0, 1), ("c", 0, 5), ("d", 0, 5)], "contig string, start_pos long, end_pos long")
+    assert dict(sq.mask(seqs, spans).collect()) == {"a": "ACNNACNNNN", "b": "NCG", "c": "", "d": None}
+    assert dict(sq.mask(seqs, spans.limit(0)).collect())["a"] == "ACGTACGTAC"
+    got = {(r.name, r.start_pos): r.seq for r in sq.extract(seqs, spans).collect()}
+    assert got["a", 2] == "GT" and got["a", 6] == "GTAC" and got["b", 0] == "A"
+
+
+def test_resolve_overlaps_keeps_ties(spark):
+    rows = spark.createDataFrame([("c", 0, 10, 5), ("c", 5, 15, 7), ("c", 12, 20, 7), ("c", 20, 30, 1)], "contig string, start_pos long, end_pos long, score int")
+    assert sorted(r.start_pos for r in iv.resolve_overlaps(rows).collect()) == [5, 12, 20]
