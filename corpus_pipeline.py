@@ -31,8 +31,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the attention classifier scores below SCORE go."""
-    model = fit_classifier(docs, _labels(spark, sf_dir))
+    """Documents that the attention classifier scores below SCORE go. It is fitted on the documents table as op1 does: the
+    rules have already removed nearly all labelled low-quality texts from docs."""
+    model = fit_classifier(spark.read.parquet(f"{sf_dir}/documents.parquet"), _labels(spark, sf_dir))
     return keep_rows(docs, lambda texts: model.score(texts) >= SCORE)
 
 
