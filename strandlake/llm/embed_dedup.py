@@ -3,14 +3,16 @@
 Each pass gives every vector the signs of random projections, puts the vectors of a label in lexicographic order of
 these bits and compares each with the next `window` in that order. Pairs whose cosine, in double precision, reaches
 the threshold are united across passes. Equal vectors are one from the start. The links of a vector are then counted
-exactly within its component, tile by tile, so the window bounds no vector's number of links.
+exactly within its component, tile by tile, so the window bounds no vector's number of links. The order of a label is cut
+into blocks that each begin with the last `window` vectors of the one before, so no window ends at a cut. A label gets
+more passes the larger it is, as passes_for works out.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -20,10 +22,27 @@ from .store import materialise, partitions
 PASSES = 12
 BITS = 32
 WINDOW = 100
+#: Share of the pairs at the threshold that some pass should compare, whatever the label's size.
+RECALL = 0.995
+#: Vectors of a block of a label's order, the window before it not counted.
+BLOCK = 4096
 #: Vectors of a component in a tile's side, on average.
 TILE = 512
 
 
+def passes_for(vectors: int, threshold: float, window: int, recall: float, least: int) -> int:
+    """Passes for a label of so many vectors.
+
+    A pair at the threshold has equal signs in a projection with probability 1 - acos(threshold) / pi. Where it shares
+    the log2(vectors / window) leading bits, about `window` vectors share them, if half of the vectors fall on either side of each
+    projection. Vectors crowded on one side take more passes than this.
+    """
+    if vectors <= window or recall <= 0:
+        return least
+    met = (1 - np.arccos(threshold) / np.pi) ** np.log2(vectors / window)
+    return least if met >= 1 else max(least, int(np.ceil(np.log1p(-recall) / np.log1p(-met))))
+
+
 def _usable(column: str) -> str:
     return f"label is not null and {column} is not null and size({column}) > 0 and not exists({column}, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists({column}, x -> x != 0)"
 
@@ -38,8 +57,8 @@ def _units(binary: list[bytes], dim: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _keys(vectors: DataFrame, passes: int, seed: int) -> DataFrame:
-    """(pass, label, dim, key, id, vec): a row for each vector and pass."""
+def _keys(vectors: DataFrame, seed: int) -> DataFrame:
+    """(pass, label, dim, key, id, vec): a row for each vector and each of its label's passes."""
 
     def project(batches):
         for batch in batches:
@@ -47,20 +66,58 @@ def _keys(vectors: DataFrame, passes: int, seed: int) -> DataFrame:
                 part = batch.slice(k, 2000)
                 flat, sizes = part.column(2).flatten().to_numpy().astype("<f8"), np.diff(part.column(2).offsets.to_numpy())
                 begin = np.cumsum(sizes) - sizes
-                for dim in np.unique(sizes):
-                    rows = np.flatnonzero(sizes == dim)
+                wanted = part.column(3).to_numpy()
+                for dim, passes in np.unique(np.column_stack([sizes, wanted]), axis=0).tolist():
+                    rows = np.flatnonzero((sizes == dim) & (wanted == passes))
                     x = flat[(begin[rows][:, None] + np.arange(dim)).ravel()].reshape(-1, dim)
                     vec = [v.tobytes() for v in x]
-                    bits = _units(vec, dim) @ _planes(int(dim), passes, seed) > 0
+                    bits = _units(vec, dim) @ _planes(dim, passes, seed) > 0
                     weight = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
                     for p in range(passes):
                         yield pa.record_batch([pa.array(np.full(len(rows), p, np.int32)), part.column(0).take(pa.array(rows)), pa.array(np.full(len(rows), dim, np.int32)), pa.array(bits[:, p * BITS : (p + 1) * BITS] @ weight), part.column(1).take(pa.array(rows)), pa.array(vec, pa.binary())], names=["pass", "label", "dim", "key", "id", "vec"])
 
-    return vectors.select(F.col("label").cast("long").alias("label"), "id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(project, "pass int, label long, dim int, key long, id long, vec binary")
+    return vectors.select(F.col("label").cast("long").alias("label"), "id", F.col("embedding").cast("array<double>").alias("embedding"), F.col("passes").cast("int").alias("passes")).mapInArrow(project, "pass int, label long, dim int, key long, id long, vec binary")
+
 
+def _blocks(keys: DataFrame, window: int) -> DataFrame:
+    """(pass, label, dim, block, rank, id): the order of each pass and label in blocks; ranks below block * size are the window before."""
+    size = max(BLOCK, window)
+    group, order = ["pass", "label", "dim"], ["pass", "label", "dim", "key", "id"]
 
-def _window_links(keys: DataFrame, threshold: float, window: int) -> DataFrame:
-    """Links within the windows, as a forest per task: (a, b). A window ends where a task's key range ends."""
+    def number(batches):
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        part, last, at = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in group]
+            new = np.zeros(n, bool)
+            for c in columns:
+                new[1:] |= c[1:] != c[:-1]
+            heads = np.concatenate([[0], np.flatnonzero(new)])
+            first = np.arange(n) - np.repeat(heads, np.diff(np.append(heads, n)))
+            if tuple(c[0] for c in columns) == last:
+                first[: heads[1] if len(heads) > 1 else n] += at
+            last, at = tuple(c[-1] for c in columns), int(first[-1]) + 1
+            yield pa.record_batch([*[batch.column(k) for k in group], batch.column("id"), pa.array(np.full(n, part, np.int32)), pc.cast(pa.array(first), pa.int64())], names=[*group, "id", "part", "at"])
+
+    slim = keys.select(*order).repartitionByRange(partitions(keys.sparkSession), *order).sortWithinPartitions(*order)
+    placed = materialise(slim.mapInArrow(number, "pass int, label long, dim int, id long, part int, at long"), "order")
+    counts = placed.groupBy(*group, "part").agg(F.count("*").alias("n"))
+    before = counts.withColumn("before", F.sum("n").over(Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
+    # A row for each range that goes on with the group of the range before: fewer than there are ranges.
+    before = before.where("before > 0").select(*group, "part", "before")
+    ranked = placed.join(F.broadcast(before), [*group, "part"], "left").withColumn("rank", F.col("at") + F.coalesce("before", F.lit(0)))
+    own = F.expr(f"rank div {size}")
+    both = F.when(F.col("rank") % size >= size - window, F.array(own, own + 1)).otherwise(F.array(own))
+    return ranked.select(*group, F.explode(both).alias("block"), "rank", "id")
+
+
+def _window_links(vectors: DataFrame, keys: DataFrame, threshold: float, window: int) -> DataFrame:
+    """Links within the windows, as a forest per block: (a, b). vectors: (id, vec)."""
 
     def scan(batches):
         parent: dict[int, int] = {}
@@ -88,7 +145,7 @@ def _window_links(keys: DataFrame, threshold: float, window: int) -> DataFrame:
 
         group, old_ids, old = None, None, None
         for batch in batches:
-            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("pass", "label", "dim")]
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("pass", "label", "dim", "block")]
             new = np.zeros(batch.num_rows, bool)
             for c in columns:
                 new[1:] |= c[1:] != c[:-1]
@@ -109,8 +166,9 @@ def _window_links(keys: DataFrame, threshold: float, window: int) -> DataFrame:
                 old_ids, old = np.concatenate([old_ids, ids])[-window:], np.concatenate([old, x])[-window:]
             yield pa.record_batch([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
-    order = ["pass", "label", "dim", "key", "id"]
-    return keys.repartitionByRange(partitions(keys.sparkSession), *order).sortWithinPartitions(*order).mapInArrow(scan, "a long, b long")
+    block = ["pass", "label", "dim", "block"]
+    dealt = _blocks(keys, window).join(vectors, "id").select(*block, "rank", "id", "vec")
+    return dealt.repartition(partitions(keys.sparkSession), *block).sortWithinPartitions(*block, "rank").mapInArrow(scan, "a long, b long")
 
 
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
@@ -140,22 +198,27 @@ def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
     return dealt.repartition("c", "i", "j").sortWithinPartitions("c", "i", "j").mapInArrow(tile, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def dedup_embeddings(embeddings: DataFrame, threshold: float = 0.93, passes: int = PASSES, window: int = WINDOW, seed: int = 3) -> DataFrame:
+def dedup_embeddings(embeddings: DataFrame, threshold: float = 0.93, passes: int = PASSES, window: int = WINDOW, seed: int = 3, recall: float = RECALL) -> DataFrame:
     """embeddings -> (vec_id, n_links, component_id, kept), one row per input row.
 
     Vectors link when their labels are equal and not null and their cosine is at least the threshold. A vector that is
     null, empty, zero or holds a null or non-finite number, or whose label is null, links with nothing. Vectors of
     different lengths are not compared. Equal vectors link with one another; repeated rows are vectors each. Other
     columns are ignored; an empty table gives no rows. component_id: smallest vec_id reachable; kept: it is one's own.
+    passes: at least so many for every label, more where a label's size asks for them to reach `recall`.
     """
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.withColumn("embedding", F.expr(f"if({_usable('embedding')}, embedding, null)"))
     rows = rows.withColumn("key", F.when(F.col("embedding").isNotNull(), F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.transform("embedding", lambda x: F.hex(x.cast("string")))), 256)))
     rows = materialise(rows, "vectors")
     distinct = materialise(rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("times"), F.first("label").alias("label"), F.first("embedding").alias("embedding")), "distinct")
-    keys = _keys(distinct, passes, seed)
-    found = connected_components(_window_links(keys, threshold, window))
-    pack = _keys(distinct, 1, seed).select("id", "dim", "vec")
+    sizes = distinct.groupBy("label").count()
+    more = F.udf(lambda n: passes_for(n, threshold, window, recall, passes), "int")(F.col("count"))
+    # Labels of so many vectors that they need more passes: few, as each holds tens of thousands.
+    large = sizes.withColumn("more", more).where(F.col("more") > passes).select("label", "more")
+    dealt = distinct.join(F.broadcast(large), "label", "left").withColumn("passes", F.coalesce("more", F.lit(passes)))
+    pack = _keys(distinct.withColumn("passes", F.lit(1)), seed).select("id", "dim", "vec")
+    found = connected_components(_window_links(pack.select("id", "vec"), _keys(dealt, seed), threshold, window))
     members = found.join(pack, "id").join(distinct.select("id", "times"), "id").select(F.col("component").alias("c"), "dim", "id", "times", "vec")
     counts = _link_counts(members, threshold)
     known = distinct.select("key", "id", "times").join(found, "id", "left").join(counts, "id", "left").select("key", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n"), F.coalesce("component", "id").alias("c"))
