@@ -9,12 +9,24 @@ import pyarrow as pa
 
 
 def runs(batches, keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows with equal keys, which lie side by side in the sorted batches, as one batch each; keys hold no nulls."""
+    """Rows with equal keys, which lie side by side in the sorted batches, as one batch each; keys hold no nulls.
+
+    Binary and string columns of a run of 2 GiB or more come as their large types.
+    """
     held: list[pa.RecordBatch] = []
     last = None
 
     def joined() -> pa.RecordBatch:
-        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        if len(held) == 1:
+            return held[0]
+        table = pa.Table.from_batches(held)
+        if table.nbytes >= 2**31:  # more than 32-bit offsets reach in one chunk
+            wide = {pa.binary(): pa.large_binary(), pa.string(): pa.large_string()}
+            table = table.cast(pa.schema([f.with_type(wide.get(f.type, f.type)) for f in table.schema]))
+        whole = table.combine_chunks().to_batches()
+        if len(whole) != 1:
+            raise RuntimeError(f"a run of {table.num_rows} rows came out in {len(whole)} batches")
+        return whole[0]
 
     for batch in batches:
         n = batch.num_rows
