@@ -43,8 +43,7 @@ def op4_stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import read_token_files, write_token_files
 
     folder = f"{shared_dir(spark)}/tokens"
-    if not write_token_files(_read(spark, sf_dir, "documents"), folder, _vocabulary("word_bpe_49k.json")):
-        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
+    write_token_files(_read(spark, sf_dir, "documents"), folder, _vocabulary("word_bpe_49k.json"))
     return read_token_files(spark, folder)
 
 

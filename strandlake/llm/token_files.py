@@ -1,10 +1,10 @@
 """Token ids as Arrow stream files with fixed-size-list batches.
 
-A file is an Arrow IPC stream of (ids: fixed_size_list<uint16>[seq_len], mask: fixed_size_list<uint8>[seq_len]).
-The ids of its documents follow one another; mask is 1 on ids and 0 on the padding of the file's last sequence.
-Every batch but the last has rows_per_batch sequences, so sequence i is row i % rows_per_batch of batch
-i // rows_per_batch, and over a memory map both arrays are views of the file. A batch's metadata names the documents
-that begin in it.
+A file is an Arrow IPC stream of (ids: fixed_size_list<uint16>[seq_len], mask: fixed_size_list<bool>[seq_len]).
+The ids of its documents follow one another; mask is true on ids and false on the padding of the file's last sequence;
+Arrow keeps it as one bit an id. Every batch but the last has rows_per_batch sequences, so sequence i is row
+i % rows_per_batch of batch i // rows_per_batch, and over a memory map both arrays are views of the file. A batch's
+metadata names the documents that begin in it. A manifest table beside the files holds each file's number of ids.
 """
 
 from __future__ import annotations
@@ -24,18 +24,19 @@ SEQ_LEN = 1024
 ROWS_PER_BATCH = 256
 #: Ids after which a new file begins, at the next document.
 FILE_IDS = 2_000_000
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def _schema(seq_len: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.uint16(), seq_len)), ("mask", pa.list_(pa.uint8(), seq_len))])
+    return pa.schema([("ids", pa.list_(pa.uint16(), seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])
 
 
 def _write(sink, flat: np.ndarray, docs: np.ndarray, seq_len: int, rows: int) -> None:
     """docs: (id, is null, ids) for each document."""
     begins = np.cumsum(docs[:, 2]) - docs[:, 2]
     n = -(-len(flat) // seq_len)
-    ids, mask = np.zeros(n * seq_len, np.uint16), np.zeros(n * seq_len, np.uint8)
-    ids[: len(flat)], mask[: len(flat)] = flat, 1
+    ids, mask = np.zeros(n * seq_len, np.uint16), np.zeros(n * seq_len, bool)
+    ids[: len(flat)], mask[: len(flat)] = flat, True
     with pa.ipc.new_stream(sink, _schema(seq_len)) as out:
         for k in range(0, n, rows):
             a, b = k * seq_len, min(k + rows, n) * seq_len
@@ -44,12 +45,12 @@ def _write(sink, flat: np.ndarray, docs: np.ndarray, seq_len: int, rows: int) ->
             out.write_batch(pa.record_batch(columns, schema=_schema(seq_len)), custom_metadata={"docs": own.astype("<i8").tobytes()})
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, words: bool = True, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", seq_len: int = SEQ_LEN, rows_per_batch: int = ROWS_PER_BATCH, file_ids: int = FILE_IDS) -> int:
-    """Writes all documents in ascending id order (nulls first, equal ids by text) and returns the number of files.
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", seq_len: int = SEQ_LEN, rows_per_batch: int = ROWS_PER_BATCH, file_ids: int = FILE_IDS, special_as_text: bool = False) -> None:
+    """Writes all documents in ascending id order (nulls first, equal ids by text).
 
     folder: a URI that executors can write to. A null or empty text is the end id alone; repeated rows are written
-    each; other columns are ignored; an empty table writes no file. Files get their final names when complete, so a
-    repeated task replaces what a lost one left.
+    each; other columns are ignored; an empty table writes no file and an empty manifest. Files get their final names
+    when complete, so a repeated task replaces what a lost one left.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.repartitionByRange(partitions(docs.sparkSession), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
@@ -58,40 +59,47 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, words: bool
         from pyarrow import fs
         from pyspark import TaskContext
 
-        from .tokenise import encoder
+        from .tokenise import encoder, text_slices, with_end
 
-        enc, task = encoder(tokenizer, words), TaskContext.get()
+        enc, task = encoder(tokenizer, special_as_text), TaskContext.get()
         files, top = fs.FileSystem.from_uri(folder)
         parts, index, held, count = [], [], 0, 0
 
-        def flush() -> str:
+        def flush() -> pa.RecordBatch:
             files.create_dir(top, recursive=True)
             name = f"part-{task.partitionId():07d}-{count:06d}.arrow"
             hidden = f"{top}/_{name}.{task.taskAttemptId()}"
             with files.open_output_stream(hidden) as sink:
-                _write(sink, np.concatenate(parts), np.array(index, np.int64), seq_len, rows_per_batch)
+                _write(sink, np.concatenate(parts), np.concatenate(index), seq_len, rows_per_batch)
             files.move(hidden, f"{top}/{name}")
-            return name
+            return pa.record_batch({"part": pa.array([task.partitionId()], pa.int32()), "file": [name], "ids": pa.array([held], pa.int64())})
 
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
-            for a, b in slices(texts):
-                for key, data in zip(keys[a:b].to_pylist(), enc.ids([t or "" for t in texts[a:b].to_pylist()]), strict=True):
-                    flat = np.append(np.frombuffer(data, "<u2"), np.uint16(end_id))
-                    if held and held + len(flat) > file_ids:
-                        yield pa.record_batch({"file": [flush()]})
+            for a, b in text_slices(texts):
+                flat, offsets = with_end(*enc.ids(texts[a:b]), end_id)
+                own = np.column_stack([keys[a:b].fill_null(0).to_numpy(), keys[a:b].is_null().to_numpy(zero_copy_only=False), np.diff(offsets)]).astype(np.int64)
+                k = 0
+                while k < b - a:  # documents are never split between files
+                    room = int(np.searchsorted(offsets, offsets[k] + max(file_ids - held, 0), "right")) - 1
+                    end = min(max(room, k if held else k + 1), b - a)
+                    if end > k:
+                        parts.append(flat[offsets[k] : offsets[end]])
+                        index.append(own[k:end])
+                        held += int(offsets[end] - offsets[k])
+                    if end < b - a:
+                        yield flush()
                         parts, index, held, count = [], [], 0, count + 1
-                    parts.append(flat)
-                    index.append((key or 0, key is None, len(flat)))
-                    held += len(flat)
+                    k = end
         if held:
-            yield pa.record_batch({"file": [flush()]})
+            yield flush()
 
-    return rows.mapInArrow(write, "file string").count()
+    rows.mapInArrow(write, "part int, file string, ids long").write.mode("overwrite").parquet(f"{folder}/manifest")
 
 
 class TokenFile:
-    """Random access to the sequences of one local file, without copies: sequence(i) -> views (ids, mask)."""
+    """Random access to the sequences of one local file, without copies: sequence(i) -> views (ids as numpy, mask as an
+    Arrow boolean array)."""
 
     def __init__(self, path: str):
         with pa.ipc.open_stream(pa.memory_map(path)) as reader:
@@ -101,10 +109,11 @@ class TokenFile:
     def __len__(self) -> int:
         return sum(b.num_rows for b in self.batches)
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         batch, row = self.batches[i // self.rows], i % self.rows
         n = batch.schema.field("ids").type.list_size
-        return tuple(batch.column(k).flatten().to_numpy(zero_copy_only=True)[row * n : (row + 1) * n] for k in (0, 1))
+        ids, mask = (batch.column(k).flatten().slice(row * n, n) for k in (0, 1))
+        return ids.to_numpy(zero_copy_only=True), mask
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -121,8 +130,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                             part, said = reader.read_next_batch_with_custom_metadata()
                         except StopIteration:
                             break
-                        flat, mask = (part.column(k).flatten().to_numpy() for k in (0, 1))
-                        ids.append(flat[mask == 1])
+                        flat, mask = (part.column(k).flatten() for k in (0, 1))
+                        ids.append(flat.to_numpy()[: mask.true_count])  # padding is at the end
                         docs.append(np.frombuffer(said[b"docs"], "<i8").reshape(-1, 3))
                 flat, docs = np.concatenate(ids).astype("<u4"), np.concatenate(docs)
                 ends = np.cumsum(docs[:, 2])
@@ -130,9 +139,12 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                 crc = [zlib.crc32(flat[a:b]) for a, b in zip(begins, ends, strict=True)]
                 yield pa.record_batch([pa.array([os.path.basename(path)] * len(docs), pa.string()), pa.array(docs[:, 0], pa.int64(), mask=docs[:, 1] == 1), pa.array(begins, pa.int64()), pa.array(docs[:, 2], pa.int64()), pa.array(crc, pa.int64())], names=["file", "doc_id", "begins", "n_tokens", "ids_crc32"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.arrow").load(folder).select("path", "content")
-    found = files.mapInArrow(read, schema)
-    # A row a file: a few MB of ids each.
-    totals = files.select(F.element_at(F.split("path", "/"), -1).alias("file")).join(found.groupBy("file").agg(F.sum("n_tokens").alias("n")), "file")
-    before = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("base"))
+    manifest = spark.read.schema("part int, file string, ids long").parquet(f"{folder}/manifest")
+    # Where each file begins: sums within a part, and over the parts, a row each.
+    parts = manifest.groupBy("part").agg(F.sum("ids").alias("all"))
+    parts = parts.select("part", (F.sum("all").over(Window.orderBy("part")) - F.col("all")).alias("before"))
+    inside = F.sum("ids").over(Window.partitionBy("part").orderBy("file")) - F.col("ids")
+    before = manifest.withColumn("inside", inside).join(parts, "part").select("file", (F.col("before") + F.col("inside")).alias("base"))
+    files = spark.read.schema(BINARY_FILE).format("binaryFile").option("pathGlobFilter", "part-*.arrow").option("recursiveFileLookup", "true").load(folder)
+    found = files.select("path", "content").mapInArrow(read, schema)
     return found.join(before, "file").select("doc_id", (F.col("base") + F.col("begins")).alias("start"), "n_tokens", "ids_crc32")

@@ -23,7 +23,10 @@ IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 _SAME = np.arange(256, dtype=np.uint8)
 _LOWER = _SAME.copy()
 _LOWER[65:91] += 32
-_powers = np.ones(1, np.uint64)
+_LOW = 12
+#: _STEP to the powers 0 .. 2^_LOW - 1.
+with np.errstate(over="ignore"):
+    _POWERS = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full((1 << _LOW) - 1, _STEP)]), dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,12 +36,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
+def _power(place: np.ndarray) -> np.ndarray:
+    """_STEP to the power of each place; the tables stay small for words of any length."""
+    out = _POWERS[place & ((1 << _LOW) - 1)]
+    far = np.flatnonzero(place >> _LOW)
+    if len(far):
         with np.errstate(over="ignore"):
-            _powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n, 64), _STEP)]), dtype=np.uint64)
-    return _powers
+            leap = _POWERS[-1] * _STEP
+            high = place[far] >> _LOW
+            table = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(high.max()), leap)]), dtype=np.uint64)
+            out[far] *= table[high]
+    return out
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span; the spans lie side by side and are all of data."""
+    place = np.arange(len(data), dtype=np.int64) - np.repeat(start, length)
+    return mix(np.add.reduceat(_BYTE[data] * _power(place), start) + length.astype(np.uint64))
 
 
 @dataclass
@@ -93,7 +107,7 @@ def split(column: pa.Array, lower: bool = False) -> Words:
         return Words(data, offsets, start, length, doc, first, np.zeros(0, np.uint64))
     at = np.cumsum(length) - length
     place = np.arange(int(length.sum()), dtype=np.int64) - np.repeat(at, length)
-    value = _BYTE[(_LOWER if lower else _SAME)[data[inside]]] * _power(int(length.max()))[place]
+    value = _BYTE[(_LOWER if lower else _SAME)[data[inside]]] * _power(place)
     return Words(data, offsets, start, length, doc, first, mix(np.add.reduceat(value, at) + length.astype(np.uint64)))
 
 
