@@ -98,24 +98,27 @@ class PieceEncoder:
         gap[1:] = space[:-1] & (data[:-1] != 0x20)
         return np.flatnonzero(heads | (space & (before | after)) | (~space & gap))
 
-    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids one after the other, number of ids of each piece) from the library."""
-        plain = [bool(p.strip()) for p in pieces] if self.kind == "spaced" else [True] * len(pieces)
-        out: list = [None] * len(pieces)
-        words = [i for i, ok in enumerate(plain) if ok]
-        if self.mark is not None:
-            for k in range(0, len(words), 2000):
-                some = words[k : k + 2000]
-                flat = self._whole([self.between.join([pieces[i] for i in some])])[0]
-                parts = np.split(flat, np.flatnonzero(flat == self.mark))
-                if len(parts) != len(some):
-                    raise RuntimeError("pieces were not encoded apart")
-                for i, x in zip(some, parts, strict=True):
-                    out[i] = x[1:] if i != some[0] else x
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, x in zip(rest, self._whole([pieces[i] for i in rest]) if rest else [], strict=True):
-            out[i] = x
-        return np.concatenate(out) if out else np.zeros(0, np.uint16), np.array([len(x) for x in out], np.int64)
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, where each piece's begin, how many they are) from the library."""
+        count, order, flats = np.zeros(len(pieces), np.int64), [], []
+        words = np.array([i for i, p in enumerate(pieces) if self.mark is not None and (self.kind == "bare" or not p.isspace())], np.int64)
+        for k in range(0, len(words), 2000):
+            some = words[k : k + 2000]
+            flat = self._whole([self.between.join([pieces[i] for i in some.tolist()])])[0]
+            marks = np.flatnonzero(flat == self.mark)
+            if len(marks) != len(some) - 1:
+                raise RuntimeError("pieces were not encoded apart")
+            count[some] = np.diff(np.concatenate([[-1], marks, [len(flat)]])) - 1
+            flats.append(np.delete(flat, marks))
+            order.append(some)
+        rest = np.setdiff1d(np.arange(len(pieces)), words)
+        for i, x in zip(rest.tolist(), self._whole([pieces[i] for i in rest.tolist()]) if len(rest) else [], strict=True):
+            count[i] = len(x)
+            flats.append(x)
+        order = np.concatenate([*order, rest]).astype(np.int64)
+        begin = np.zeros(len(pieces), np.int64)
+        begin[order] = np.cumsum(count[order]) - count[order]
+        return np.concatenate(flats) if flats else np.zeros(0, np.uint16), begin, count
 
     def _known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in the cache, whether it is there) of each key."""
@@ -124,14 +127,14 @@ class PieceEncoder:
         here[here] = self.keys[at[here]] == keys[here]
         return at, here
 
-    def _add(self, keys: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+    def _add(self, keys: np.ndarray, ids: np.ndarray, begin: np.ndarray, counts: np.ndarray) -> None:
         if len(self.keys) + len(keys) > CACHE:
             stay = (self.used == self.turn) | (self.used > np.median(self.used))
             where = _spans(self.begin[stay], self.count[stay])
             self.pool, self.keys, self.count, self.used = self.pool[where], self.keys[stay], self.count[stay], self.used[stay]
             self.begin = np.cumsum(self.count) - self.count
         at = np.searchsorted(self.keys, keys)
-        begin = len(self.pool) + np.cumsum(counts) - counts
+        begin = len(self.pool) + begin
         self.keys, self.begin, self.count = np.insert(self.keys, at, keys), np.insert(self.begin, at, begin), np.insert(self.count, at, counts)
         self.used, self.pool = np.insert(self.used, at, self.turn), np.concatenate([self.pool, ids])
 
@@ -153,8 +156,7 @@ class PieceEncoder:
         if len(new):
             whole = data.tobytes()
             texts = [whole[a : a + n].decode() for a, n in zip(start[first[new]].tolist(), size[first[new]].tolist(), strict=True)]
-            ids, counts = self._learn([t.strip() for t in texts] if self.kind == "bare" else texts)
-            self._add(keys[new], ids, counts)
+            self._add(keys[new], *self._learn([t.strip() for t in texts] if self.kind == "bare" else texts))
         at, here = self._known(keys)
         at[~here] = 0
         if len(self.keys):
