@@ -1,10 +1,10 @@
 """Mixing sources to target weights, with DataFrame functions alone.
 
 Each source is one stream of words, document after document, cut into fixed-length blocks. Every output shard has a
-number of slots; each source gets its whole expected share of them, and the slots left over are drawn multinomially.
-Slot j of a source takes block p(j mod n) of its n blocks, where p is a pseudorandom permutation of the indices that
-differs with the source and the round j div n; slots and blocks are joined by (source, index). Draws are hashes of
-(seed, shard, slot): the same table gives the same mix.
+number of slots; each slot draws its source, so a shard's counts are multinomial. What the draws of all shards give a
+source above its target goes to the sources that fell short, slot by slot. Slot j of a source takes block p(j mod n) of
+its n blocks, where p is a pseudorandom permutation keyed by the source and the round j div n; slots and blocks are
+joined by (source, index). Draws are hashes of (seed, slot): the same table gives the same mix.
 """
 
 from __future__ import annotations
@@ -19,16 +19,39 @@ from .store import materialise
 BLOCK = 64
 SHARD_SLOTS = 1024
 WEIGHTS = (5.0, 2.0, 1.0)
-#: Primes above any number of blocks of a source; multiplying by one modulo n permutes the n indices.
-PRIMES = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497)
-#: Documents in a group of a source within which sizes are summed in order.
+#: Documents in a group of a source within which sizes are summed in order; shards in a group likewise.
 GROUP = 2000
+#: Equal parts of [0, 1) by which a slot's draw finds its source.
+BINS = 4096
+#: Rounds of the swap-or-not permutation.
+SWAPS = 24
 
 
 def _uniform(*what) -> Column:
     return F.pmod(F.xxhash64(*what), F.lit(1 << 40)) / float(1 << 40)
 
 
+def permuted(x: Column, n: Column, *key) -> Column:
+    """A pseudorandom permutation of 0 .. n - 1 for each key, by swap-or-not: each round pairs x with K - x (mod n) and a
+    hash of the larger one decides whether they change places. Right for every n; nothing is gathered."""
+
+    def step(at: Column, turn: Column) -> Column:
+        other = F.pmod(F.pmod(F.xxhash64(*key, turn), n) - at + n, n)
+        return F.when(F.xxhash64(*key, turn, F.greatest(at, other)) >= 0, at).otherwise(other)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(SWAPS)), x, step)
+
+
+def _prefix(rows: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
+    """rows with `before`, the sum of value over the smaller values of the long column order, per keys: sums within groups of
+    GROUP, and over the groups."""
+    dealt = rows.withColumn("group", F.floor(F.col(order) / GROUP))
+    total = dealt.groupBy(*keys, "group").agg(F.sum(value).alias("sum"))
+    base = total.select(*keys, "group", (F.sum("sum").over(Window.partitionBy(*keys).orderBy("group")) - F.col("sum")).alias("base"))
+    inside = F.sum(value).over(Window.partitionBy(*keys, "group").orderBy(order)) - F.col(value)
+    return dealt.withColumn("inside", inside).join(base, [*keys, "group"]).withColumn("before", F.col("base") + F.col("inside")).drop("group", "base", "inside")
+
+
 def plan_targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """(source, source_size) -> target added: share of all words by weight, at most `most` times a source's size, the
     excess given to the others by weight until none is above.
@@ -65,8 +88,8 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: int
 
     A null text has size 0 and is never taken; null sources are one source, last in order; identical rows lie side by
     side in the stream and share what is taken of them; other columns are ignored; an empty table gives no rows. No
-    block is taken more than `most` times, so no document exceeds that. A source's blocks number at most 2^31: choose
-    longer blocks beyond. Sizes are counted once and written to the shared folder.
+    block is taken more than `most` times, so no document exceeds that. Sizes are counted once and written to the
+    shared folder when called.
     """
     key = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("null"))
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
@@ -103,35 +126,61 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: int
     return Mix(per_doc, pieces, slot)
 
 
+def slot_counts(stats: DataFrame, slots: int, seed: int) -> DataFrame:
+    """(shard, k, n): how many slots of each shard draw each source. stats: (k, want), a row per source. Each slot draws one
+    number, so the counts of a shard are multinomial; no slots, no rows."""
+    order = Window.orderBy("k")
+    sources = stats.where("want > 0").withColumn("high", F.sum("want").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("want").over(Window.partitionBy()))
+    sources = sources.select("k", F.coalesce(F.lag("high").over(order), F.lit(0.0)).alias("low"), F.when(F.lead("k").over(order).isNull(), 2.0).otherwise(F.col("high")).alias("high"))
+    bins = sources.select("k", "low", "high", F.explode(F.sequence(F.floor(F.col("low") * BINS).cast("int"), F.least(F.floor(F.col("high") * BINS).cast("int"), F.lit(BINS - 1)))).alias("bin"))
+    n = stats.agg(F.round(F.sum("want")).cast("long")).first()[0] or 0
+    shards = stats.sparkSession.range(-(-n // slots)).select(F.col("id").alias("shard"), F.lit(n).cast("long").alias("n"))
+    drawn = shards.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(slots), F.col("n") - F.col("shard") * slots) - 1)).alias("slot"))
+    drawn = drawn.withColumn("u", _uniform(F.lit(seed), "shard", "slot")).withColumn("bin", F.floor(F.col("u") * BINS).cast("int"))
+    # A row for each source and bin that it reaches into: BINS rows and one a source.
+    return drawn.join(bins, "bin").where("u >= low and u < high").groupBy("shard", "k").agg(F.count("*").alias("n"))
+
+
 def _slots(stats: DataFrame, most: int, slots: int, seed: int) -> DataFrame:
-    every = Window.partitionBy()
-    chance = stats.withColumn("p", F.col("want") / F.nullif(F.sum("want").over(every), F.lit(0.0))).withColumn("n_slots", F.round(F.sum("want").over(every)).cast("long"))
-    table = chance.where("p > 0").agg(F.max("n_slots").alias("n"), F.array_sort(F.collect_list(F.struct("k", "p"))).alias("table"))  # one row: the sources
-    shards = table.where("n > 0").select("n", "table", F.explode(F.expr(f"sequence(0L, cast(ceil(n / {slots}) as bigint) - 1)")).alias("shard"))
-    shards = shards.withColumn("room", F.least(F.lit(slots), F.col("n") - F.col("shard") * slots)).repartition(F.col("shard"))
-    wanted = F.transform("table", lambda t: F.struct(t["k"].alias("k"), F.floor(t["p"] * F.col("room")).alias("whole"), (t["p"] * F.col("room") - F.floor(t["p"] * F.col("room"))).alias("rest")))
-    shares = shards.select("shard", "room", wanted.alias("parts"))
-    shares = shares.withColumn("left", F.col("room") - F.aggregate("parts", F.lit(0).cast("long"), lambda a, t: a + t["whole"]))
-    shares = shares.withColumn("edges", F.aggregate("parts", F.array().cast("array<double>"), lambda a, t: F.array_append(a, F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0.0)) + t["rest"])))
-    drawn = F.transform(F.sequence(F.lit(1).cast("long"), F.col("left")), lambda i: F.least(F.size(F.filter("edges", lambda e: e <= _uniform(F.lit(seed), F.col("shard"), i) * F.element_at("edges", -1))), F.size("edges") - 1))
-    shares = shares.withColumn("picks", F.when(F.col("left") > 0, drawn).otherwise(F.array().cast("array<int>")))
-    counts = shares.select("shard", F.posexplode("parts").alias("i", "part"), "picks").select("shard", F.col("part.k").alias("k"), (F.col("part.whole") + F.size(F.filter("picks", lambda x: x == F.col("i")))).alias("n"))
-    counts = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("shard"))).where("n > 0")
-    slot = counts.select("shard", "k", F.explode(F.sequence(F.col("upto") - F.col("n"), F.col("upto") - 1)).alias("j")).join(stats.select("k", "blocks"), "k")
-    slot = slot.withColumn("round", F.floor(F.col("j") / F.col("blocks"))).where(F.col("round") < most)
-    prime = F.element_at(F.array(*[F.lit(x) for x in PRIMES]), (F.pmod(F.xxhash64("k", "round", F.lit(seed)), F.lit(len(PRIMES))) + 1).cast("int")).cast("long")
-    index = F.pmod(F.pmod("j", "blocks") * F.pmod(prime, F.col("blocks")) + F.pmod(F.xxhash64("k", "round", F.lit(seed + 1)), F.col("blocks")), F.col("blocks"))
-    return slot.select("shard", "k", "round", index.alias("index"))
+    """(shard, k, round, index) of all slots. A source's slots are numbered over the shards; those beyond its target
+    are dealt, in order, to the sources that have fewer."""
+    spark = stats.sparkSession
+    drawn = materialise(_prefix(slot_counts(stats, slots, seed), ["k"], "shard", "n"), "slots")
+    got = drawn.groupBy("k").agg(F.sum("n").alias("got"))
+    goal = F.least(F.round("want").cast("long"), F.col("blocks") * most)
+    level = stats.join(got, "k", "left").select("k", "blocks", goal.alias("goal"), F.least(F.coalesce("got", F.lit(0)), goal).alias("stay"), F.coalesce("got", F.lit(0)).alias("got"))
+    order = Window.orderBy("k")  # a row per source
+    level = level.withColumns({"over": F.col("got") - F.col("stay"), "short": F.col("goal") - F.col("stay")})
+    wide = F.greatest(F.lit(1).cast("long"), F.ceil(F.sum("short").over(Window.partitionBy()) / BINS))
+    level = level.withColumn("wide", wide)
+    level = materialise(level.withColumns({"over_from": F.sum("over").over(order) - F.col("over"), "short_from": F.sum("short").over(order) - F.col("short")}), "levels")
+    each = drawn.select("shard", "k", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("j"))
+    each = each.join(level.select("k", "stay", "over_from", "wide"), "k")
+    own = each.where("j < stay").select("shard", "k", "j")
+    # The s-th slot too many goes to the source whose shortage it falls into.
+    spare = each.where("j >= stay").select("shard", (F.col("over_from") + F.col("j") - F.col("stay")).alias("s"), "wide").withColumn("bin", F.expr("s div wide")).drop("wide")
+    short = level.where("short > 0").select("k", "stay", "short_from", "short", F.explode(F.sequence(F.expr("short_from div wide"), F.expr("(short_from + short - 1) div wide"))).alias("bin"))
+    dealt = spare.join(short, "bin").where("s >= short_from and s < short_from + short")
+    dealt = dealt.select("shard", "k", (F.col("stay") + F.col("s") - F.col("short_from")).alias("j"))
+    slot = own.unionByName(dealt).join(level.select("k", "blocks"), "k").withColumn("round", F.expr("j div blocks"))
+    return slot.select("shard", "k", "round", permuted(F.expr("j % blocks"), F.col("blocks"), "k", "round", F.lit(seed)).alias("index"))
 
 
 def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     """The mix as documents, with the columns of docs: a row for each document and round that takes words of it, whose
-    text holds those words in order, with the white space before them; n_chars, where there is one, is counted anew."""
+    text holds those words in order, with the white space before them; n_chars, where there is one, is counted anew.
+    Identical rows are one stream, so they give one row a round; a null or empty text gives none."""
     words = F.regexp_extract_all(F.concat(F.lit("\n"), "text"), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    parts = mix.pieces.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie2"), "round").agg(F.max("times").alias("_times"), F.array_sort(F.collect_list(F.struct("first", "n"))).alias("_parts"))
-    own = docs.withColumn("_tie", _tie("text")).dropDuplicates(["doc_id", "_tie"])
-    met = own.join(parts.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_tie2"))).withColumn("_w", F.flatten(F.array_repeat(words, F.col("_times").cast("int"))))
-    text = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice("_w", (p["first"] + 1).cast("int"), p["n"].cast("int")))), "")
+    parts = mix.pieces.groupBy("doc_id", "tie", "round").agg(F.struct(F.max("times").alias("times"), F.array_sort(F.collect_list(F.struct("first", "n"))).alias("spans")).alias("take"))
+    parts = parts.select(F.struct("doc_id", "tie").alias("key of a piece"), "take")
+    # One struct holds the row, so that no column of docs can clash.
+    own = docs.select(F.struct(F.col("doc_id"), _tie("text").alias("tie")).alias("key"), F.struct(*docs.columns).alias("row")).dropDuplicates(["key"])
+    same = (F.col("key")["doc_id"].eqNullSafe(F.col("key of a piece")["doc_id"])) & (F.col("key")["tie"] == F.col("key of a piece")["tie"])
+    met = own.join(parts.hint("merge"), same).select("row.*", F.col("take").alias("what the mix takes"))
+    take = F.col("what the mix takes")
+    # The words are a lambda's argument, so that a text is split once, not once a span.
+    cut = lambda w: F.array_join(F.flatten(F.transform(take["spans"], lambda p: F.slice(w, (p["first"] + 1).cast("int"), p["n"].cast("int")))), "")
+    text = F.transform(F.array(F.flatten(F.array_repeat(words, take["times"].cast("int")))), cut)[0]
     met = met.withColumn("text", F.regexp_replace(text, "^[\\x20\\x09-\\x0D]+", ""))
     if "n_chars" in docs.columns:
         met = met.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
