@@ -40,6 +40,7 @@ BLOCK = 256
 REACH = 1000
 NEIGHBOUR_ROUNDS = 2
 CELLS = 256
+SALTS = 16
 #: Keys of the sets that a task remembers having sent, so that copies are sent once.
 SEEN = 200_000
 
@@ -327,7 +328,9 @@ def _across(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     each = lists.groupBy("h", "c").agg(F.count("*").alias("s"))
     rest = each.groupBy("h").agg(F.sum(F.when(F.col("s") < BLOCK, F.col("s"))).alias("rest"))
     own = F.col("s") >= BLOCK
-    dealt = lists.join(each, ["h", "c"]).join(rest, "h")
+    # A large component in a list would be a hot key, so its row is there SALTS times.
+    salted = each.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    dealt = lists.withColumn("salt", F.pmod(F.xxhash64("k"), F.lit(SALTS).cast("long"))).join(salted, ["h", "c", "salt"]).drop("salt").join(rest, "h")
     dealt = dealt.withColumns({"g": F.when(own, F.col("c")).otherwise(-1), "i": F.when(own, F.pmod(F.xxhash64("k"), F.ceil(F.col("s") / BLOCK))).otherwise(F.pmod(F.xxhash64("c"), F.ceil(F.col("rest") / BLOCK)))})
     dealt = dealt.join(texts.select("k", "sign"), "k").select("h", "g", "i", "k", "c", "n", "pos", "sign")
     blocks = dealt.groupBy("h", "g", "i").agg(F.min("n").alias("low"), F.max("n").alias("high"))
