@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialise
+from .store import materialise, partitions
 
 BLOCK = 64
 SHARD_SLOTS = 1024
@@ -154,7 +154,8 @@ def _slots(stats: DataFrame, most: int, slots: int, seed: int) -> DataFrame:
     wide = F.greatest(F.lit(1).cast("long"), F.ceil(F.sum("short").over(Window.partitionBy()) / BINS))
     level = level.withColumn("wide", wide)
     level = materialise(level.withColumns({"over_from": F.sum("over").over(order) - F.col("over"), "short_from": F.sum("short").over(order) - F.col("short")}), "levels")
-    each = drawn.select("shard", "k", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("j"))
+    # A row stands for up to SHARD_SLOTS slots, so the small table is dealt to all tasks first.
+    each = drawn.repartition(partitions(spark), "k", "shard").select("shard", "k", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("n") - 1)).alias("j"))
     each = each.join(level.select("k", "stay", "over_from", "wide"), "k")
     own = each.where("j < stay").select("shard", "k", "j")
     # The s-th slot too many goes to the source whose shortage it falls into.
