@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import catalog_files, catalog_genome, catalog_tables
 from .operators import alignments as al
 from .operators import intervals as iv
 from .operators import kmers as km
@@ -72,7 +73,7 @@ c as (select contig, cast(sum(end_pos - start_pos) as bigint) as covered from m
 select contig, covered, covered / length as fraction, sources, covered / length >= 0.95 as discard from c join s using (contig) join fx_contigs using (contig)""")
 _add("genome_windows", ("fx_contigs",), lambda c: iv.genome_windows(c, 5000), " select contig, cast(i * 5000 as bigint) as start_pos, least((i + 1) * 5000, length) as end_pos from fx_contigs, range(0, 1000) t(i) where i * 5000 < length")
 _add("interval_summary", ("fx_intervals",), lambda a: iv.summary(a, ["source", "hit_id"]), " select source, hit_id, count(*) as n, count(distinct contig) as contigs, cast(sum(end_pos - start_pos) as bigint) as bases from fx_intervals group by 1, 2")
-_add("alignment_ignore_filter", ("fx_paf", "fx_regions"), iv.alignment_ignore_filter, " select * from fx_paf p where not exists (select 1 from fx_regions r where r.contig = p.target) or exists (select 1 from fx_regions r where r.contig = p.target and (p.target_start < r.start_pos or p.target_end > r.end_pos))")
+_add("alignment_ignore_filter", ("fx_paf", "fx_ignored"), iv.alignment_ignore_filter, " select * from fx_paf p where not exists (select 1 from fx_ignored r where r.contig = p.target) or exists (select 1 from fx_ignored r where r.contig = p.target and (p.target_start < r.start_pos or p.target_end > r.end_pos))")
 
 _add("reverse_complement", ("fx_sequences",), lambda s: s.select("name", sq.reverse_complement(F.col("seq")).alias("seq")), " select name, reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) as seq from fx_sequences")
 _add("break_at_n", ("fx_sequences",), sq.break_at_n, """, p as (select name, list_filter(regexp_split_to_array(seq, '[nN]+'), lambda x: x <> '') as p from fx_sequences),
@@ -86,13 +87,7 @@ o as (select *, sum(length(x)) over (partition by name order by i) as e from e)
 _add("rotate_circular", ("fx_sequences",), lambda s: sq.rotate_circular(s, 37), " select name || '_rot37' as name, substr(seq, 37 % greatest(length(seq), 1) + 1) || left(seq, 37 % greatest(length(seq), 1)) as seq from fx_sequences")
 _add("self_concat", ("fx_sequences",), lambda s: s.select("name", F.repeat("seq", F.lit(2)).alias("seq")), " select name, seq || seq as seq from fx_sequences")
 _add("dedup_by_sequence", ("fx_sequences",), sq.dedup_by_sequence, " select sha256(seq) as digest, min(name) as name, count(*) as copies from fx_sequences group by seq")
-_KMERS = """, k as (select substr(seq, i, 21) as x from (select seq, unnest(range(1, length(seq) - 19)) as i from fx_sequences where length(seq) >= 21)),
-c as (select least(x, reverse(translate(x, 'ACGTacgt', 'TGCAtgca'))) as kmer from k where not contains(x, 'N')) """
-_add("kmer_count", ("fx_sequences",), lambda s: km.kmer_count(s, 21, 2), _KMERS + "select kmer, count(*) as n from c group by kmer having count(*) >= 2")
-_PARTS = tuple(f"description like 'src{d}%'" for d in (1, 2, 3))
-_add("hapmers", ("fx_sequences",), lambda s: km.hapmers(*[km.kmer_count(s.where(p)) for p in _PARTS]), ", k as (select description, substr(seq, i, 21) as x from (select description, seq, unnest(range(1, length(seq) - 19)) as i from fx_sequences where length(seq) >= 21)), c as (select description, least(x, reverse(translate(x, 'ACGTacgt', 'TGCAtgca'))) as kmer from k where not contains(x, 'N')), " + ", ".join(f"{n} as (select distinct kmer from c where {p})" for n, p in zip(("mo", "fa", "ch"), _PARTS, strict=True)) + " select kmer, 'mat' as parent from mo anti join fa using (kmer) semi join ch using (kmer) union all select kmer, 'pat' from fa anti join mo using (kmer) semi join ch using (kmer)")
 
-_add("kmer_union_sum", ("fx_sequences",), lambda s: km.union_sum(*[km.kmer_count(s.where(p)) for p in _PARTS]), _KMERS.replace("from fx_sequences where", f"from fx_sequences where ({' or '.join(_PARTS)}) and") + "select kmer, count(*) as n from c group by kmer")
 _add("lift_chunk_coords", ("fx_sequences",), lambda s: sq.lift_chunks(sq.chunk_records(s, 1000, 50).select("name", F.lit(0).cast("long").alias("start_pos"), F.length("seq").cast("long").alias("end_pos")), 1000), """, c as (select name, length(seq) as n, cast(greatest(ceil((length(seq) - 1050) / 1000.0), 0) as bigint) + 1 as k from fx_sequences where length(seq) >= 11)
 select name, cast(i * 1000 as bigint) as start_pos, case when i = k - 1 then n else i * 1000 + 1050 end as end_pos from c, range(0, 100000) t(i) where i < k""")
 
@@ -138,14 +133,10 @@ _spans = lambda s: s.select(F.col("name").alias("contig"), F.explode(F.array(*[F
 _add("mask_sequence", ("fx_sequences",), lambda s: sq.mask(s, iv.merge(_spans(s))), f" select name, case when n > 10 then left(seq, 10) || repeat('N', least(n, 90) - 10) || substr(seq, 91) else seq end as seq {_PAIR}")
 _add("extract_sequence", ("fx_sequences",), lambda s: sq.extract(s, _spans(s)), " select name, cast(a as bigint) as start_pos, cast(b as bigint) as end_pos, substr(seq, a + 1, b - a) as seq from fx_sequences, (values (10, 60), (40, 90)) v(a, b)")
 _add("telomere_ends", ("fx_sequences",), lambda s: sq.telomere_ends(s, 1000, 6), " select name, " + ", ".join(f"coalesce(list_max(list_transform(regexp_extract_all({side}(seq, 1000), '(?:TTAGGG|CCCTAA)+'), lambda x: length(x))), 0) >= 6 as at_{end}" for side, end in (("left", "start"), ("right", "end"))) + " from fx_sequences")
-_add("subset_by_names", ("fx_sequences",), lambda s: sq.subset_by_names(s, s.where(_PARTS[0])), f" select * from fx_sequences where {_PARTS[0]}")
-_add("drop_by_names", ("fx_sequences",), lambda s: sq.subset_by_names(s, s.where(_PARTS[0]), drop=True), f" select * from fx_sequences where not ({_PARTS[0]})")
+_add("subset_by_names", ("fx_sequences",), lambda s: sq.subset_by_names(s, s.where("length(seq) % 3 = 0")), " select * from fx_sequences where length(seq) % 3 = 0")
+_add("drop_by_names", ("fx_sequences",), lambda s: sq.subset_by_names(s, s.where("length(seq) % 3 = 0"), drop=True), " select * from fx_sequences where not coalesce(length(seq) % 3 = 0, false)")
 _add("filter_len_fasta", ("fx_sequences",), lambda s: s.where("length(seq) >= 1000"), " select * from fx_sequences where length(seq) >= 1000")
 _add("unmask_upper", ("fx_sequences",), lambda s: s.withColumn("seq", F.upper("seq")), " select name, description, upper(seq) as seq from fx_sequences")
-_add("kmer_high_freq", ("fx_sequences",), lambda s: km.high_frequency(km.kmer_count(s)), _KMERS + """, k2 as (select kmer, count(*) as n from c group by 1), h as (select n, count(*) as d from k2 group by 1),
-r as (select n, sum(d) over (order by n) as c, sum(d) over () as t from h) select kmer, n from k2 where n > (select min(n) from r where c >= 0.9998 * t)""")
-_add("kmer_qv", ("fx_sequences",), lambda s: km.kmer_qv(km.kmer_count(s.where(_PARTS[0])), km.kmer_count(s.where(_PARTS[1]))).withColumns({"error": F.round("error", 9), "qv": F.round("qv", 6)}), ", k as (select description, substr(seq, i, 21) as x from (select description, seq, unnest(range(1, length(seq) - 19)) as i from fx_sequences where length(seq) >= 21)), c as (select description, least(x, reverse(translate(x, 'ACGTacgt', 'TGCAtgca'))) as kmer from k where not contains(x, 'N')), " + f"a as (select distinct kmer from c where {_PARTS[0]}), b as (select distinct kmer from c where {_PARTS[1]}), " + """t as (select count(*) as total, count(*) filter (b.kmer is null) as only_assembly from a left join b using (kmer)),
-e as (select *, 1 - power(1 - only_assembly / nullif(total, 0), 1.0 / 21) as error from t) select total, only_assembly, round(error, 9) as error, round(case when error > 0 then -10 * log10(error) end, 6) + 0.0 as qv from e""")
 _add("overlap_resolution", ("fx_intervals",), lambda a: iv.resolve_overlaps(a.withColumn("score", F.col("end_pos") - F.col("start_pos"))), """, s as (select distinct *, end_pos - start_pos as score from fx_intervals)
 select * from s a where not exists (select 1 from s b where a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos and b.score > a.score)""")
 _add("dropped_vs_unmapped", ("fx_contigs", "fx_variants"), iv.list_difference, " select contig, case when a.contig is null then 'right' else 'left' end as side from (select distinct contig from fx_contigs) a full join (select distinct contig from fx_variants) b using (contig) where a.contig is null or b.contig is null")
@@ -160,6 +151,48 @@ _add("melt_metrics", ("fx_base_counts",), lambda b: rp.melt(b, ["contig", "pos"]
 _add("metric_mean_stdev", ("fx_variants",), lambda v: rp.metric_mean_stdev(v.withColumn("m", F.when(F.col("filter") == "RefCall", "Not_Calc").otherwise(F.col("gq").cast("string"))), "contig", "m").withColumns({"mean": F.round("mean", 6), "stdev": F.round("stdev", 6)}), " select contig, count(*) filter (filter <> 'RefCall') as n, round(avg(gq) filter (filter <> 'RefCall'), 6) as mean, round(stddev_samp(gq) filter (filter <> 'RefCall'), 6) as stdev from fx_variants group by 1")
 _add("vcf_drop_star", ("fx_variants",), va.drop_star, " select * from fx_variants where not contains(alt, '*')")
 
+# Every document has one of three roles; a sequence without a number has role 0.
+_ROLE = "coalesce(try_cast(substr(name, 4) as bigint), 0) % 3"
+
+
+def _roles(s):
+    """k-mer counts of the sequences of role 0, 1 and 2, from one pass."""
+    counts = km.packed_counts(s.withColumn("role", F.expr(_ROLE)), keep=("role",))
+    return [counts.where(F.col("role") == r).drop("role") for r in "012"]
+
+
+def _kmer_sql(k: int = 21, seq: str = "seq") -> str:
+    """Common table expression c (role, n_bases, kmer): a row per canonical k-mer."""
+    return f""", q as (select {_ROLE} as role, length(seq) as n_bases, {seq} as seq from fx_sequences), k as (select role, n_bases, substr(seq, i, {k}) as x from (select role, n_bases, seq, unnest(range(1, length(seq) - {k - 2})) as i from q where length(seq) >= {k})),
+c as (select role, n_bases, least(x, reverse(translate(x, 'ACGT', 'TGCA'))) as kmer from k where not contains(x, 'N')) """
+
+
+_SQUEEZED = "seq"
+for _b in "ACGTN":
+    _SQUEEZED = f"regexp_replace({_SQUEEZED}, '{_b}+', '{_b}', 'g')"
+_add("kmer_count", ("fx_sequences",), lambda s: km.kmer_count(s, 21, 2), _kmer_sql() + "select kmer, count(*) as n from c group by kmer having count(*) >= 2")
+_add("kmer_count_compressed", ("fx_sequences",), lambda s: km.kmer_count(s, 30, 2, compress=True), _kmer_sql(30, _SQUEEZED) + "select kmer, count(*) as n from c group by kmer having count(*) >= 2")
+_add("kmer_union_sum", ("fx_sequences",), lambda s: km.union_sum(*_roles(s)).select(km.spelled(F.col("code"), 21).alias("kmer"), "n"), _kmer_sql() + "select kmer, count(*) as n from c group by kmer")
+_VALLEY = """, t as (select role, kmer, count(*) as n from c group by 1, 2), h as (select role, n, count(*) as d from t group by 1, 2), l as (select *, lead(d) over (partition by role order by n) as e from h),
+v as (select role, coalesce(min(n) filter (d <= e), 1) as least from l group by 1), good as (select t.* from t join v using (role) where n >= least) """
+_add("hapmers", ("fx_sequences",), lambda s: km.hapmers(*_roles(s)).select(km.spelled(F.col("code"), 21).alias("kmer"), "parent"), _kmer_sql() + _VALLEY + """select kmer, case role when 0 then 'mat' else 'pat' end as parent from good g where role < 2
+  and not exists (select 1 from t where t.kmer = g.kmer and t.role = 1 - g.role) and exists (select 1 from t where t.kmer = g.kmer and t.role = 2)""")
+_add("kmer_high_freq", ("fx_sequences",), lambda s: km.high_frequency(km.packed_counts(s)).select(km.spelled(F.col("code"), 21).alias("kmer"), "n"), _kmer_sql() + """, k2 as (select kmer, count(*) as n from c group by 1), h as (select n, count(*) as d from k2 group by 1),
+r as (select n, sum(d) over (order by n) as c, sum(d) over () as t from h) select kmer, n from k2 where n > (select min(n) from r where c >= 0.9998 * t)""")
+
+
+def _qv(s):
+    long = s.withColumn("role", F.expr(_ROLE))
+    return km.kmer_qv(km.packed_counts(long.where("role = 0 and length(seq) >= 1000")), km.packed_counts(long.where("role != 0"))).withColumns({c: F.round(c, 9) for c in ("error", "qv", "completeness")})
+
+
+_add("kmer_qv", ("fx_sequences",), _qv, _kmer_sql() + """, a as (select distinct kmer from c where role = 0 and n_bases >= 1000), b as (select kmer, count(*) as n from c where role <> 0 group by 1),
+t as (select count(a.kmer) as total, count(*) filter (a.kmer is not null and b.kmer is null) as only_assembly, count(*) filter (b.n >= 2) as solid, count(*) filter (b.n >= 2 and a.kmer is not null) as found from a full join b using (kmer)),
+e as (select *, 1 - power(1 - only_assembly / nullif(total, 0), 1.0 / 21) as error from t) select total, only_assembly, round(error, 9) as error, round(case when error > 0 then -10 * log10(error) end, 9) + 0.0 as qv, round(found / nullif(solid, 0), 9) as completeness from e""")
+
+for _module in (catalog_tables, catalog_files, catalog_genome):
+    _module.register(_add)
+
 
 def queries() -> dict:
     return dict(_MADE)

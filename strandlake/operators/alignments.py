@@ -59,11 +59,6 @@ def chr_completeness(paf: DataFrame, least_block: int, least_query: int) -> Data
     return pairs.groupBy("target").agg(F.count("*").alias("n"), F.sum(share).alias("percent"), F.max(share).alias("largest"), F.max("query").alias("last_query"))
 
 
-def annotate_subject(hits: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """Left join of descriptions by sseqid; N/A where there is none."""
-    return hits.join(descriptions, "sseqid", "left").withColumn("description", F.coalesce("description", F.lit("N/A")))
-
-
 def top_two_alleles(counts: DataFrame) -> DataFrame:
     s = F.sort_array(F.array("a", "c", "g", "t"), asc=False)
     return counts.select("contig", "pos", s[0].alias("first"), s[1].alias("second"))

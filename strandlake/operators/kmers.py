@@ -1,49 +1,146 @@
-"""k-mer tables. A sequence is exploded where it is read, and counted in the map task before any shuffle."""
+"""k-mer tables of sequences (name, seq). A k-mer of up to 31 bases is a number of two bits a base; the counts of a piece of
+sequence are added up where it is read, and only distinct k-mers with their counts are shuffled."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .sequences import reverse_complement
+#: Bases that are turned into k-mers at once; a longer sequence is cut into pieces that overlap.
+PIECE = 1_000_000
+_CODE = np.full(256, 4, np.uint8)
+for _i, _c in enumerate("ACGT"):
+    _CODE[ord(_c)] = _CODE[ord(_c.lower())] = _i
 
 
-def kmers(sequences: DataFrame, k: int = 21, keep: tuple[str, ...] = ()) -> DataFrame:
-    """A row per canonical k-mer without N."""
-    rows = sequences.where(F.length("seq") >= k).select(*keep, "seq", F.explode(F.sequence(F.lit(1), F.length("seq") - k + 1)).alias("i"))
-    rows = rows.select(*keep, F.substring("seq", F.col("i"), F.lit(k)).alias("kmer")).where("not contains(kmer, 'N')")
-    return rows.select(*keep, F.least("kmer", reverse_complement(F.col("kmer"))).alias("kmer"))
+def canonical_codes(bases: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, code) of each window of k of the codes 0-3 (4: no base) that holds bases alone; the smaller of the code and
+    that of the reverse complement."""
+    n = len(bases) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    total = np.concatenate([[0], np.cumsum(bases > 3)])
+    good = np.flatnonzero(total[k:] == total[:-k])
+    b = (bases & 3).astype(np.int64)
+    ahead, back = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for j in range(k):
+        ahead = ahead << 2 | b[j : j + n]
+        back |= (3 - b[j : j + n]) << (2 * j)
+    return good, np.minimum(ahead, back)[good]
 
 
-def kmer_count(sequences: DataFrame, k: int = 21, least: int = 1) -> DataFrame:
-    """(kmer, n) of those seen at least so many times."""
-    return kmers(sequences, k).groupBy("kmer").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+def _pieces(texts: pa.Array, k: int, compress: bool):
+    """(row of each base, code of each base) of pieces of the sequences, with a break between rows."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    _, where, what = texts.buffers()
+    offsets = np.frombuffer(where, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(what, np.uint8) if what is not None else np.zeros(0, np.uint8)
+    begin = 0
+    while begin < len(texts):
+        end = max(int(np.searchsorted(offsets, offsets[begin] + PIECE, "right")) - 1, begin + 1)
+        low, high = int(offsets[begin]), int(offsets[end])
+        seam: np.ndarray = np.zeros(0, np.uint8)
+        for at in range(low, max(high, low + 1), PIECE):
+            stop = min(at + PIECE, high)
+            cut = offsets[begin : end + 1]
+            cut = cut[(cut > at) & (cut < stop)] - at
+            code = np.insert(_CODE[data[at:stop]], cut, 4)
+            row = np.repeat(np.arange(begin, end), np.clip(offsets[begin + 1 : end + 1], at, stop) - np.clip(offsets[begin:end], at, stop))
+            row = np.insert(row, cut, row[np.minimum(cut, len(row) - 1)] if len(row) else 0)
+            if len(seam):
+                code, row = np.concatenate([seam, code]), np.concatenate([np.full(len(seam), begin), row])
+            if compress:
+                keep = np.append(True, code[1:] != code[:-1])[: len(code)]
+                code, row = code[keep], row[keep]
+            yield row, code
+            seam = code[len(code) - k + 1 :] if k > 1 else code[:0]
+        begin = end
+
+
+def packed_counts(sequences: DataFrame, k: int = 21, least: int = 1, keep: tuple[str, ...] = (), compress: bool = False) -> DataFrame:
+    """(keep ..., code, n) of canonical k-mers, k at most 31, seen at least so many times per value of keep. Windows with a
+    letter other than ACGT, in either case, do not count. compress: runs of one base count as one. Null sequences have none."""
+    if not 1 <= k <= 31:
+        raise ValueError("k must lie between 1 and 31")
+    rows = sequences.select(*[F.col(c).cast("string").alias(c) for c in keep], F.col("seq").cast("string").alias("seq"))
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in keep], T.StructField("code", T.LongType()), T.StructField("n", T.LongType())])
+
+    def count(batches):
+        for batch in batches:
+            names = batch.select(list(keep)) if keep else None
+            if keep:
+                groups, which = np.unique(np.array(["\x01".join("\x00" if x is None else x for x in r) for r in zip(*[c.to_pylist() for c in names.columns], strict=True)], object), return_inverse=True)
+            for row, bases in _pieces(batch.column(len(keep)), k, compress):
+                start, code = canonical_codes(bases, k)
+                owner = which[row[start]] if keep else np.zeros(len(code), np.int64)
+                order = np.lexsort((code, owner))
+                owner, code = owner[order], code[order]
+                heads = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1]))[: len(code)])
+                n = np.diff(np.append(heads, len(code)))
+                said = [[None if x == "\x00" else x for x in g.split("\x01")] for g in (groups if keep else [])]
+                columns = [pa.array([said[o][j] for o in range(len(said))], pa.string()).take(pa.array(owner[heads])) for j in range(len(keep))]
+                yield pa.record_batch([*columns, pa.array(code[heads]), pa.array(n.astype(np.int64))], names=schema.names)
+
+    return rows.mapInArrow(count, schema).groupBy(*keep, "code").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def spelled(code: Column, k: int) -> Column:
+    """The bases of a code."""
+    return F.translate(F.lpad(F.conv(code.cast("string"), 10, 4), k, "0"), "0123", "ACGT")
+
+
+def kmer_count(sequences: DataFrame, k: int = 21, least: int = 1, compress: bool = False) -> DataFrame:
+    """(kmer, n) of canonical k-mers seen at least so many times."""
+    return packed_counts(sequences, k, least, compress=compress).select(spelled(F.col("code"), k).alias("kmer"), "n")
 
 
 def union_sum(*tables: DataFrame) -> DataFrame:
+    """Counts added up over tables of (code or kmer, n)."""
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)
-    return out.groupBy("kmer").agg(F.sum("n").alias("n"))
+    return out.groupBy(tables[0].columns[0]).agg(F.sum("n").alias("n"))
+
+
+def count_histogram(counts: DataFrame) -> DataFrame:
+    """(n, distinct): how many k-mers have each count."""
+    return counts.groupBy("n").agg(F.count("*").alias("distinct"))
+
+
+def valley(counts: DataFrame) -> DataFrame:
+    """One row: the smallest count after which the histogram of counts rises or stays level, or 1."""
+    order = Window.orderBy("n")  # a row per count
+    step = count_histogram(counts).withColumn("next", F.lead("distinct").over(order))
+    return step.where("distinct <= next").agg(F.coalesce(F.min("n"), F.lit(1)).cast("long").alias("least"))
+
+
+def reliable(counts: DataFrame) -> DataFrame:
+    """k-mers whose count reaches the histogram's valley: the others are taken for errors of reading."""
+    return counts.join(F.broadcast(valley(counts)), F.col("n") >= F.col("least")).drop("least")  # one row
 
 
 def hapmers(mother: DataFrame, father: DataFrame, child: DataFrame) -> DataFrame:
-    """k-mers of one parent alone that the child has, by parent."""
-    seen = child.select("kmer")
-    one = lambda a, b, name: a.join(b.select("kmer"), "kmer", "left_anti").join(seen, "kmer", "left_semi").select("kmer", F.lit(name).alias("parent"))
+    """(code, parent): reliable k-mers of one parent alone that the child has."""
+    seen = child.select("code")
+    one = lambda a, b, name: reliable(a).join(b.select("code"), "code", "left_anti").join(seen, "code", "left_semi").select("code", F.lit(name).alias("parent"))
     return one(mother, father, "mat").unionByName(one(father, mother, "pat"))
 
 
 def kmer_qv(assembly: DataFrame, reads: DataFrame, k: int = 21) -> DataFrame:
-    """One row: distinct k-mers of the assembly, those absent from the reads, error rate and quality value."""
-    met = assembly.join(reads.select("kmer", F.lit(1).alias("seen")), "kmer", "left")
-    out = met.agg(F.count("*").alias("total"), F.count_if(F.col("seen").isNull()).alias("only_assembly"))
-    return out.withColumn("error", 1 - F.pow(1 - F.col("only_assembly") / F.nullif(F.col("total"), F.lit(0)), F.lit(1.0 / k))).withColumn("qv", F.when(F.col("error") > 0, -10 * F.log10("error")))
+    """One row: distinct k-mers of the assembly, those absent from the reads, error rate, quality value, and completeness: the
+    share of the reads' k-mers, seen twice or more, that the assembly has."""
+    both = assembly.select("code", F.lit(1).alias("a")).join(reads.select("code", F.col("n").alias("r")), "code", "full_outer")
+    solid = F.col("r") >= 2
+    out = both.agg(F.count("a").alias("total"), F.count_if(F.col("a").isNotNull() & F.col("r").isNull()).alias("only_assembly"), F.count_if(solid).alias("solid"), F.count_if(solid & F.col("a").isNotNull()).alias("found"))
+    out = out.withColumn("error", 1 - F.pow(1 - F.col("only_assembly") / F.nullif(F.col("total"), F.lit(0)), F.lit(1.0 / k)))
+    return out.withColumns({"qv": F.when(F.col("error") > 0, -10 * F.log10("error")), "completeness": F.col("found") / F.nullif(F.col("solid"), F.lit(0))}).drop("solid", "found")
 
 
 def high_frequency(counts: DataFrame, fraction: float = 0.9998) -> DataFrame:
     """k-mers more frequent than the smallest count up to which this share of distinct k-mers lies."""
-    hist = counts.groupBy("n").agg(F.count("*").alias("distinct"))  # a row per count
-    run = hist.select("n", F.sum("distinct").over(Window.orderBy("n")).alias("c"), F.sum("distinct").over(Window.partitionBy()).alias("all"))
+    run = count_histogram(counts).select("n", F.sum("distinct").over(Window.orderBy("n")).alias("c"), F.sum("distinct").over(Window.partitionBy()).alias("all"))
     edge = run.where(F.col("c") >= fraction * F.col("all")).agg(F.min("n").alias("edge"))  # one row
     return counts.join(F.broadcast(edge), F.col("n") > F.col("edge")).drop("edge")

@@ -78,9 +78,9 @@ def ont_run_stats(summary: DataFrame, genome: float = 3.3e9, min_q: float = 10.0
     return every.join(out, ["file", "class"], "left").na.fill(0)
 
 
-def first_records(reads: DataFrame, n: int = 100, key: str = "file", order: str = "read_id") -> DataFrame:
+def first_records(reads: DataFrame, n: int = 100, key: str = "file", order: str = "read_id", ties: tuple[str, ...] = ("length",)) -> DataFrame:
     """The first n records of each file; each task keeps its own first n before the shuffle."""
-    at = F.row_number().over(Window.partitionBy(key).orderBy(order, "length"))
+    at = F.row_number().over(Window.partitionBy(key).orderBy(order, *ties))
     return reads.withColumn("at", at).where(F.col("at") <= n).drop("at")
 
 

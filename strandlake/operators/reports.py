@@ -66,3 +66,43 @@ def metric_mean_stdev(table: DataFrame, key: str, metric: str) -> DataFrame:
     """Mean and sample standard deviation of a text column; what is not a number, such as Not_Calc, is ignored."""
     x = F.col(metric).try_cast("double")
     return table.groupBy(key).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stdev"))
+
+
+def pigeon_summary(lines: DataFrame) -> DataFrame:
+    """One row per transcript-classification report (file, line_no, line): counts and percents by name, NA where missing.
+    Sections begin at their titles; of a metric's lines in its section the last counts, of by-read matches the first."""
+    from .tables import count_percent
+
+    text = F.trim("line")
+    title = F.when(F.contains("line", F.lit("Classifications, by isoform")), "isoform").when(F.contains("line", F.lit("Classifications, by read")), "read").when(F.contains("line", F.lit("Junctions")), "junctions").when(F.contains("line", F.lit("Filter reasons")), "filter")
+    order = Window.partitionBy("file").orderBy("line_no")  # a report
+    section = F.coalesce(F.last(title, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)), F.lit(""))
+    count, percent = count_percent(text)
+    after = F.trim(F.get(F.split(text, ":"), 1))
+    rows = lines.select("file", "line_no", text.alias("text"), section.alias("section"), count.alias("count"), percent.alias("percent"), after.alias("after"))
+    last = lambda ok, x: F.coalesce(F.max(F.when(ok, F.struct("line_no", F.col(x).alias("v"))))["v"], F.lit("NA"))
+    first = lambda ok, x: F.coalesce(F.min(F.when(ok, F.struct("line_no", F.col(x).alias("v"))))["v"], F.lit("NA"))
+    starts = lambda prefix: F.startswith("text", F.lit(prefix))
+    made = [last(starts("Input"), "after").alias("flnc_input_reads"), last(starts("Passed") & (F.col("percent") != "NA"), "count").alias("passed_reads"), last(starts("Passed") & (F.col("percent") != "NA"), "percent").alias("passed_pct"), last(starts("Unique genes"), "after").alias("unique_genes"), last(starts("Unique transcripts"), "after").alias("unique_transcripts")]
+    for short, name in (("fsm", "Full splice match"), ("ism", "Incomplete splice match"), ("nic", "Novel in catalog"), ("nnc", "Novel not in catalog")):
+        own = starts(name) & (F.col("section") == "isoform")
+        made += [last(own, "count").alias(f"{short}_isoforms"), last(own, "percent").alias(f"{short}_isoform_pct")]
+    made.append(first(starts("Full splice match") & (F.col("section") == "read"), "percent").alias("fsm_read_pct"))
+    for short, name in (("intrapriming", "Intrapriming"), ("rt_switching", "RT switching")):
+        made.append(last(starts(name) & (F.col("section") == "filter"), "percent").alias(f"{short}_pct"))
+    return rows.groupBy("file").agg(*made)
+
+
+def contamination_rows(lines: DataFrame) -> DataFrame:
+    """(file, kind, contig, size, first, last, source) of submission reports: a row for each span of a Trim line, and one, without
+    span, for each Exclude line. A blank line ends a section; column headings are left out."""
+    title = F.when(F.trim("line").isin("Trim:", "Exclude:"), F.replace(F.trim("line"), F.lit(":"), F.lit(""))).when(F.trim("line") == "", "")
+    order = Window.partitionBy("file").orderBy("line_no")  # a report
+    kind = F.last(title, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    f = F.split(F.trim("line"), r"\s+")
+    rows = lines.withColumns({"kind": kind, "title": title, "f": f}).where("title is null and kind != '' and not line like '%Sequence name, length%'")
+    spans = F.when(F.col("kind") == "Trim", F.split(F.col("f")[2], ",")).otherwise(F.array(F.lit(None).cast("string")))
+    words = F.array_join(F.slice("f", F.when(F.col("kind") == "Trim", 4).otherwise(3), F.size("f")), " ")
+    out = rows.select("file", "kind", F.col("f")[0].alias("contig"), F.col("f")[1].cast("long").alias("size"), F.explode(spans).alias("span"), words.alias("source"))
+    ends = F.split("span", r"\.\.")
+    return out.select("file", "kind", "contig", "size", ends[0].cast("long").alias("first"), ends[1].cast("long").alias("last"), "source")
