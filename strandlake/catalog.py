@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import catalog_files, catalog_genome, catalog_tables
+from . import catalog_files, catalog_genome, catalog_tables, catalog_workflows
 from .operators import alignments as al
+from .operators import assembly as am
 from .operators import intervals as iv
 from .operators import kmers as km
 from .operators import lengths as le
@@ -189,8 +190,23 @@ def _qv(s):
 _add("kmer_qv", ("fx_sequences",), _qv, _kmer_sql() + """, a as (select distinct kmer from c where role = 0 and n_bases >= 1000), b as (select kmer, count(*) as n from c where role <> 0 group by 1),
 t as (select count(a.kmer) as total, count(*) filter (a.kmer is not null and b.kmer is null) as only_assembly, count(*) filter (b.n >= 2) as solid, count(*) filter (b.n >= 2 and a.kmer is not null) as found from a full join b using (kmer)),
 e as (select *, 1 - power(1 - only_assembly / nullif(total, 0), 1.0 / 21) as error from t) select total, only_assembly, round(error, 9) as error, round(case when error > 0 then -10 * log10(error) end, 9) + 0.0 as qv, round(found / nullif(solid, 0), 9) as completeness from e""")
-
-for _module in (catalog_tables, catalog_files, catalog_genome):
+_add("length_histogram_auto", ("fx_read_lengths",), lambda r: le.length_histogram_auto(r, 50), """, e as (select min(length) as low, max(length) as high, count(*) as n_all from fx_read_lengths), b as (select cast(case when length = high then 49 else floor((length - low) / ((high - low) / 50)) end as bigint) as bin, count(*) as n from fx_read_lengths, e group by 1)
+select range as bin, low + range * ((high - low) / 50) as from_length, coalesce(n, 0) as n, coalesce(n, 0) / n_all as share from range(50) cross join e left join b on range = bin""")
+_add("lx", ("fx_read_lengths",), le.lx, """, r as (select file, length, row_number() over (partition by file order by length desc) as k, sum(length) over (partition by file order by length desc rows unbounded preceding) as b, sum(length) over (partition by file) as t from fx_read_lengths)
+select file, cast(x as int) as x, min(k) as lx from r, range(10, 101, 10) v(x) where b * 100 >= x * t group by 1, 2""")
+_add("chr_completeness_report", ("fx_paf",), lambda p: am.chr_report(al.chr_completeness(am.mapping_filters(p.withColumn("identity", F.expr("cast(100 - nm * 0.3 as double)")), 99, 500).withColumn("target", F.concat("target", F.lit("_"), F.col("query_length").cast("string"))), 0, 20_500), 95), """, p as (select *, target || '_' || cast(query_length as varchar) as t from fx_paf where 100 - nm * 0.3 > 99 and query_end - query_start > 500), d as (select distinct query, t, query_length, target_length from p where query_length > 20500)
+select max(query) as query, t as target, sum(query_length / target_length * 100) as percent from d group by t having count(*) = 1 and sum(query_length / target_length * 100) > 95""")
+_LABELS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "no such label")
+_add("break_annotation_counts_wide", ("fx_intervals", "fx_regions"), lambda a, b: iv.annotation_counts_wide(iv.overlaps(a.distinct(), b).groupBy(F.col("b_label").alias("label")).agg(F.count("*").alias("n")), list(_LABELS)), ", c as (select b.label, count(*) as n from (select distinct * from fx_intervals) a join fx_regions b on a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos group by 1) select " + ", ".join(f"""coalesce(cast(max(n) filter (label = '{x}') as varchar), 'NA') as "{x}\"""" for x in _LABELS) + " from c")
+_add("misjoin_breaks_outside", ("fx_paf", "fx_ignored"), al.misjoin_breaks_outside, """, v as (select * from fx_paf p where not exists (select 1 from fx_ignored r where r.contig = p.target) or exists (select 1 from fx_ignored r where r.contig = p.target and (p.target_start < r.start_pos or p.target_end > r.end_pos))),
+d as (select distinct * from v), s as (select *, lag(target) over w as b, lag(query_end) over w as e from d window w as (partition by query order by query_start, query_end, target, target_start, target_end)) select query, b as from_target, target as to_target, e as break_start, query_start as break_end from s where b <> target""")
+_add("contig_regions", ("fx_contigs",), iv.contig_regions, " select contig, cast(0 as bigint) as start_pos, length as end_pos from fx_contigs where length > 0")
+_add("vcf_indel_lengths", ("fx_variants",), va.indel_lengths, " select contig, cast(length(alt) - length(ref) as int) as change, count(*) as n from fx_variants where length(alt) <> length(ref) group by 1, 2")
+_add("vcf_quality_distribution", ("fx_variants",), va.quality_distribution, " select contig, gq, count(*) as n from fx_variants group by 1, 2")
+_add("duplicate_list", ("fx_sequences",), sq.duplicate_list, ", f as (select seq, min(name) as first from fx_sequences group by 1 having count(*) > 1) select sha256(seq) as digest, name, first from fx_sequences join f using (seq) where name <> first")
+
+
+for _module in (catalog_tables, catalog_files, catalog_genome, catalog_workflows):
     _module.register(_add)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .intervals import alignment_ignore_filter, islands
+
 
 def blast_tier_filter(hits: DataFrame) -> DataFrame:
     return hits.where("(pident >= 98 and length >= 50) or (pident >= 94 and length >= 100) or (pident >= 90 and length >= 200)")
@@ -47,6 +49,11 @@ def misjoin_breaks(paf: DataFrame) -> DataFrame:
     return step.where("before != target").select("query", F.col("before").alias("from_target"), F.col("target").alias("to_target"), F.col("before_end").alias("break_start"), F.col("query_start").alias("break_end"))
 
 
+def misjoin_breaks_outside(paf: DataFrame, regions: DataFrame) -> DataFrame:
+    """Misjoin breaks among alignments that listed regions (contig, start_pos, end_pos) do not hold."""
+    return misjoin_breaks(alignment_ignore_filter(paf, regions))
+
+
 def chrom_mapping_stats(paf: DataFrame) -> DataFrame:
     span = F.col("target_end") - F.col("target_start")
     return paf.groupBy("target").agg(F.sum(span).alias("target_span"), F.sum(F.col("query_end") - F.col("query_start")).alias("query_span"), F.max("target_length").alias("target_length"), F.max(span).alias("longest"))
@@ -66,7 +73,6 @@ def top_two_alleles(counts: DataFrame) -> DataFrame:
 
 def variant_clusters(sites: DataFrame, gap: int = 500, least: int = 5) -> DataFrame:
     """Runs of at least so many sites with no gap above so many bases."""
-    order = Window.partitionBy("contig").orderBy("pos")
-    marked = sites.select("contig", "pos").distinct().withColumn("new", F.when(F.col("pos") - F.lag("pos").over(order) <= gap, 0).otherwise(1))
-    island = marked.withColumn("i", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return island.groupBy("contig", "i").agg(F.min("pos").alias("start_pos"), (F.max("pos") + 1).alias("end_pos"), F.count("*").alias("sites")).where(F.col("sites") >= least).drop("i")
+    rows = sites.select("contig", "pos").distinct().select("contig", F.col("pos").alias("start_pos"), F.col("pos").alias("end_pos"), F.lit(1).cast("long").alias("sites"))
+    found = islands(rows, ["contig"], "start_pos", "end_pos", gap, ("sites", F.sum))
+    return found.where(F.col("sites") >= least).select("contig", "start_pos", (F.col("end_pos") + 1).alias("end_pos"), "sites")

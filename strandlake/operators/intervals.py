@@ -6,13 +6,32 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Bases of a contig that one window orders at first; what is left of each stretch is put together afterwards.
+STRETCH = 1_000_000
+
+
+def islands(rows: DataFrame, keys: list[str], start: str, end: str, gap: int, *sums) -> DataFrame:
+    """(keys, start, end, sums) of runs of rows in which each begins at most gap after all before it in the run end. sums:
+    aggregates that may be taken of themselves, as (name, column function). Runs are found within stretches of a contig,
+    then over what they leave, so that a large contig is not one task's."""
+
+    def runs_of(df: DataFrame, by: list[str]) -> DataFrame:
+        order = Window.partitionBy(*by).orderBy(start, end)
+        reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        marked = df.withColumn("new", F.when(F.col(start) <= reach + gap, 0).otherwise(1))
+        return marked.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+    collect = [F.min(start).alias(start), F.max(end).alias(end), *[f(F.col(n)).alias(n) for n, f in sums]]
+    stretch = runs_of(rows.withColumn("stretch", F.floor(F.col(start) / STRETCH)), [*keys, "stretch"])
+    local = stretch.groupBy(*keys, "stretch", "island").agg(*collect).drop("stretch", "island")
+    return runs_of(local, keys).groupBy(*keys, "island").agg(*collect).drop("island")
+
+
 def merge(intervals: DataFrame, gap: int = 0, labels: tuple[str, ...] = ()) -> DataFrame:
     """Unions intervals that overlap, touch or lie within gap; labels become sorted distinct lists joined by ;."""
-    order = Window.partitionBy("contig").orderBy("start_pos", "end_pos")
-    reach = F.max("end_pos").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = intervals.distinct().withColumn("new", F.when(F.col("start_pos") <= reach + gap, 0).otherwise(1))
-    island = new.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return island.groupBy("contig", "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"), *[F.array_join(F.array_sort(F.collect_set(c)), ";").alias(c) for c in labels]).drop("island")
+    rows = intervals.distinct().select("contig", "start_pos", "end_pos", *[F.array_compact(F.array(c)).alias(c) for c in labels])
+    found = islands(rows, ["contig"], "start_pos", "end_pos", gap, *[(c, lambda x: F.array_distinct(F.flatten(F.collect_list(x)))) for c in labels])
+    return found.select("contig", "start_pos", "end_pos", *[F.array_join(F.array_sort(c), ";").alias(c) for c in labels])
 
 
 def flank(intervals: DataFrame, contigs: DataFrame, d: int) -> DataFrame:
@@ -51,12 +70,20 @@ def intersect_semi(a: DataFrame, regions: DataFrame, width: int = 4096) -> DataF
 
 
 def depth(intervals: DataFrame, contigs: DataFrame) -> DataFrame:
-    """(contig, depth, bases, fraction): a sweep over +1/-1 events, depth 0 included."""
-    events = intervals.select("contig", F.explode(F.array(F.struct(F.col("start_pos").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("end_pos").alias("pos"), F.lit(-1).alias("d")))).alias("e")).select("contig", "e.pos", "e.d")
-    ends = contigs.select("contig", F.explode(F.array(F.lit(0).cast("long"), F.col("length"))).alias("pos"), F.lit(0).alias("d"))
-    step = events.join(contigs.select("contig"), "contig", "left_semi").unionByName(ends).groupBy("contig", "pos").agg(F.sum("d").alias("d"))
-    order = Window.partitionBy("contig").orderBy("pos")
-    run = step.select("contig", F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("depth"), (F.lead("pos").over(order) - F.col("pos")).alias("bases")).where("bases > 0")
+    """(contig, depth, bases, fraction): a sweep over +1/-1 events, depth 0 included. Events are swept within stretches of a
+    contig; each begins at the depth that the stretches before it add up to."""
+    known = intervals.join(contigs.select("contig"), "contig", "left_semi")
+    events = known.select("contig", F.explode(F.array(F.struct(F.col("start_pos").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("end_pos").alias("pos"), F.lit(-1).alias("d")))).alias("e")).select("contig", "e.pos", "e.d")
+    # Intervals may reach beyond the contig.
+    reach = contigs.join(known.groupBy("contig").agg(F.max("end_pos").alias("last")), "contig", "left").select("contig", F.greatest("length", F.coalesce("last", F.lit(0))).alias("reach"))
+    borders = reach.select("contig", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("reach") / STRETCH))).alias("stretch")).select("contig", (F.col("stretch") * STRETCH).alias("pos"), F.lit(0).alias("d"))
+    step = events.unionByName(borders).groupBy("contig", "pos").agg(F.sum("d").alias("d")).withColumn("stretch", F.floor(F.col("pos") / STRETCH))
+    sums = step.groupBy("contig", "stretch").agg(F.sum("d").alias("sum"))
+    before = sums.select("contig", "stretch", (F.sum("sum").over(Window.partitionBy("contig").orderBy("stretch")) - F.col("sum")).alias("before"))
+    order = Window.partitionBy("contig", "stretch").orderBy("pos")
+    met = step.join(before, ["contig", "stretch"]).join(reach, "contig")
+    upto = F.coalesce(F.lead("pos").over(order), F.least("reach", (F.col("stretch") + 1) * STRETCH))
+    run = met.select("contig", (F.col("before") + F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0))).alias("depth"), (upto - F.col("pos")).alias("bases")).where("bases > 0")
     return run.groupBy("contig", "depth").agg(F.sum("bases").alias("bases")).join(contigs, "contig").select("contig", "depth", "bases", (F.col("bases") / F.col("length")).alias("fraction"))
 
 
@@ -68,6 +95,16 @@ def contamination(intervals: DataFrame, contigs: DataFrame, discard: float = 0.9
     return out.select("contig", "covered", "fraction", "sources", (F.col("fraction") >= discard).alias("discard"))
 
 
+def contig_regions(contigs: DataFrame) -> DataFrame:
+    """One region per contig."""
+    return contigs.where("length > 0").select("contig", F.lit(0).cast("long").alias("start_pos"), F.col("length").alias("end_pos"))
+
+
+def annotation_counts_wide(counts: DataFrame, labels: list[str]) -> DataFrame:
+    """One row: the count of each label as text, NA where there is none."""
+    return counts.agg(*[F.coalesce(F.max(F.when(F.col("label") == x, F.col("n"))).cast("string"), F.lit("NA")).alias(x) for x in labels])
+
+
 def genome_windows(contigs: DataFrame, width: int) -> DataFrame:
     """Tiles of each contig."""
     tiles = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("length") / width) - 1)).alias("i")

@@ -45,6 +45,25 @@ def length_histogram(reads: DataFrame, start: int, stop: int, bins: int, unbound
     return reads.sparkSession.range(bins).withColumnRenamed("id", "bin").join(counted, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
+def length_histogram_auto(reads: DataFrame, bins: int) -> DataFrame:
+    """(bin, from_length, n, share): as many bins between the smallest and the largest length, which must differ; share of all."""
+    edge = reads.agg(F.min("length").alias("low"), F.max("length").alias("high"), F.count("*").alias("all"))  # one row
+    size = (F.col("high") - F.col("low")) / bins
+    checked = F.when(F.col("high") > F.col("low"), size).otherwise(F.raise_error(F.lit("all lengths are equal")))
+    at = F.when(F.col("length") == F.col("high"), bins - 1).otherwise(F.floor((F.col("length") - F.col("low")) / checked)).cast("long")
+    counted = reads.select("length").join(F.broadcast(edge)).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+    every = reads.sparkSession.range(bins).withColumnRenamed("id", "bin").join(F.broadcast(edge)).where("all > 0")
+    return every.join(counted, "bin", "left").select("bin", (F.col("low") + F.col("bin") * size).alias("from_length"), F.coalesce("n", F.lit(0)).alias("n"), (F.coalesce("n", F.lit(0)) / F.col("all")).alias("share"))
+
+
+def lx(contigs: DataFrame, key: str = "file") -> DataFrame:
+    """(key, x, lx) for x = 10, 20, ..., 100: the least number of contigs, longest first, that hold x percent of the bases."""
+    run = _running(length_distribution(contigs, [key]), key, descending=True)
+    each = run.select("*", F.explode(F.sequence(F.lit(10), F.lit(100), F.lit(10))).alias("x")).where(F.col("b") * 100 >= F.col("x") * F.col("bases"))
+    need = F.ceil((F.col("x") * F.col("bases") / 100 - (F.col("b") - F.col("length") * F.col("freq"))) / F.col("length"))
+    return each.groupBy(key, "x").agg(F.min(F.col("c") - F.col("freq") + F.greatest(need, F.lit(1))).cast("long").alias("lx"))
+
+
 def nx_lx_aun(contigs: DataFrame, key: str = "file") -> DataFrame:
     """Per key: contigs, total, Nx for x = 0, 10, ..., 100 from the longest down, L50 and auN."""
     run = _running(length_distribution(contigs, [key]), key, descending=True)

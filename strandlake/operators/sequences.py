@@ -51,6 +51,14 @@ def dedup_by_sequence(sequences: DataFrame) -> DataFrame:
     return sequences.groupBy(F.sha2("seq", 256).alias("digest")).agg(F.min("name").alias("name"), F.count("*").alias("copies"))
 
 
+def duplicate_list(sequences: DataFrame) -> DataFrame:
+    """(digest, name, first) of the records that repeat a sequence: all but the first name of each. Only names and digests
+    are shuffled."""
+    each = sequences.select("name", F.sha2("seq", 256).alias("digest"))
+    first = each.groupBy("digest").agg(F.min("name").alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    return each.join(first, "digest").where("name != first").select("digest", "name", "first")
+
+
 def n_gaps(sequences: DataFrame, least: int = 2) -> DataFrame:
     """Runs of at least so many N, half-open."""
     runs = F.regexp_extract_all("seq", F.lit("[nN]+|[^nN]+"), F.lit(0))

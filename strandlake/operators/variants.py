@@ -36,3 +36,14 @@ def compare(truth: DataFrame, query: DataFrame) -> DataFrame:
     both = truth.select(*key).distinct().withColumn("t", F.lit(1)).join(query.select(*key).distinct().withColumn("q", F.lit(1)), key, "full_outer")
     out = both.groupBy("contig").agg(F.count_if(F.col("t").isNotNull() & F.col("q").isNotNull()).alias("shared"), F.count_if(F.col("q").isNull()).alias("only_truth"), F.count_if(F.col("t").isNull()).alias("only_query"))
     return out.withColumns({"precision": F.col("shared") / F.nullif(F.col("shared") + F.col("only_query"), F.lit(0)), "recall": F.col("shared") / F.nullif(F.col("shared") + F.col("only_truth"), F.lit(0))})
+
+
+def indel_lengths(variants: DataFrame) -> DataFrame:
+    """(contig, change, n): records by the difference of allele lengths, where there is one."""
+    change = F.length("alt") - F.length("ref")
+    return variants.where(change != 0).groupBy("contig", change.alias("change")).agg(F.count("*").alias("n"))
+
+
+def quality_distribution(variants: DataFrame) -> DataFrame:
+    """(contig, gq, n)."""
+    return variants.groupBy("contig", "gq").agg(F.count("*").alias("n"))
