@@ -2,19 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.scratch import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder name under spark.checkpoint.dir; a local one only where the session sets none, as in tests."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="strandlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/strandlake/{uuid.uuid4().hex}"
+__all__ = ["materialise", "partitions", "shared_dir"]
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
