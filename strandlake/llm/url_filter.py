@@ -11,8 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-STRICT = ("casino", "porn", "viagra", "xxx", "malware", "warez", "phishing")
-SOFT = ("adult", "bet", "bonus", "cheap", "click", "dating", "deal", "farm", "free", "loan", "pills", "poker", "promo", "spam", "win")
+# The default vocabulary. Pass another as strict and soft.
+#: One of these rejects a URL.
+STRICT = (
+    "adultfriend", "bdsm", "bestiality", "blackjack", "bukkake", "camgirl", "camgirls", "casino", "cumshot", "deepfake", "escort", "escorts", "fetish", "gangbang", "hardcore", "hentai", "incest", "keygen", "malware",
+    "milf", "nudes", "orgy", "phishing", "porn", "porno", "pornstar", "ransomware", "rapidgator", "sexcam", "sexchat", "torrentz", "upskirt", "viagra", "voyeur", "warez", "webcamsex", "xrated", "xvideos", "xxx",
+)
+#: Several distinct ones of these reject a URL.
+SOFT = (
+    "adult", "affiliate", "bargain", "bet", "bets", "betting", "bingo", "bitcoin", "bonus", "cash", "cheap", "click", "clickbait", "coupon", "coupons", "credit", "crypto", "dating", "deal", "deals", "debt", "diet", "discount", "drugs", "farm", "forex", "free", "gambling", "gratis",
+    "hookup", "jackpot", "keto", "loan", "loans", "lottery", "lotto", "mature", "mortgage", "naked", "nude", "payday", "pharmacy", "pills", "poker", "prize", "promo", "referral", "replica", "roulette", "seo", "sex", "sexy", "singles", "slots", "spam", "strip", "sweepstakes", "teen", "torrent", "webcam", "win", "winner",
+)
 #: (host, path, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 _CAPITALS = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
