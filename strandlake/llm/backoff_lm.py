@@ -1,6 +1,6 @@
 """Stupid-backoff scores over n-gram count tables that are partitioned by hash.
 
-The words and bigrams of the documents are exploded into blocks: one row holds a batch's distinct n-gram hashes of one
+The words and n-grams of the documents are exploded into blocks: one row holds a batch's distinct n-gram hashes of one
 range of the hash space, with their counts. All blocks of a range meet in one task, which sums the count table of that
 range and joins it back to the blocks; the counts return to their batches, where each document's n-grams are scored
 and summed. Counts cover all documents. A block row stands for thousands of n-gram rows; a frequent n-gram is one
@@ -23,8 +23,10 @@ from .words import grams, slices, split
 
 BATCH_BYTES = 8_000_000
 BACKOFF = 0.4
-#: Bigrams that the corpus holds fewer times count as unseen.
+#: n-grams of two words and more that the corpus holds fewer times count as unseen.
 MIN_COUNT = 2
+#: Words of the longest n-gram.
+ORDER = 2
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -67,26 +69,25 @@ def _batches(docs: DataFrame) -> DataFrame:
     return materialise(rows.mapInArrow(read, "batch long, ids array<long>, sizes binary, vocabulary binary, places binary"), "batches")
 
 
-def _bigrams(vocabulary: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the bigram that ends at each word, and whether there is one (not at a document's first)."""
-    words = vocabulary[places]
-    inside = np.ones(len(words), bool)
-    begins = (np.cumsum(sizes) - sizes)[sizes > 0]
-    inside[begins] = False
+def _ngrams(words: np.ndarray, sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the n-gram that ends at each word, and whether there is one (not at a document's first n - 1)."""
+    first = np.cumsum(sizes) - sizes
+    inside = np.arange(len(words)) - np.repeat(first, sizes) >= n - 1
     out = np.zeros(len(words), np.uint64)
-    out[1:] = grams(words, 2)
+    out[n - 1 :] = grams(words, n)
     return out[inside], inside
 
 
-def _explode(batches: DataFrame, buckets: int) -> DataFrame:
+def _explode(batches: DataFrame, buckets: int, order: int) -> DataFrame:
     """(p, batch, kind, h, n): the batch's distinct n-grams of a hash range, sorted, and their counts."""
 
     def cut(parts):
         for part in parts:
             for row in range(part.num_rows):
                 sizes, vocabulary, places = _unpack(part.column(1)[row].as_py(), "<u4"), _unpack_sorted(part.column(2)[row].as_py()), _unpack(part.column(3)[row].as_py(), "<u4")
-                two, _ = _bigrams(vocabulary, places, sizes)
-                for kind, (h, n) in ((1, (vocabulary, np.bincount(places, minlength=len(vocabulary)))), (2, np.unique(two, return_counts=True))):
+                tables = [(vocabulary, np.bincount(places, minlength=len(vocabulary)))]
+                tables += [np.unique(_ngrams(vocabulary[places], sizes, n)[0], return_counts=True) for n in range(2, order + 1)]
+                for kind, (h, n) in enumerate(tables, 1):
                     p = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                     found, first = np.unique(p, return_index=True)
                     ends = [*first[1:], len(h)]
@@ -110,17 +111,18 @@ def _count(blocks: DataFrame, buckets: int) -> DataFrame:
     return blocks.repartition(buckets, "p").sortWithinPartitions("p", "kind").mapInArrow(total, "batch long, kind int, p int, c binary")
 
 
-def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = MIN_COUNT) -> DataFrame:
+def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = MIN_COUNT, order: int = ORDER) -> DataFrame:
     """documents -> (doc_id, n_words, log_score, mean_log_score), one row per input row.
 
-    log_score sums log S over a text's words: S(w | v) = c(vw) / c(v) where the bigram occurs min_count times in all
-    documents, else backoff * c(w) / N; a text's first word has c(w) / N. N: words of all documents. An empty or null
-    text scores 0 and has a null mean; repeated rows count and are scored each; other columns are ignored; an empty
-    table gives no rows.
+    log_score sums log S over a text's words. With up to order - 1 words before it in the text, S of a word is the count of
+    the longest n-gram that ends there over that of the n-gram without its last word, if the n-gram occurs min_count times in
+    all documents; else backoff times S by the next shorter n-gram; c(w) / N at last. N: words of all documents. An
+    empty or null text scores 0 and has a null mean; repeated rows count and are scored each; other columns are ignored;
+    an empty table gives no rows. Writes a table to the shared folder when called.
     """
     buckets = partitions(docs.sparkSession)
     batches = _batches(docs)
-    counts = _count(_explode(batches, buckets), buckets)
+    counts = _count(_explode(batches, buckets, order), buckets)
     answered = counts.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("kind", "p", "c"))).alias("counts"))  # blocks of one batch
 
     def measure(parts):
@@ -136,17 +138,23 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
             for row in range(part.num_rows):
                 ids, sizes = part.column("ids")[row].values, _unpack(part.column("sizes")[row].as_py(), "<u4").astype(np.int64)
                 vocabulary, places = _unpack_sorted(part.column("vocabulary")[row].as_py()), _unpack(part.column("places")[row].as_py(), "<u4")
-                told = {1: [], 2: []}
+                told: dict[int, list] = {k: [] for k in range(1, order + 1)}
                 for x in part.column("counts")[row].as_py() or ():
                     told[x["kind"]].append(_unpack(x["c"], "<u8"))
-                one, two = (np.concatenate(told[k]).astype(float) if told[k] else np.zeros(0) for k in (1, 2))
-                single = np.log(one[places] / total) if len(places) else np.zeros(0)
-                logs = single.copy()
-                h, inside = _bigrams(vocabulary, places, sizes)
-                if len(h):
-                    _, at = np.unique(h, return_inverse=True)
-                    pair, before = two[at], np.append(0.0, one[places[:-1]])[inside]
-                    logs[inside] = np.where(pair >= min_count, np.log(pair / before), np.log(backoff) + single[inside])
+                counts = {k: np.concatenate(v).astype(float) if v else np.zeros(0) for k, v in told.items()}
+                words = vocabulary[places]
+                seen = counts[1][places] if len(places) else np.zeros(0)  # of the n-gram that ends at each word
+                logs = np.log(seen / total)
+                for n in range(2, order + 1):
+                    h, inside = _ngrams(words, sizes, n)
+                    if not len(h):
+                        break
+                    own = np.zeros(len(words))
+                    own[inside] = counts[n][np.unique(h, return_inverse=True)[1]]
+                    before = np.append(0.0, seen[:-1])
+                    known = own >= min_count
+                    logs = np.where(known, np.log(np.where(known, own, 1.0) / np.where(known, before, 1.0)), np.where(inside, np.log(backoff), 0.0) + logs)
+                    seen = own
                 doc = np.repeat(np.arange(len(sizes)), sizes)
                 sums = np.bincount(doc, logs, len(sizes))
                 yield pa.record_batch([ids, pa.array(sizes), pa.array(sums), pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)], names=["doc_id", "n_words", "log_score", "mean_log_score"])

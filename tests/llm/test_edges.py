@@ -162,3 +162,28 @@ def test_components(spark):
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 10: 10, 11: 10, **{i: 16 for i in range(16, 21)}}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_backoff_orders(spark, order):
+    import math
+    from collections import Counter
+
+    from strandlake.llm.backoff_lm import backoff_scores
+
+    rng = np.random.default_rng(order)
+    texts = [None, "", "a", "a b", "a b", "b " * 40] + [" ".join(rng.choice(list("abcd"), rng.integers(1, 30))) for _ in range(40)] + [" ".join(rng.choice(list("efghijklmnop"), 9)) for _ in range(9)]
+    cut = [(t or "").split() for t in texts]
+    c = Counter(tuple(w[i : i + n]) for w in cut for n in range(1, order + 1) for i in range(len(w) - n + 1))
+    total = sum(len(w) for w in cut)
+
+    def s(gram):
+        if len(gram) == 1:
+            return c[gram] / total
+        return c[gram] / c[gram[:-1]] if c[gram] >= 2 else 0.4 * s(gram[1:])
+
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, n_words string").repartition(3)
+    for r in backoff_scores(docs, order=order).collect():
+        w = cut[r.doc_id]
+        want = sum(math.log(s(tuple(w[max(0, i - order + 1) : i + 1]))) for i in range(len(w)))
+        assert r.n_words == len(w) and math.isclose(r.log_score, want, rel_tol=1e-9, abs_tol=1e-9)
