@@ -42,7 +42,7 @@ NEIGHBOUR_ROUNDS = 2
 CELLS = 256
 SALTS = 16
 #: Keys of the sets that a task remembers having sent, so that copies are sent once.
-SEEN = 200_000
+SEEN = 100_000
 
 
 def _set_key(s: np.ndarray) -> int:
@@ -72,7 +72,7 @@ def _profiles(docs: DataFrame, n: int) -> DataFrame:
                 for s in sets:
                     waiting.append((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
                     held += len(s)
-                if held > 4_000_000:
+                if held > 1_000_000:
                     drain()
         drain()
         if counts.any():

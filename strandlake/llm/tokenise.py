@@ -18,9 +18,9 @@ import pyarrow.compute as pc
 from .words import IS_WORD, byte_hashes, raw
 
 #: Bytes of text that are cut into pieces at once.
-SLICE = 4_000_000
+SLICE = 2_000_000
 #: Distinct pieces in the cache; when there are more, those not used for longest go.
-CACHE = 1_200_000
+CACHE = 800_000
 
 _SPACE = ~IS_WORD
 #: Bytes of plain texts: printable ASCII, the white space of words, and letters from U+00C0 to U+017F in two bytes.
@@ -144,7 +144,7 @@ class PieceEncoder:
             return np.zeros(0, np.uint16), np.zeros(len(offsets) - 1, np.int64)
         start = self._cuts(data, offsets)
         size = np.diff(np.append(start, len(data)))
-        keys, first, back = np.unique(byte_hashes(data, start, size), return_index=True, return_inverse=True)
+        keys, first, back = np.unique(byte_hashes(data, size), return_index=True, return_inverse=True)
         if self.kind == "bare":  # white space has no ids
             blank = _SPACE[data[start[first]]] & _SPACE[data[start[first] + size[first] - 1]]
         else:

@@ -36,23 +36,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Bytes whose hash terms are held at once, unless one word is longer.
+CHUNK = 400_000
+
+
 def _power(place: np.ndarray) -> np.ndarray:
     """_STEP to the power of each place; the tables stay small for words of any length."""
+    if not len(place) or int(place.max()) < len(_POWERS):
+        return _POWERS[place]
     out = _POWERS[place & ((1 << _LOW) - 1)]
     far = np.flatnonzero(place >> _LOW)
-    if len(far):
-        with np.errstate(over="ignore"):
-            leap = _POWERS[-1] * _STEP
-            high = place[far] >> _LOW
-            table = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(high.max()), leap)]), dtype=np.uint64)
-            out[far] *= table[high]
+    with np.errstate(over="ignore"):
+        leap = _POWERS[-1] * _STEP
+        high = place[far] >> _LOW
+        table = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(int(high.max()), leap)]), dtype=np.uint64)
+        out[far] *= table[high]
     return out
 
 
-def byte_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Hash of the bytes of each span; the spans lie side by side and are all of data."""
-    place = np.arange(len(data), dtype=np.int64) - np.repeat(start, length)
-    return mix(np.add.reduceat(_BYTE[data] * _power(place), start) + length.astype(np.uint64))
+def byte_hashes(data: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span; the spans, of at least one byte, lie side by side and are all of data."""
+    out, ends, i = np.zeros(len(length), np.uint64), np.cumsum(length), 0
+    while i < len(length):
+        low = int(ends[i] - length[i])
+        j = max(int(np.searchsorted(ends, low + CHUNK, "right")), i + 1)
+        begin = ends[i:j] - length[i:j] - low
+        part = data[low : int(ends[j - 1])]
+        place = np.arange(len(part), dtype=np.int64) - np.repeat(begin, length[i:j])
+        out[i:j] = np.add.reduceat(_BYTE[part] * _power(place), begin)
+        i = j
+    return mix(out + length.astype(np.uint64))
 
 
 @dataclass
@@ -105,10 +118,8 @@ def split(column: pa.Array, lower: bool = False) -> Words:
     first = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n))]).astype(np.int64)
     if not len(start):
         return Words(data, offsets, start, length, doc, first, np.zeros(0, np.uint64))
-    at = np.cumsum(length) - length
-    place = np.arange(int(length.sum()), dtype=np.int64) - np.repeat(at, length)
-    value = _BYTE[(_LOWER if lower else _SAME)[data[inside]]] * _power(place)
-    return Words(data, offsets, start, length, doc, first, mix(np.add.reduceat(value, at) + length.astype(np.uint64)))
+    inner = (_LOWER if lower else _SAME)[data[inside]]
+    return Words(data, offsets, start, length, doc, first, byte_hashes(inner, length))
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:
