@@ -12,6 +12,7 @@ from .operators import kmers as km
 from .operators import lengths as le
 from .operators import reports as rp
 from .operators import sequences as sq
+from .operators import tables as tb
 from .operators import variants as va
 from .plans.fixtures import ctes, view
 
@@ -52,8 +53,8 @@ w as (select file, class, sequence_length as l, sum(sequence_length) over (parti
 s as (select file, class, max(l) filter (b * 2 >= t) as n50, max(t) / 1e9 as gb, max(t) / 3.3e9 as coverage, """ + ", ".join(f"coalesce(sum(l) filter (l >= {x}), 0) / 3.3e9 as cov_{x // 1000}kb" for x in (100_000, 200_000, 300_000, 400_000, 500_000, 1_000_000)) + """,
   count(*) filter (l >= 1000000) as reads_1mb from w group by 1, 2)
 select file, class, coalesce(n50, 0) as n50, coalesce(gb, 0) as gb, coalesce(coverage, 0) as coverage, """ + ", ".join(f"coalesce(cov_{x}kb, 0) as cov_{x}kb" for x in (100, 200, 300, 400, 500, 1000)) + ", coalesce(reads_1mb, 0) as reads_1mb from k left join s using (file, class)")
-_add("filter_short_reads", ("fx_read_lengths",), lambda r: r.where("length > 50000"), " select * from fx_read_lengths where length > 50000")
-_add("run_summary_pass_fail", ("fx_run_summary",), lambda r: r.groupBy("file", F.when(F.col("mean_qscore") >= 10, "pass").otherwise("fail").alias("class")).agg(F.count("*").alias("reads"), F.sum("sequence_length").alias("bases")), " select file, case when mean_qscore >= 10 then 'pass' else 'fail' end as class, count(*) as reads, cast(sum(sequence_length) as bigint) as bases from fx_run_summary group by 1, 2")
+_add("filter_short_reads", ("fx_read_lengths",), lambda r: le.filter_short_reads(r, 50_000), " select * from fx_read_lengths where length > 50000")
+_add("run_summary_pass_fail", ("fx_run_summary",), le.pass_fail, " select file, case when mean_qscore >= 10 then 'pass' else 'fail' end as class, count(*) as reads, cast(sum(sequence_length) as bigint) as bases from fx_run_summary group by 1, 2")
 
 _ISLANDS = """, d as (select distinct {cols} from fx_intervals), e as (select *, max(end_pos) over (partition by contig order by start_pos, end_pos rows between unbounded preceding and 1 preceding) as reach from d),
 i as (select *, sum(case when start_pos <= reach + {gap} then 0 else 1 end) over (partition by contig order by start_pos, end_pos rows unbounded preceding) as island from e),
@@ -65,7 +66,7 @@ _LOJ = " select a.*, b.start_pos as b_start_pos, b.end_pos as b_end_pos, b.label
 _add("interval_intersect", ("fx_intervals", "fx_regions"), lambda a, b: iv.overlaps(a.distinct(), b), _LOJ.format("inner"))
 _add("interval_intersect_loj", ("fx_intervals", "fx_regions"), iv.intersect_left, _LOJ.format("left"))
 _add("interval_semi", ("fx_intervals", "fx_regions"), iv.intersect_semi, " select distinct * from fx_intervals a where exists (select 1 from fx_regions b where a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos)")
-_add("break_annotation_counts", ("fx_intervals", "fx_regions"), lambda a, b: iv.overlaps(a.distinct(), b).groupBy(F.col("b_label").alias("label")).agg(F.count("*").alias("n")), " select b.label, count(*) as n from (select distinct * from fx_intervals) a join fx_regions b on a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos group by 1")
+_add("break_annotation_counts", ("fx_intervals", "fx_regions"), iv.annotation_counts, " select b.label, count(*) as n from (select distinct * from fx_intervals) a join fx_regions b on a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos group by 1")
 _add("interval_coverage", ("fx_intervals", "fx_contigs"), iv.depth, """, v as (select contig, start_pos as pos, 1 as d from fx_intervals semi join fx_contigs using (contig) union all select contig, end_pos, -1 from fx_intervals semi join fx_contigs using (contig) union all select contig, 0, 0 from fx_contigs union all select contig, length, 0 from fx_contigs),
 s as (select contig, pos, sum(d) as d from v group by 1, 2), r as (select contig, sum(d) over w as depth, lead(pos) over w - pos as bases from s window w as (partition by contig order by pos))
 select contig, cast(depth as bigint) as depth, cast(sum(bases) as bigint) as bases, sum(bases) / max(length) as fraction from r join fx_contigs using (contig) where bases > 0 group by 1, 2""")
@@ -86,7 +87,7 @@ select name || '.chunk_' || (i + 1) as name, cast(i * 1000 as bigint) as "offset
 _add("n_gaps", ("fx_sequences",), lambda s: sq.n_gaps(s, 1), """, r as (select name, regexp_extract_all(seq, '[nN]+|[^nN]+') as p from fx_sequences), e as (select name, unnest(p) as x, generate_subscripts(p, 1) as i from r),
 o as (select *, sum(length(x)) over (partition by name order by i) as e from e) select name, cast(e - length(x) as bigint) as start_pos, cast(e as bigint) as end_pos from o where upper(left(x, 1)) = 'N'""")
 _add("rotate_circular", ("fx_sequences",), lambda s: sq.rotate_circular(s, 37), " select name || '_rot37' as name, substr(seq, 37 % greatest(length(seq), 1) + 1) || left(seq, 37 % greatest(length(seq), 1)) as seq from fx_sequences")
-_add("self_concat", ("fx_sequences",), lambda s: s.select("name", F.repeat("seq", F.lit(2)).alias("seq")), " select name, seq || seq as seq from fx_sequences")
+_add("self_concat", ("fx_sequences",), sq.self_concat, " select name, seq || seq as seq from fx_sequences")
 _add("dedup_by_sequence", ("fx_sequences",), sq.dedup_by_sequence, " select sha256(seq) as digest, min(name) as name, count(*) as copies from fx_sequences group by seq")
 
 _add("lift_chunk_coords", ("fx_sequences",), lambda s: sq.lift_chunks(sq.chunk_records(s, 1000, 50).select("name", F.lit(0).cast("long").alias("start_pos"), F.length("seq").cast("long").alias("end_pos")), 1000), """, c as (select name, length(seq) as n, cast(greatest(ceil((length(seq) - 1050) / 1000.0), 0) as bigint) + 1 as k from fx_sequences where length(seq) >= 11)
@@ -136,14 +137,14 @@ _add("extract_sequence", ("fx_sequences",), lambda s: sq.extract(s, _spans(s)),
 _add("telomere_ends", ("fx_sequences",), lambda s: sq.telomere_ends(s, 1000, 6), " select name, " + ", ".join(f"coalesce(list_max(list_transform(regexp_extract_all({side}(seq, 1000), '(?:TTAGGG|CCCTAA)+'), lambda x: length(x))), 0) >= 6 as at_{end}" for side, end in (("left", "start"), ("right", "end"))) + " from fx_sequences")
 _add("subset_by_names", ("fx_sequences",), lambda s: sq.subset_by_names(s, s.where("length(seq) % 3 = 0")), " select * from fx_sequences where length(seq) % 3 = 0")
 _add("drop_by_names", ("fx_sequences",), lambda s: sq.subset_by_names(s, s.where("length(seq) % 3 = 0"), drop=True), " select * from fx_sequences where not coalesce(length(seq) % 3 = 0, false)")
-_add("filter_len_fasta", ("fx_sequences",), lambda s: s.where("length(seq) >= 1000"), " select * from fx_sequences where length(seq) >= 1000")
-_add("unmask_upper", ("fx_sequences",), lambda s: s.withColumn("seq", F.upper("seq")), " select name, description, upper(seq) as seq from fx_sequences")
+_add("filter_len_fasta", ("fx_sequences",), lambda s: sq.filter_length(s, 1000), " select * from fx_sequences where length(seq) >= 1000")
+_add("unmask_upper", ("fx_sequences",), sq.unmask, " select name, description, upper(seq) as seq from fx_sequences")
 _add("overlap_resolution", ("fx_intervals",), lambda a: iv.resolve_overlaps(a.withColumn("score", F.col("end_pos") - F.col("start_pos"))), """, s as (select distinct *, end_pos - start_pos as score from fx_intervals)
 select * from s a where not exists (select 1 from s b where a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos and b.score > a.score)""")
 _add("dropped_vs_unmapped", ("fx_contigs", "fx_variants"), iv.list_difference, " select contig, case when a.contig is null then 'right' else 'left' end as side from (select distinct contig from fx_contigs) a full join (select distinct contig from fx_variants) b using (contig) where a.contig is null or b.contig is null")
-_add("intersect_ids", ("fx_contigs", "fx_variants"), lambda c, r: c.select("contig").intersect(r.select("contig")), " select contig from fx_contigs intersect select contig from fx_variants")
-_add("except_ids", ("fx_contigs", "fx_variants"), lambda c, r: c.select("contig").subtract(r.select("contig")), " select contig from fx_contigs except select contig from fx_variants")
-_add("union_distinct_ids", ("fx_contigs", "fx_variants"), lambda c, r: c.select("contig").union(r.select("contig")).distinct(), " select contig from fx_contigs union select contig from fx_variants")
+_add("intersect_ids", ("fx_contigs", "fx_variants"), lambda c, r: tb.common_keys(c, r, "contig"), " select contig from fx_contigs intersect select contig from fx_variants")
+_add("except_ids", ("fx_contigs", "fx_variants"), lambda c, r: tb.other_keys(c, r, "contig"), " select contig from fx_contigs except select contig from fx_variants")
+_add("union_distinct_ids", ("fx_contigs", "fx_variants"), lambda c, r: tb.distinct_union(c, r, "contig"), " select contig from fx_contigs union select contig from fx_variants")
 _add("first_n_records", ("fx_read_lengths",), le.first_records, " select * from fx_read_lengths qualify row_number() over (partition by file order by read_id, length) <= 100")
 _add("ont_qc_summary", ("fx_run_summary",), le.ont_qc_summary, None)
 _SQL["ont_qc_summary"] = "select file, " + ", ".join(f"max({c}) filter (class = '{k}') as {k}_{c}" for k in ("pass", "fail") for c in ("n50", "gb", "coverage", *[f"cov_{x}kb" for x in (100, 200, 300, 400, 500, 1000)], "reads_1mb")) + f" from ({_SQL['ont_run_stats']}) group by file"
@@ -197,7 +198,7 @@ select file, cast(x as int) as x, min(k) as lx from r, range(10, 101, 10) v(x) w
 _add("chr_completeness_report", ("fx_paf",), lambda p: am.chr_report(al.chr_completeness(am.mapping_filters(p.withColumn("identity", F.expr("cast(100 - nm * 0.3 as double)")), 99, 500).withColumn("target", F.concat("target", F.lit("_"), F.col("query_length").cast("string"))), 0, 20_500), 95), """, p as (select *, target || '_' || cast(query_length as varchar) as t from fx_paf where 100 - nm * 0.3 > 99 and query_end - query_start > 500), d as (select distinct query, t, query_length, target_length from p where query_length > 20500)
 select max(query) as query, t as target, sum(query_length / target_length * 100) as percent from d group by t having count(*) = 1 and sum(query_length / target_length * 100) > 95""")
 _LABELS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "no such label")
-_add("break_annotation_counts_wide", ("fx_intervals", "fx_regions"), lambda a, b: iv.annotation_counts_wide(iv.overlaps(a.distinct(), b).groupBy(F.col("b_label").alias("label")).agg(F.count("*").alias("n")), list(_LABELS)), ", c as (select b.label, count(*) as n from (select distinct * from fx_intervals) a join fx_regions b on a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos group by 1) select " + ", ".join(f"""coalesce(cast(max(n) filter (label = '{x}') as varchar), 'NA') as "{x}\"""" for x in _LABELS) + " from c")
+_add("break_annotation_counts_wide", ("fx_intervals", "fx_regions"), lambda a, b: iv.annotation_counts_wide(iv.annotation_counts(a, b), list(_LABELS)), ", c as (select b.label, count(*) as n from (select distinct * from fx_intervals) a join fx_regions b on a.contig = b.contig and a.start_pos < b.end_pos and b.start_pos < a.end_pos group by 1) select " + ", ".join(f"""coalesce(cast(max(n) filter (label = '{x}') as varchar), 'NA') as "{x}\"""" for x in _LABELS) + " from c")
 _add("misjoin_breaks_outside", ("fx_paf", "fx_ignored"), al.misjoin_breaks_outside, """, v as (select * from fx_paf p where not exists (select 1 from fx_ignored r where r.contig = p.target) or exists (select 1 from fx_ignored r where r.contig = p.target and (p.target_start < r.start_pos or p.target_end > r.end_pos))),
 d as (select distinct * from v), s as (select *, lag(target) over w as b, lag(query_end) over w as e from d window w as (partition by query order by query_start, query_end, target, target_start, target_end)) select query, b as from_target, target as to_target, e as break_start, query_start as break_end from s where b <> target""")
 _add("contig_regions", ("fx_contigs",), iv.contig_regions, " select contig, cast(0 as bigint) as start_pos, length as end_pos from fx_contigs where length > 0")

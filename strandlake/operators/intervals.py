@@ -100,6 +100,11 @@ def contig_regions(contigs: DataFrame) -> DataFrame:
     return contigs.where("length > 0").select("contig", F.lit(0).cast("long").alias("start_pos"), F.col("length").alias("end_pos"))
 
 
+def annotation_counts(intervals: DataFrame, annotation: DataFrame) -> DataFrame:
+    """(label, n): overlaps of distinct intervals with annotations of each label."""
+    return overlaps(intervals.distinct(), annotation).groupBy(F.col("b_label").alias("label")).agg(F.count("*").alias("n"))
+
+
 def annotation_counts_wide(counts: DataFrame, labels: list[str]) -> DataFrame:
     """One row: the count of each label as text, NA where there is none."""
     return counts.agg(*[F.coalesce(F.max(F.when(F.col("label") == x, F.col("n"))).cast("string"), F.lit("NA")).alias(x) for x in labels])

@@ -108,3 +108,14 @@ def ont_qc_summary(summary: DataFrame) -> DataFrame:
     stats = ont_run_stats(summary)
     names = [c for c in stats.columns if c not in ("file", "class")]
     return stats.groupBy("file").agg(*[F.max(F.when(F.col("class") == k, F.col(c))).alias(f"{k}_{c}") for k in ("pass", "fail") for c in names])
+
+
+def filter_short_reads(reads: DataFrame, length: int) -> DataFrame:
+    """Reads longer than length, not equal to it."""
+    return reads.where(F.col("length") > length)
+
+
+def pass_fail(summary: DataFrame, min_q: float = 10.0) -> DataFrame:
+    """(file, class, reads, bases) of reads whose mean quality reaches min_q (pass) or not (fail)."""
+    cls = F.when(F.col("mean_qscore") >= min_q, "pass").otherwise("fail")
+    return summary.groupBy("file", cls.alias("class")).agg(F.count("*").alias("reads"), F.sum("sequence_length").alias("bases"))

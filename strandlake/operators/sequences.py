@@ -97,3 +97,18 @@ def telomere_ends(sequences: DataFrame, edge: int = 1000, least: int = 400, moti
 def subset_by_names(sequences: DataFrame, names: DataFrame, drop: bool = False) -> DataFrame:
     """Sequences that a list names, or with drop those that it does not."""
     return sequences.join(names.select("name"), "name", "left_anti" if drop else "left_semi")
+
+
+def filter_length(sequences: DataFrame, least: int = 100_000) -> DataFrame:
+    """Sequences of at least so many bases."""
+    return sequences.where(F.length("seq") >= least)
+
+
+def unmask(sequences: DataFrame) -> DataFrame:
+    """Sequences in capitals."""
+    return sequences.withColumn("seq", F.upper("seq"))
+
+
+def self_concat(sequences: DataFrame) -> DataFrame:
+    """(name, seq): each sequence twice over, the target for reads of a circular one."""
+    return sequences.select("name", F.repeat("seq", F.lit(2)).alias("seq"))

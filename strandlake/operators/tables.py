@@ -99,6 +99,21 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def distinct_union(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Keys of either list, once."""
+    return a.select(key).union(b.select(key)).distinct()
+
+
+def common_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Keys that both lists hold, once."""
+    return a.select(key).intersect(b.select(key))
+
+
+def other_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Keys of the first list that the second lacks, once."""
+    return a.select(key).subtract(b.select(key))
+
+
 def diploid_concat(first: DataFrame, second: DataFrame) -> DataFrame:
     return first.withColumn("hap", F.lit(1)).unionByName(second.withColumn("hap", F.lit(2)))
 

@@ -52,7 +52,7 @@ def contigs_to_drop(lines: DataFrame, titles: tuple[str, ...], mito: tuple[str,
 def find_breakpoints(breaks: DataFrame, contigs: DataFrame, mapping: DataFrame, telomeric: DataFrame, annotation: DataFrame, width: int = 100, reach: int = 1_000_000) -> DataFrame:
     """(label, n): annotations in the flanks of breaks that lie at no true chromosome end."""
     flanks = am.chromosome_end_breaks(iv.flank(breaks, contigs, width), mapping, telomeric, reach)
-    return iv.overlaps(flanks.distinct(), annotation).groupBy(F.col("b_label").alias("label")).agg(F.count("*").alias("n"))
+    return iv.annotation_counts(flanks, annotation)
 
 
 def assembly_metrics(lengths: DataFrame, genes: DataFrame, qv: DataFrame | None = None, phasing: DataFrame | None = None, key: str = "file") -> DataFrame:
