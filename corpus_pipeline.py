@@ -1,6 +1,8 @@
 """The corpus pipeline: rules, classifier, near-duplicate join, mixing, packing.
 
-Each stage takes (spark, docs, sf_dir) and works on all documents that the one before it kept.
+Each stage takes (spark, docs, sf_dir) and works on all documents that the one before it kept. Other columns of docs, of any
+name, go through unchanged, but for n_chars, which mixing counts anew; an empty table gives none. Repeated rows are judged
+each by the first two stages.
 """
 
 from __future__ import annotations
@@ -25,30 +27,34 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the boosted trees reject go."""
+    """Documents that the base rules or the boosted trees reject go; those with a null or empty text are among them. The trees
+    are fitted on docs' own labelled texts; without labels of both kinds they reject nothing."""
     forest = fit_rules(docs, _labels(spark, sf_dir))
     return keep_rows(docs, lambda texts: passes(texts, forest, KEEP))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the attention classifier scores below SCORE go. It is fitted on the documents table as op1 does: the
-    rules have already removed nearly all labelled low-quality texts from docs."""
+    rules have already removed nearly all labelled low-quality texts from docs. A null or empty text is scored like any
+    other; without labels of both kinds all score 0.5 and stay."""
     model = fit_classifier(spark.read.parquet(f"{sf_dir}/documents.parquet"), _labels(spark, sf_dir))
     return keep_rows(docs, lambda texts: model.score(texts) >= SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the Jaccard join stays."""
+    """One document of each component of the Jaccard join stays, that with the smallest doc_id; of rows that share it, the one with
+    the smallest text. Null and empty texts are components of their own; rows without a doc_id stay."""
     return one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents hold the words that the mix takes of them, with a row for each round."""
+    """Documents hold the words that the mix takes of them, with a row for each round. Null and empty texts give no row, identical
+    rows one row a round; a null source is a source."""
     return mixed_documents(docs, mix_sources(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of power-of-two lengths with their ids."""
+    """Pieces of power-of-two lengths with their ids; a null or empty text is the end id alone."""
     return pack_documents(docs, _vocabulary("byte_bpe_50k.json"))
 
 
