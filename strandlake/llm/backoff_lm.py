@@ -22,6 +22,8 @@ from .store import materialise, partitions
 from .words import grams, slices, split
 
 BATCH_BYTES = 8_000_000
+#: A hash range holds about as many n-grams as so many batches.
+BATCHES_A_RANGE = 3
 BACKOFF = 0.4
 #: n-grams of two words and more that the corpus holds fewer times count as unseen.
 MIN_COUNT = 2
@@ -120,8 +122,9 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
     empty or null text scores 0 and has a null mean; repeated rows count and are scored each; other columns are ignored;
     an empty table gives no rows. Writes a table to the shared folder when called.
     """
-    buckets = partitions(docs.sparkSession)
     batches = _batches(docs)
+    # A task holds a range whole: few batches' n-grams, however many batches there are.
+    buckets = max(partitions(docs.sparkSession), batches.count() // BATCHES_A_RANGE)
     counts = _count(_explode(batches, buckets, order), buckets)
     answered = counts.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("kind", "p", "c"))).alias("counts"))  # blocks of one batch
 
