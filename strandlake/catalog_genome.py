@@ -40,8 +40,14 @@ def register(add) -> None:
     add("kmer_sex_group", ("fx_sequences",), lambda s: sk.kmer_sex_group(s, _spelled(km.packed_counts(s)).withColumn("chrom", F.expr(_CHROM)).where("chrom is not null").select("code", "chrom")), _kmers("name") + f""", m as (select key as name, {_CHROM} as chrom from c), g as (select name, count(*) filter (chrom = 'X') as x, count(*) filter (chrom = 'Y') as y, count(*) filter (chrom = 'PAR') as par from m where chrom is not null group by 1)
 select *, case when y > x then 1 when x > y then 2 end as hap from g""")
     by_file = lambda s: s.withColumn("file", F.expr(_FILE))
-    add("minhash_sketch", ("fx_sequences",), lambda s: sk.minhash_sketch(by_file(s), size=1000))
-    add("minhash_dist", ("fx_sequences",), lambda s: sk.minhash_dist(sk.minhash_sketch(by_file(s), size=1000), size=1000).withColumn("distance", F.round("distance", 9)))
+    # A hash that SQL has too: the code, two bits a base, times a constant, modulo a prime.
+    drawn = lambda code: F.pmod(code * 48271, F.lit(2147483647))
+    hashes = _kmers(_FILE) + """, u as (select distinct key as file, kmer from c), m as (select kmer, cast((cast(list_sum(list_transform(range(0, 21), lambda i: (instr('ACGT', substr(kmer, i + 1, 1)) - 1) * cast(power(4, 20 - i) as bigint))) as bigint) * 48271) % 2147483647 as bigint) as hash from (select distinct kmer from u)),
+sketch as (select file, hash from (select distinct file, hash from u join m using (kmer)) qualify row_number() over (partition by file order by hash) <= 1000) """
+    add("minhash_sketch", ("fx_sequences",), lambda s: sk.minhash_sketch(by_file(s), size=1000, hashed=drawn), hashes + "select file, hash from sketch")
+    add("minhash_dist", ("fx_sequences",), lambda s: sk.minhash_dist(sk.minhash_sketch(by_file(s), size=1000, hashed=drawn), size=1000).withColumn("distance", F.round("distance", 9)), hashes + """, p as (select distinct a.file as a, b.file as b from sketch a join sketch b using (hash) where a.file < b.file),
+t as (select a, b, hash, count(*) as n from (select a, b, hash from p join sketch on file = a union all select a, b, hash from p join sketch on file = b) group by all), low as (select * from t qualify row_number() over (partition by a, b order by hash) <= 1000),
+g as (select a, b, count(*) filter (n = 2) as shared, count(*) as merged from low group by 1, 2) select *, round(-ln(2 * (shared / merged) / (1 + shared / merged)) / 21, 9) + 0.0 as distance from g where shared > 0""")
     # A sketch of everything is all k-mers: then shares are those of k-mer sets, which SQL can count.
     add("containment_screen", ("fx_sequences",), lambda s: sk.containment_screen(km.packed_counts(by_file(s), keep=("file",)).select("file", F.col("code").alias("hash")), km.packed_counts(s.where("length(seq) % 2 = 0")).select(F.col("code").alias("hash"))), _kmers(f"{{'file': {_FILE}, 'odd': length(seq) % 2}}") + """, u as (select distinct key.file as file, kmer from c), seen as (select u.* from u where kmer in (select kmer from c where key.odd = 0)),
 sh as (select file, count(*) as hashes, count(*) filter (kmer in (select kmer from seen)) as found from u group by 1), w as (select distinct on (kmer) kmer, file from seen join sh using (file) order by kmer, found / hashes desc, file),

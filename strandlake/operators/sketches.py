@@ -32,7 +32,7 @@ def minhash_dist(sketches: DataFrame, k: int = 21, size: int = 10_000, key: str
     at = F.row_number().over(Window.partitionBy("a", "b").orderBy("hash"))
     out = union.withColumn("at", at).where(F.col("at") <= size).groupBy("a", "b").agg(F.count_if(F.col("both") == 2).alias("shared"), F.count("*").alias("merged")).where("shared > 0")
     j = F.col("shared") / F.col("merged")
-    return out.withColumn("distance", -F.log(2 * j / (1 + j)) / k)
+    return out.withColumn("distance", (0 - F.log(2 * j / (1 + j))) / k)
 
 
 def containment_screen(references: DataFrame, reads: DataFrame, key: str = "file") -> DataFrame:
