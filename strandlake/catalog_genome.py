@@ -30,6 +30,16 @@ b as (select contig, pos + t + i as pos, substr(seq, cast(q + i + 1 as bigint),
 piled as (select contig, cast(pos as bigint) as pos, """ + ", ".join(f"count(*) filter (base = '{x}') as {x.lower()}" for x in "ACGT") + " from b where base <> '' group by 1, 2) "
 
 
+def methyl_sql(skip: str, then: str, where: str = "true") -> str:
+    """Common table expression called (contig, pos, coverage, modified, percent) of records whose mm skips `skip` Cs, `then` and
+    one more, with the probabilities 250, 20 and 160: the first is modified, the second plain, the third neither."""
+    return PILED.partition("b as (select contig")[0].replace("from fx_records)", f"from (select * from fx_records where {where}))", 1).replace("select contig, pos, seq, row_number()", "select contig, pos, seq, tags, case when flag & 16 <> 0 then '-' else '+' end as strand, row_number()", 1).replace("select contig, pos, seq, r, unnest(ops)", "select contig, pos, r, unnest(ops)", 1) + f"""
+c as (select r, contig, pos, strand, seq, {skip} as a, {then} as b, unnest(range(1, length(seq) + 1)) as place from o),
+l as (select *, row_number() over (partition by r order by case strand when '-' then -place else place end) - 1 as i from c where substr(seq, place, 1) = case strand when '-' then 'G' else 'C' end),
+v as (select *, case i when a then 250.5 / 256 when a + 1 + b then 20.5 / 256 when a + 3 + b then 160.5 / 256 else 0 end as chance from l where case strand when '-' then place > 1 and substr(seq, place - 1, 1) = 'C' else substr(seq, place + 1, 1) = 'G' end),
+called as (select v.contig, cast(v.pos - 1 + t + v.place - 1 - q - case v.strand when '-' then 1 else 0 end as bigint) as pos, count(*) as coverage, count(*) filter (chance >= 0.8) as modified from v join p on p.r = v.r and p.kind in ('M', '=', 'X') and v.place - 1 >= q and v.place - 1 < q + n where chance >= 0.8 or chance <= 0.5 group by 1, 2) """
+
+
 def sites_of(sequences):
     """Marker k-mers (site, code, allele) of the k-mers that begin with AAA."""
     all_ = _spelled(km.packed_counts(sequences)).where("kmer like 'AAA%'")
@@ -65,7 +75,7 @@ select sample, site, cast(floor(ref_n * rate) as bigint) as ref_n, cast(floor(al
     add("haploid_consensus_calls", ("fx_records", "fx_reference"), lambda r, f: ca.haploid_consensus_calls(ca.base_pileup(r), f), PILED + """, m as (select *, greatest(a, c, g, t) as support, a + c + g + t as depth from piled), x as (select *, case support when a then 'A' when c then 'C' when g then 'G' else 'T' end as alt from m),
 y as (select contig, pos, substr(seq, pos, 1) as ref, alt, depth, support from x join fx_reference f on f.name = x.contig) select * from y where ref <> '' and ref <> alt""")
     mm = "concat('C+m,', CAST(nm_ % 3 AS STRING), ',', CAST(nm_ % 2 AS STRING), ',1;')"
-    add("methyl_pileup", ("fx_records",), lambda r: ca.methyl_pileup(r.withColumn("nm_", F.regexp_extract("tags", r"NM:i:(\d+)", 1).cast("int")).select("contig", "pos", F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"), "cigar", "seq", F.expr(mm).alias("mm"), F.array(F.lit(250), F.lit(20), F.lit(160)).alias("ml"))))
+    add("methyl_pileup", ("fx_records",), lambda r: ca.methyl_pileup(r.withColumn("nm_", F.regexp_extract("tags", r"NM:i:(\d+)", 1).cast("int")).select("contig", "pos", F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"), "cigar", "seq", F.expr(mm).alias("mm"), F.array(F.lit(250), F.lit(20), F.lit(160)).alias("ml"))), methyl_sql("cast(regexp_extract(tags, 'NM:i:(\\d+)', 1) as int) % 3", "cast(regexp_extract(tags, 'NM:i:(\\d+)', 1) as int) % 2") + "select *, 100 * modified / coverage as percent from called")
     like = "1 - levenshtein(alt, lag(alt) over w) / greatest(length(alt), length(lag(alt) over w), 1)"
     add("sv_merge", ("fx_sv",), ca.sv_merge, f""", d as (select contig, kind, strand, pos, caller, alt, max(support) as support from fx_sv where support >= 3 group by all),
 n as (select *, case when lag(pos) over w is null or pos - lag(pos) over w > 500 or caller = lag(caller) over w or (kind = 'INS' and {like} < 0.3) then 1 else 0 end as new from d window w as (partition by contig, kind, strand order by pos, caller, alt)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .catalog_files import _contamination, _pigeon, _through
-from .catalog_genome import PILED
+from .catalog_genome import PILED, methyl_sql
 from .catalog_tables import _BACK, _LEAST, _Q, _SOURCE, _SPAN, _TAG, ADAPTER, _headers, _limits
 from .operators import assembly as am
 from .operators import kmers as km
@@ -104,7 +104,7 @@ ii as (select *, sum(new) over (partition by contig order by pos) as i from nn)
     sets = {"hifi": "mapq >= 30", "ont": "mapq < 30"}
     add("alignment_qc_inputs", ("fx_records",), lambda r: wf.alignment_qc(r, sets, least_second=2, gap=40), " select * from (" + ") union all select * from (".join(f"with none as (select 1) {piled(f'flag & 2308 = 0 and {w}')}" + clusters.format(least=2, more=f", '{n}' as set") for n, w in sets.items()) + ")")
     mm = "concat('C+m,', CAST(length(seq) % 3 AS STRING), ',', CAST(length(seq) % 2 AS STRING), ',1;')"
-    add("methylation_tracks", ("fx_records",), lambda r: wf.methylation_tracks(r.select("contig", "pos", "mapq", F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"), "cigar", "seq", F.expr(mm).alias("mm"), F.array(F.lit(250), F.lit(20), F.lit(160)).alias("ml")), r.select("contig").distinct().withColumn("hap", F.when(F.col("contig") < "chr2", 1).otherwise(2))))
+    add("methylation_tracks", ("fx_records",), lambda r: wf.methylation_tracks(r.select("contig", "pos", "mapq", F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"), "cigar", "seq", F.expr(mm).alias("mm"), F.array(F.lit(250), F.lit(20), F.lit(160)).alias("ml")), r.select("contig").distinct().withColumn("hap", F.when(F.col("contig") < "chr2", 1).otherwise(2))), methyl_sql("length(seq) % 3", "length(seq) % 2", "mapq >= 10") + "select *, 100 * modified / coverage as percent, case when contig < 'chr2' then 1 else 2 end as hap from called")
     add("mito_contig_final", ("fx_paf", "fx_reference"), lambda p, f: wf.mito_contig_final(p, f, "HG1", 1), f", b as (select * from {inside('z as (select 1)', 'best_hit', 'fx_paf')}), x as (select query, strand, substr(seq, target_start + 1, target_end - target_start) as seq from b join fx_reference f on f.name = b.target) select 'HG1#1#' || query as header, case strand when '-' then reverse(translate(seq, 'ACGT', 'TGCA')) else seq end as seq from x")
     add("genbank_contamination_summary", ("fx_contigs",), lambda c: wf.genbank_contamination_summary(_contamination(c), c.where("length % 3 = 0").select("contig").union(c.where("length % 7 = 0").select(F.concat(F.lit("HG#1#x"), "contig")))), """, u as (select contig as id from fx_contigs where length % 3 = 0 union select 'x' || contig from fx_contigs where length % 7 = 0)
 select id, case when contig is null then 0 else 2 end as trims, contig is not null as excluded, u.id is not null as unmapped from (select contig as id, contig from fx_contigs) full join u using (id)""")
