@@ -31,7 +31,7 @@ FROM part""",
 FROM lineitem GROUP BY l_suppkey % 24, l_orderkey""",
     # Each file with the next ones: a sample has six files, so its own files and those of the next sample meet.
     "fx_pairs": """SELECT concat('HG', lpad(CAST(10000 + CAST(floor(a.c_custkey / 6) AS BIGINT) % 80000 AS STRING), 5, '0'), CASE a.c_custkey % 3 WHEN 0 THEN '_hifi_' WHEN 1 THEN '_ont_' ELSE '_hic_' END, CAST(a.c_custkey AS STRING)) AS sample1, concat('HG', lpad(CAST(10000 + CAST(floor(b.c_custkey / 6) AS BIGINT) % 80000 AS STRING), 5, '0'), CASE b.c_custkey % 3 WHEN 0 THEN '_hifi_' WHEN 1 THEN '_ont_' ELSE '_hic_' END, CAST(b.c_custkey AS STRING)) AS sample2, CASE WHEN floor(a.c_custkey / 6) = floor(b.c_custkey / 6) THEN CAST(1 + (a.c_custkey + b.c_custkey) % 50 AS DOUBLE) / 100 ELSE 0.4 + CAST((a.c_custkey * 31 + b.c_custkey) % 200 AS DOUBLE) / 100 END AS score
-FROM (SELECT c_custkey, step FROM customer CROSS JOIN (VALUES (1), (2), (3), (4), (5), (7)) v(step)) a JOIN customer b ON b.c_custkey = a.c_custkey + a.step""",
+FROM (SELECT c_custkey, c_custkey + 1 AS other FROM customer UNION ALL SELECT c_custkey, c_custkey + 2 AS other FROM customer UNION ALL SELECT c_custkey, c_custkey + 3 AS other FROM customer UNION ALL SELECT c_custkey, c_custkey + 4 AS other FROM customer UNION ALL SELECT c_custkey, c_custkey + 5 AS other FROM customer UNION ALL SELECT c_custkey, c_custkey + 7 AS other FROM customer) a JOIN customer b ON b.c_custkey = a.other""",
     "fx_report_lines": """SELECT CAST(conv_id AS STRING) AS file, turn AS line_no, CASE WHEN role = 'system' OR turn % 5 = 0 THEN concat('========== ', upper(role), ' ==========') WHEN turn % 5 = 4 THEN '' ELSE concat('VecScreen_', CASE WHEN turn % 2 = 0 THEN 'Strong' ELSE 'Weak' END, chr(9), 'ctg', CAST(conv_id AS STRING), chr(9), CAST(turn * 10 + 1 AS STRING), chr(9), CAST(turn * 10 + 9 AS STRING)) END AS line
 FROM conversations""",
     "fx_kinetics": """SELECT vec_id AS read_id, 64 - (vec_id % 5) - (vec_id % 3) AS read_len, vec_id % 5 AS left_trim, vec_id % 3 AS right_trim, embedding AS fi, embedding AS fp, embedding AS ri, embedding AS rp
