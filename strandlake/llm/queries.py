@@ -93,8 +93,24 @@ def op10_boosted_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs, fit_rules(docs, _read(spark, sf_dir, "labels")))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import audit_filters, failing_rows
+
+    rows = failing_rows(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    told = audit_filters(rows, list("ABCDE"), ["good", "toxic"])
+    return told.select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", F.col("lost_good").alias("good_lost"), F.col("lost_toxic").alias("toxic_lost"), "shapley")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import fold, in_a_fifth, lowered, manifest, proof_text
+
+    made = manifest(_read(spark, sf_dir, "documents"), in_a_fifth(F.col("doc_id")), lowered(F.col("text")))
+    made = made.withColumn("folded_root", fold(F.coalesce("changed", "leaf"), F.col("above")))
+    return made.select("doc_id", "leaf", "subroot", "root", F.sha2(proof_text(F.col("above")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_attention_quality, op2_sorted_passes, op3_power_packing, op4_stream_files, op5_multinomial_mix, op6_chat_machine, op7_jaccard_join, op8_weighted_urls, op9_stupid_backoff, op10_boosted_rules)}
+    return {f.__name__: f for f in (op1_attention_quality, op2_sorted_passes, op3_power_packing, op4_stream_files, op5_multinomial_mix, op6_chat_machine, op7_jaccard_join, op8_weighted_urls, op9_stupid_backoff, op10_boosted_rules, op11_filter_audit, op12_merkle_manifest)}
 
 
 def _op6_sql() -> str:
@@ -155,5 +171,70 @@ t as (select r, sum(s) as s from s group by r)
 select doc_id, cast(len(ws) as bigint) as n_words, round(coalesce(s, 0), 4) as log_score, round(s / nullif(len(ws), 0), 6) as mean_log_score from d left join t using (r)"""
 
 
+def _op11_sql() -> str:
+    return r"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x != '') as ws from documents),
+g as (select distinct doc_id from labels where quality = 1), x as (select distinct doc_id from labels where toxic = 1),
+f as (select part, len(ws) < 100 as a, 100 * len(list_distinct(ws)) < 80 * len(ws) as b, 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) as c,
+  regexp_matches(text, '[#$%&*|]') as d, coalesce(doc_id > min(doc_id) over (partition by text), false) as e,
+  cast(doc_id in (select doc_id from g) as int) as good, cast(doc_id in (select doc_id from x) as int) as toxic from d),
+m as (select part, a::int + 2 * b::int + 4 * c::int + 8 * d::int + 16 * e::int as fails, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic from f group by all),
+l as (select unnest(range(5)) as k),
+p as (select [p1.k, p2.k, p3.k, p4.k, p5.k] as o from l p1, l p2, l p3, l p4, l p5 where len(list_distinct([p1.k, p2.k, p3.k, p4.k, p5.k])) = 5),
+s as (select array_to_string(list_transform(o, lambda k: substr('ABCDE', k + 1, 1)), '') as filter_order, o, unnest(range(1, 6)) as step from p),
+t as (select filter_order, step, o[step] as k, 1 << o[step] as own, coalesce(list_sum(list_transform(o[1:step - 1], lambda k: 1 << k)), 0)::int as before from s),
+r as (select part, filter_order, step, k,
+  sum(case when fails & (before | own) = 0 then n else 0 end) as kept,
+  sum(case when fails & own != 0 and fails & before = 0 then n else 0 end) as removed,
+  sum(case when fails & own != 0 and fails & before != 0 then n else 0 end) as redundant,
+  sum(case when fails = own then n else 0 end) as unique_fails,
+  sum(case when fails & own != 0 and fails & before = 0 then good else 0 end) as good_lost,
+  sum(case when fails & own != 0 and fails & before = 0 then toxic else 0 end) as toxic_lost
+  from m, t group by part, filter_order, step, k)
+select part, filter_order, step::int as step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant, unique_fails::bigint as unique_fails,
+  good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost, (sum(removed) over (partition by part, k))::bigint as shapley from r"""
+
+
+def _op12_sql() -> str:
+    field = lambda c, t: f"coalesce(strlen(cast({c} as varchar)) || ':' || {t}, '-')"
+    plain = " || ".join(field(c, f"cast({c} as varchar)") for c in ("doc_id", "source", "lang", "n_chars"))
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    crc = f"xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda y: ascii(y)::ubigint)), lambda c, b: {bits.replace(', 0', ', 0::ubigint')}), 4294967295::ubigint)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+with recursive d as (select doc_id, source, sha256({plain} || {field("text", "text")}) as leaf,
+  case when {crc} % 5 = 0 then sha256({plain} || {field("text", lower)}) end as changed from documents),
+n as (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i from d),
+tree as (
+  select 0 as level, source, i, leaf as h, count(*) over (partition by source) as m from n
+  union all
+  select level + 1, source, i, h, count(*) over (partition by source) from (
+    select level, source, i // 16 as i, sha256(string_agg(h, '' order by i)) as h from tree where m > 1 group by level, source, i // 16)),
+subroots as (select source, h, row_number() over (order by source nulls first) - 1 as i from tree where m = 1),
+upper as (
+  select 0 as level, i, h, count(*) over () as m from subroots
+  union all
+  select level + 1, i, h, count(*) over () from (
+    select level, i // 16 as i, sha256(string_agg(h, '' order by i)) as h from upper where m > 1 group by level, i // 16)),
+runs as (select level, source, i // 16 as run, list(h order by i) as hs from tree where m > 1 group by level, source, i // 16),
+upper_runs as (select level, i // 16 as run, list(h order by i) as hs from upper where m > 1 group by level, i // 16),
+walk as (
+  select 0 as level, doc_id, leaf, source, i as leaf_i, i, coalesce(changed, leaf) as h, '' as proof from n
+  union all
+  select w.level + 1, doc_id, leaf, w.source, leaf_i, i // 16, sha256(array_to_string(hs[1:i % 16], '') || h || array_to_string(hs[i % 16 + 2:], '')),
+    proof || array_to_string(hs[1:i % 16], '') || array_to_string(hs[i % 16 + 2:], '')
+  from walk w join runs r on r.level = w.level and r.source is not distinct from w.source and r.run = w.i // 16),
+low as (select * from walk qualify row_number() over (partition by source, leaf_i order by level desc) = 1),
+over_walk as (
+  select 0 as level, doc_id, leaf, l.source, leaf_i, s.h as subroot, s.i, l.h, proof from low l join subroots s on s.source is not distinct from l.source
+  union all
+  select w.level + 1, doc_id, leaf, source, leaf_i, subroot, i // 16, sha256(array_to_string(hs[1:i % 16], '') || h || array_to_string(hs[i % 16 + 2:], '')),
+    proof || array_to_string(hs[1:i % 16], '') || array_to_string(hs[i % 16 + 2:], '')
+  from over_walk w join upper_runs r on r.level = w.level and r.run = w.i // 16),
+ended as (select * from over_walk qualify row_number() over (partition by source, leaf_i order by level desc) = 1),
+top as (select h as root from upper where m = 1)
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, h as folded_root, h = root as verified from ended cross join top"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_machine": _op6_sql(), "op8_weighted_urls": _op8_sql(), "op9_stupid_backoff": _op9_sql()}
+    return {"op11_filter_audit": _op11_sql(), "op12_merkle_manifest": _op12_sql(), "op6_chat_machine": _op6_sql(), "op8_weighted_urls": _op8_sql(), "op9_stupid_backoff": _op9_sql()}
