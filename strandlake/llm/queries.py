@@ -109,8 +109,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "leaf", "subroot", "root", F.sha2(proof_text(F.col("above")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chunk_bpe import decode_documents, encode_documents
+
+    path = _vocabulary("byte_bpe_50k.json")
+    made = decode_documents(encode_documents(_read(spark, sf_dir, "documents"), path), path)
+    return made.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_attention_quality, op2_sorted_passes, op3_power_packing, op4_stream_files, op5_multinomial_mix, op6_chat_machine, op7_jaccard_join, op8_weighted_urls, op9_stupid_backoff, op10_boosted_rules, op11_filter_audit, op12_merkle_manifest)}
+    return {f.__name__: f for f in (op1_attention_quality, op2_sorted_passes, op3_power_packing, op4_stream_files, op5_multinomial_mix, op6_chat_machine, op7_jaccard_join, op8_weighted_urls, op9_stupid_backoff, op10_boosted_rules, op11_filter_audit, op12_merkle_manifest, op13_chunk_bpe)}
 
 
 def _op6_sql() -> str:
