@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import intervals as iv
+from .tiles import apply_edits  # noqa: F401
 
 
 def mapping_filters(paf: DataFrame, least_identity: float = 99, least_span: int = 500_000, least_query: int = 0, least_block: int = 0) -> DataFrame:
@@ -94,20 +95,6 @@ def switch_hamming(markers: DataFrame) -> DataFrame:
     return out.select("contig", "markers", "switches", rarer.alias("minority"), rate(F.col("switches"), F.col("markers") - 1).alias("switch_rate"), rate(rarer, F.col("markers")).alias("hamming_rate"))
 
 
-def apply_edits(sequences: DataFrame, variants: DataFrame, width: int = 100_000) -> DataFrame:
-    """Sequences (name, seq) with the alternative alleles of variants (contig, pos from 1, ref, alt) put in. Of variants that
-    share a position the smallest (ref, alt) counts; one that begins inside the one before it is left out, as is one whose
-    ref is not what the sequence has there."""
-    best = variants.groupBy("contig", "pos").agg(F.min(F.struct("ref", "alt")).alias("v")).select(F.col("contig").alias("name"), "pos", "v.ref", "v.alt")
-    sites = best.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("pos", "ref", "alt"))).alias("edits"))
-    fits = "transform(filter(edits, e -> substring(seq, cast(e.pos as int), length(e.ref)) = e.ref), e -> struct(cast(e.pos as int) as pos, length(e.ref) as n, e.alt as alt))"
-    chain = "aggregate(edits, struct(1 as free, cast(array() as array<struct<pos:int,n:int,alt:string>>) as kept), (a, e) -> if(e.pos >= a.free, struct(e.pos + e.n as free, array_append(a.kept, e) as kept), a), a -> a.kept)"
-    pieces = "transform(edits, (e, i) -> concat(substring(seq, if(i = 0, 1, edits[greatest(i - 1, 0)].pos + edits[greatest(i - 1, 0)].n), e.pos - if(i = 0, 1, edits[greatest(i - 1, 0)].pos + edits[greatest(i - 1, 0)].n)), e.alt))"
-    met = sequences.select("name", "seq").join(sites, "name", "left").withColumn("edits", F.expr(fits)).withColumn("edits", F.expr(chain))
-    rest = "concat(array_join(" + pieces + ", ''), substring(seq, edits[size(edits) - 1].pos + edits[size(edits) - 1].n, length(seq)))"
-    return met.select("name", F.expr(f"if(coalesce(size(edits), 0) < 1, seq, {rest})").alias("seq"), F.greatest(F.coalesce(F.size("edits"), F.lit(0)), F.lit(0)).alias("applied"))
-
-
 def chr_report(completeness: DataFrame, least: float = 95) -> DataFrame:
     """Targets that one query covers by more than so many percent."""
     return completeness.where((F.col("n") == 1) & (F.col("percent") > least)).select(F.col("last_query").alias("query"), "target", "percent")

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bases of reference that lie in one row where positions meet it.
-WINDOW = 1000
+from .tiles import bases_at
 
 
 def aligned_blocks(cigar: Column) -> Column:
@@ -34,20 +33,13 @@ def base_pileup(records: DataFrame) -> DataFrame:
     return each.groupBy("contig", (F.col("start") + F.col("at")).alias("pos")).agg(*[F.count_if(F.upper("base") == b).alias(b.lower()) for b in "ACGT"])
 
 
-def _reference_bases(sites: DataFrame, reference: DataFrame) -> DataFrame:
-    """sites (contig, pos) with the base of the reference (name, seq): the reference meets them in windows."""
-    tiles = reference.select(F.col("name").alias("contig"), "seq", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.length("seq") / WINDOW).cast("int") - 1, F.lit(0)))).alias("tile")).select("contig", "tile", F.substring("seq", F.col("tile") * WINDOW + 1, F.lit(WINDOW)).alias("bases"))
-    met = sites.withColumn("tile", F.expr(f"cast((pos - 1) div {WINDOW} as int)")).join(tiles, ["contig", "tile"])
-    return met.withColumn("ref", F.upper(F.substring("bases", F.expr(f"cast((pos - 1) % {WINDOW} as int) + 1"), F.lit(1)))).where("ref != ''").drop("tile", "bases")
-
-
 def haploid_consensus_calls(pileup: DataFrame, reference: DataFrame, least: int = 1) -> DataFrame:
     """(contig, pos, ref, alt, depth, support) where the commonest base (ties: the first of ACGT) is not the reference's."""
     count = lambda b: F.col(b.lower())
     best = F.greatest(*[count(b) for b in "ACGT"])
     alt = F.coalesce(*[F.when(count(b) == best, b) for b in "ACGT"])
     called = pileup.select("contig", "pos", alt.alias("alt"), F.expr("a + c + g + t").alias("depth"), best.alias("support")).where(F.col("depth") >= least)
-    return _reference_bases(called, reference).where("alt != ref").select("contig", "pos", "ref", "alt", "depth", "support")
+    return bases_at(called, reference).where("alt != ref").select("contig", "pos", "ref", "alt", "depth", "support")
 
 
 def methyl_pileup(records: DataFrame, least_modified: float = 0.8, least_plain: float = 0.5) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tiles import extract, mask  # noqa: F401
+
 
 def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
@@ -72,22 +74,6 @@ def n_gaps(sequences: DataFrame, least: int = 2) -> DataFrame:
     return sequences.select("name", F.explode(F.aggregate(runs, start, step)["gaps"]).alias("g")).select("name", F.col("g.s").alias("start_pos"), F.col("g.e").alias("end_pos"))
 
 
-def extract(sequences: DataFrame, intervals: DataFrame) -> DataFrame:
-    """The bases of each interval (contig, start_pos, end_pos)."""
-    met = intervals.withColumnRenamed("contig", "name").join(sequences.select("name", "seq"), "name")
-    return met.withColumn("seq", F.substring("seq", (F.col("start_pos") + 1).cast("int"), (F.col("end_pos") - F.col("start_pos")).cast("int")))
-
-
-def mask(sequences: DataFrame, merged: DataFrame) -> DataFrame:
-    """N for the bases of merged intervals (contig, start_pos, end_pos); sequences without one stay as they are."""
-    gaps = merged.groupBy(F.col("contig").alias("name")).agg(F.array_sort(F.collect_list(F.struct(F.col("start_pos").alias("s"), F.col("end_pos").alias("e")))).alias("gaps"))
-    clipped = F.expr("filter(transform(gaps, g -> struct(cast(least(g.s, length(seq)) as int) as s, cast(least(g.e, length(seq)) as int) as e)), g -> g.s < g.e)")
-    before = "if(i = 0, 0, gaps[greatest(i - 1, 0)].e)"
-    pieces = f"transform(gaps, (g, i) -> concat(substr(seq, {before} + 1, g.s - {before}), repeat('N', g.e - g.s)))"
-    met = sequences.select("name", "seq").join(gaps, "name", "left").withColumn("gaps", clipped)
-    return met.select("name", F.expr(f"if(coalesce(size(gaps), 0) < 1, seq, concat(array_join({pieces}, ''), substr(seq, gaps[size(gaps) - 1].e + 1)))").alias("seq"))
-
-
 def telomere_ends(sequences: DataFrame, edge: int = 1000, least: int = 400, motif: str = "TTAGGG|CCCTAA") -> DataFrame:
     """Whether the first and the last `edge` bases hold a run of motifs of at least so many bases."""
     longest = lambda end: F.coalesce(F.array_max(F.transform(F.regexp_extract_all(end, F.lit(f"(?:{motif})+"), F.lit(0)), F.length)), F.lit(0)) >= least
