@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -30,17 +30,17 @@ BLOCK = 4096
 TILE = 512
 
 
-def passes_for(vectors: int, threshold: float, window: int, recall: float, least: int) -> int:
-    """Passes for a label of so many vectors.
+def passes_for(vectors: Column, crowding: Column, threshold: float, window: int, recall: float, least: int) -> Column:
+    """Passes for a label of so many vectors; crowding: 1 less the squared distance of unit vectors from their mean, on average about their mean
+    cosine; one deviation above that takes in the vectors that lie nearer to it.
 
-    A pair at the threshold has equal signs in a projection with probability 1 - acos(threshold) / pi. Where it shares
-    the log2(vectors / window) leading bits, about `window` vectors share them, if half of the vectors fall on either side of each
-    projection. Vectors crowded on one side take more passes than this.
+    A pair at the threshold has, without the mean, the cosine r = 1 - (1 - threshold) / (1 - crowding), and equal signs in a projection with
+    probability 1 - acos(r) / pi. Where it shares the log2(vectors / window) leading bits, about `window` vectors share them.
     """
-    if vectors <= window or recall <= 0:
-        return least
-    met = (1 - np.arccos(threshold) / np.pi) ** np.log2(vectors / window)
-    return least if met >= 1 else max(least, int(np.ceil(np.log1p(-recall) / np.log1p(-met))))
+    r = F.greatest(1 - (1 - threshold) / F.greatest(1 - crowding, F.lit(1e-9)), F.lit(-1.0))
+    met = F.pow(1 - F.acos(r) / np.pi, F.log2(vectors / window))
+    need = F.ceil(np.log1p(-recall) / F.log1p(-F.greatest(met, F.lit(1e-9))))
+    return F.when((vectors <= window) | (met >= 1) | F.lit(recall <= 0), least).otherwise(F.least(F.greatest(need, F.lit(least)), F.lit(1 << 30))).cast("int")
 
 
 def _usable(column: str) -> str:
@@ -57,26 +57,75 @@ def _units(binary: list[bytes], dim: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+#: Means are summed as whole numbers of this fraction, so that they do not depend on the order of the sum.
+UNIT = 1 << 24
+
+
+def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(numbers of all vectors, where each begins, how many it has)."""
+    size = np.diff(column.offsets.to_numpy())
+    return column.flatten().to_numpy().astype("<f8"), np.cumsum(size) - size, size
+
+
+def label_means(vectors: DataFrame, window: int) -> DataFrame:
+    """(label, dim, n, mean) of labels with more than `window` vectors (label, dim, embedding): the mean of the unit vectors."""
+
+    def add(batches):
+        for batch in batches:
+            flat, begin, sizes = _vectors(batch.column(1))
+            labels = batch.column(0).to_numpy()
+            for dim in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == dim)
+                x = np.rint(_units([flat[a : a + dim].tobytes() for a in begin[rows].tolist()], dim) * UNIT).astype(np.int64)
+                own, at = np.unique(labels[rows], return_inverse=True)
+                sums = np.zeros((len(own), dim), np.int64)
+                np.add.at(sums, at, x)
+                yield pa.record_batch([pa.array(own), pa.array(np.full(len(own), dim, np.int32)), pa.array(np.bincount(at)), pa.array(list(sums), pa.list_(pa.int64()))], names=["label", "dim", "n", "sums"])
+
+    large = vectors.groupBy("label", "dim").count().where(F.col("count") > window).drop("count")
+    rows = vectors.join(large, ["label", "dim"], "left_semi").select("label", "embedding")
+    parts = rows.mapInArrow(add, "label long, dim int, n long, sums array<long>")
+    each = parts.select("label", "dim", "n", F.posexplode("sums").alias("at", "x")).groupBy("label", "dim", "at").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
+    mean = F.transform(F.array_sort(F.collect_list(F.struct("at", "x", "n"))), lambda v: v["x"] / (v["n"] * UNIT))
+    return each.groupBy("label", "dim").agg(F.max("n").alias("n"), mean.alias("mean"))
+
+
+def crowding(vectors: DataFrame, means: DataFrame) -> DataFrame:
+    """means with crowding: the squared length of the mean and one deviation of the vectors' squared distances from it."""
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    near = vectors.join(means, ["label", "dim"]).select("label", "dim", F.round(dot("embedding", "mean") / F.sqrt(dot("embedding", "embedding")) * (1 << 20)).cast("long").alias("q"))
+    sums = near.groupBy("label", "dim").agg(F.sum("q").alias("one"), F.sum(F.col("q").cast("decimal(20,0)") * F.col("q")).cast("double").alias("two"))
+    variance = F.greatest(F.col("two") / F.col("n") - F.pow(F.col("one") / F.col("n"), F.lit(2)), F.lit(0.0))
+    return means.join(sums, ["label", "dim"]).withColumn("crowding", dot("mean", "mean") + 2 * F.sqrt(variance) / (1 << 20)).drop("one", "two")
+
+
+def project(x: np.ndarray, means: np.ndarray, passes: int, seed: int) -> np.ndarray:
+    """Keys of unit vectors in each pass: the signs of their projections without the mean, first bit highest."""
+    bits = (x - means) @ _planes(x.shape[1], passes, seed) > 0
+    return bits.reshape(len(x), passes, BITS) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+
+
 def _keys(vectors: DataFrame, seed: int) -> DataFrame:
-    """(pass, label, dim, key, id, vec): a row for each vector and each of its label's passes."""
+    """(pass, label, dim, key, id, vec): a row for each vector and each of its label's passes; a null mean is 0."""
 
-    def project(batches):
+    def each(batches):
         for batch in batches:
             for k in range(0, batch.num_rows, 2000):
                 part = batch.slice(k, 2000)
-                flat, sizes = part.column(2).flatten().to_numpy().astype("<f8"), np.diff(part.column(2).offsets.to_numpy())
-                begin = np.cumsum(sizes) - sizes
+                flat, begin, sizes = _vectors(part.column(2))
+                means, mean_at, mean_size = _vectors(part.column(4).fill_null([]))
                 wanted = part.column(3).to_numpy()
                 for dim, passes in np.unique(np.column_stack([sizes, wanted]), axis=0).tolist():
                     rows = np.flatnonzero((sizes == dim) & (wanted == passes))
-                    x = flat[(begin[rows][:, None] + np.arange(dim)).ravel()].reshape(-1, dim)
-                    vec = [v.tobytes() for v in x]
-                    bits = _units(vec, dim) @ _planes(dim, passes, seed) > 0
-                    weight = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
+                    vec = [flat[a : a + dim].tobytes() for a in begin[rows].tolist()]
+                    mean = np.zeros((len(rows), dim))
+                    told = mean_size[rows] == dim
+                    mean[told] = means[mean_at[rows[told]][:, None] + np.arange(dim)]
+                    keys = project(_units(vec, dim), mean, passes, seed)
                     for p in range(passes):
-                        yield pa.record_batch([pa.array(np.full(len(rows), p, np.int32)), part.column(0).take(pa.array(rows)), pa.array(np.full(len(rows), dim, np.int32)), pa.array(bits[:, p * BITS : (p + 1) * BITS] @ weight), part.column(1).take(pa.array(rows)), pa.array(vec, pa.binary())], names=["pass", "label", "dim", "key", "id", "vec"])
+                        yield pa.record_batch([pa.array(np.full(len(rows), p, np.int32)), part.column(0).take(pa.array(rows)), pa.array(np.full(len(rows), dim, np.int32)), pa.array(keys[:, p]), part.column(1).take(pa.array(rows)), pa.array(vec, pa.binary())], names=["pass", "label", "dim", "key", "id", "vec"])
 
-    return vectors.select(F.col("label").cast("long").alias("label"), "id", F.col("embedding").cast("array<double>").alias("embedding"), F.col("passes").cast("int").alias("passes")).mapInArrow(project, "pass int, label long, dim int, key long, id long, vec binary")
+    return vectors.select(F.col("label").cast("long").alias("label"), "id", F.col("embedding").cast("array<double>").alias("embedding"), F.col("passes").cast("int").alias("passes"), "mean").mapInArrow(each, "pass int, label long, dim int, key long, id long, vec binary")
 
 
 def _blocks(keys: DataFrame, window: int) -> DataFrame:
@@ -171,31 +220,62 @@ def _window_links(vectors: DataFrame, keys: DataFrame, threshold: float, window:
     return dealt.repartition(partitions(keys.sparkSession), *block).sortWithinPartitions(*block, "rank").mapInArrow(scan, "a long, b long")
 
 
+def _tiles(members: DataFrame) -> DataFrame:
+    """(c, i, j, ...): the members of each group c in blocks of about TILE, two blocks to a tile, so no pair is ever a row."""
+    sizes = members.groupBy("c").agg(F.ceil(F.count("*") / TILE).alias("blocks"))
+    dealt = members.join(sizes, "c").withColumn("block", F.pmod(F.xxhash64("id"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("c", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "dim", "id", "times", "block", "vec")
+    return dealt.repartition("c", "i", "j").sortWithinPartitions("c", "i", "j")
+
+
+def _compared(run: pa.RecordBatch, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, columns, whether they link) of a tile; a block with itself has no diagonal."""
+    x = _units(run.column("vec").to_pylist(), run.column("dim")[0].as_py())
+    block, i, j = run.column("block").to_numpy(), run.column("i")[0].as_py(), run.column("j")[0].as_py()
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    good = x[left] @ x[right].T >= threshold
+    if i == j:
+        np.fill_diagonal(good, False)
+    return left, right, good
+
+
+def _tile_links(members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): a forest of the links of each tile."""
+
+    def tile(batches):
+        for run in runs(batches, ["c", "i", "j"]):
+            left, right, good = _compared(run, threshold)
+            ids, parent = run.column("id").to_numpy(), {}
+
+            def root(x: int) -> int:
+                while parent.setdefault(x, x) != x:  # noqa: B023
+                    parent[x] = x = parent[parent[x]]  # noqa: B023
+                return x
+
+            a, b = [], []
+            for x, y in zip(*(ids[k[n]].tolist() for k, n in zip((left, right), np.nonzero(good), strict=True)), strict=True):
+                if (r := root(x)) != (s := root(y)):
+                    parent[max(r, s)] = min(r, s)
+                    a.append(x)
+                    b.append(y)
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return _tiles(members).mapInArrow(tile, "a long, b long")
+
+
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
-    """(c, dim, id, times, vec) -> (id, n): the copies of other members of c within the threshold. Each component is cut into
-    blocks of about TILE members; a task compares two blocks, so no pair is ever a row."""
+    """(c, dim, id, times, vec) -> (id, n): the copies of other members of c within the threshold."""
 
     def tile(batches):
         for run in runs(batches, ["c", "i", "j"]):
-            dim = run.column("dim")[0].as_py()
-            x = _units(run.column("vec").to_pylist(), dim)
-            ids, times, block = (run.column(k).to_numpy() for k in ("id", "times", "block"))
-            i, j = run.column("i")[0].as_py(), run.column("j")[0].as_py()
-            if i == j:
-                good = x @ x.T >= threshold
-                np.fill_diagonal(good, False)
-                n = good @ times
-            else:
-                left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-                good = x[left] @ x[right].T >= threshold
-                n = np.zeros(len(ids), np.int64)
-                n[left], n[right] = good @ times[right], times[left] @ good
-            yield pa.record_batch([pa.array(ids), pa.array(n.astype(np.int64))], names=["id", "n"])
+            left, right, good = _compared(run, threshold)
+            times, n = run.column("times").to_numpy(), np.zeros(run.num_rows, np.int64)
+            n[left] = good @ times[right]
+            if run.column("i")[0].as_py() != run.column("j")[0].as_py():
+                n[right] = times[left] @ good
+            yield pa.record_batch([run.column("id"), pa.array(n)], names=["id", "n"])
 
-    sizes = members.groupBy("c").agg(F.ceil(F.count("*") / TILE).alias("blocks"))
-    dealt = members.join(sizes, "c").withColumn("block", F.pmod(F.xxhash64("id"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("c", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "dim", "id", "times", "block", "vec")
-    return dealt.repartition("c", "i", "j").sortWithinPartitions("c", "i", "j").mapInArrow(tile, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return _tiles(members).mapInArrow(tile, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def dedup_embeddings(embeddings: DataFrame, threshold: float = 0.93, passes: int = PASSES, window: int = WINDOW, seed: int = 3, recall: float = RECALL) -> DataFrame:
@@ -205,20 +285,26 @@ def dedup_embeddings(embeddings: DataFrame, threshold: float = 0.93, passes: int
     null, empty, zero or holds a null or non-finite number, or whose label is null, links with nothing. Vectors of
     different lengths are not compared. Equal vectors link with one another; repeated rows are vectors each. Other
     columns are ignored; an empty table gives no rows. component_id: smallest vec_id reachable; kept: it is one's own.
-    passes: at least so many for every label, more where a label's size asks for them to reach `recall`.
+    passes: at least so many for every label, more where a label's size and crowding ask for them to reach `recall`; recall=0 leaves it
+    at passes. Writes tables to the shared folder when called.
     """
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.withColumn("embedding", F.expr(f"if({_usable('embedding')}, embedding, null)"))
     rows = rows.withColumn("key", F.when(F.col("embedding").isNotNull(), F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.transform("embedding", lambda x: F.hex(x.cast("string")))), 256)))
     rows = materialise(rows, "vectors")
     distinct = materialise(rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("times"), F.first("label").alias("label"), F.first("embedding").alias("embedding")), "distinct")
-    sizes = distinct.groupBy("label").count()
-    more = F.udf(lambda n: passes_for(n, threshold, window, recall, passes), "int")(F.col("count"))
-    # Labels of so many vectors that they need more passes: few, as each holds tens of thousands.
-    large = sizes.withColumn("more", more).where(F.col("more") > passes).select("label", "more")
-    dealt = distinct.join(F.broadcast(large), "label", "left").withColumn("passes", F.coalesce("more", F.lit(passes)))
-    pack = _keys(distinct.withColumn("passes", F.lit(1)), seed).select("id", "dim", "vec")
-    found = connected_components(_window_links(pack.select("id", "vec"), _keys(dealt, seed), threshold, window))
+    distinct = distinct.withColumn("dim", F.size("embedding"))
+    means = crowding(distinct, materialise(label_means(distinct, window), "means"))
+    means = means.withColumn("need", passes_for(F.col("n"), F.col("crowding"), threshold, window, recall, passes))
+    # So many passes compare as many pairs as there are.
+    means = means.withColumn("paired", (F.col("need") > passes) & (F.col("need") * 2 * window > F.col("n")))
+    means = materialise(means.select("label", "dim", "mean", "need", "paired"), "means")
+    dealt = distinct.join(means, ["label", "dim"], "left").withColumn("passes", F.coalesce("need", F.lit(passes)))
+    pack = _keys(distinct.withColumns({"passes": F.lit(1), "mean": F.lit(None).cast("array<double>")}), seed).select("id", "label", "dim", "vec")
+    links = _window_links(pack.select("id", "vec"), _keys(dealt.where("not coalesce(paired, false)"), seed), threshold, window)
+    every = pack.join(means.where("paired"), ["label", "dim"], "left_semi").select(F.concat_ws(" ", "label", "dim").alias("c"), "dim", "id", F.lit(1).cast("long").alias("times"), "vec")
+    links = links.unionByName(_tile_links(every, threshold))
+    found = connected_components(links)
     members = found.join(pack, "id").join(distinct.select("id", "times"), "id").select(F.col("component").alias("c"), "dim", "id", "times", "vec")
     counts = _link_counts(members, threshold)
     known = distinct.select("key", "id", "times").join(found, "id", "left").join(counts, "id", "left").select("key", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n"), F.coalesce("component", "id").alias("c"))
