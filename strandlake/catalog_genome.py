@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .operators import calls as ca
+from .operators import haplotypes as hp
 from .operators import kmers as km
 from .operators import sketches as sk
 
@@ -46,7 +47,21 @@ def sites_of(sequences):
     return all_.select(F.expr(_SITE).alias("site"), "code", F.expr(_ALLELE).alias("allele"))
 
 
+def _spelled_calls(sequences, query: bool):
+    """Variants of sequences of 120 bases and more: a change of two neighbours that the query spells as two variants, a repeated base that
+    both insert at other places, a change in each alone and an unlike one in both; which of them are there depends on the length."""
+    one, two = "translate(substr(seq, {p}, {n}), 'ACGTN', 'CATGA')", "translate(substr(seq, {p}, {n}), 'ACGTN', 'GTACC')"
+    base = "substr(seq, {p}, {n})"
+    truth = [(50, 2, one, "true"), (20, 1, one, "true"), (70, 1, base + " || substr(seq, 70, 1)", "length(seq) % 3 = 0"), (110, 1, one, "true")]
+    asked = [(50, 1, one, "true"), (51, 1, one, "length(seq) % 5 != 0"), (69, 1, base + " || substr(seq, 70, 1)", "true"), (90, 1, one, "length(seq) % 2 = 0"), (110, 1, two, "true")]
+    rows = ", ".join(f"named_struct('pos', {p}, 'ref', {base.format(p=p, n=n)}, 'alt', {alt.format(p=p, n=n)}, 'here', {here})" for p, n, alt, here in (asked if query else truth))
+    return sequences.where("length(seq) >= 120").select(F.col("name").alias("contig"), F.explode(F.expr(f"array({rows})")).alias("v")).where("v.here").select("contig", "v.pos", "v.ref", "v.alt")
+
+
 def register(add) -> None:
+    add("vcf_compare_haplotypes", ("fx_sequences",), lambda s: hp.compare_haplotypes(_spelled_calls(s, False), _spelled_calls(s, True), s), """, k as (select name as contig, length(seq) % 3 = 0 as a, length(seq) % 5 = 0 as b, length(seq) % 2 = 0 as e from fx_sequences where length(seq) >= 120),
+n as (select contig, cast(case when b then 0 else 1 end + a::int as bigint) as truth_shared, cast(case when b then 0 else 2 end + a::int as bigint) as query_shared, cast(2 + b::int as bigint) as only_truth, cast(1 + e::int + (not a)::int + b::int as bigint) as only_query from k)
+select *, query_shared / nullif(query_shared + only_query, 0) as precision, truth_shared / nullif(truth_shared + only_truth, 0) as recall from n""")
     add("kmer_sex_group", ("fx_sequences",), lambda s: sk.kmer_sex_group(s, _spelled(km.packed_counts(s)).withColumn("chrom", F.expr(_CHROM)).where("chrom is not null").select("code", "chrom")), _kmers("name") + f""", m as (select key as name, {_CHROM} as chrom from c), g as (select name, count(*) filter (chrom = 'X') as x, count(*) filter (chrom = 'Y') as y, count(*) filter (chrom = 'PAR') as par from m where chrom is not null group by 1)
 select *, case when y > x then 1 when x > y then 2 end as hap from g""")
     by_file = lambda s: s.withColumn("file", F.expr(_FILE))

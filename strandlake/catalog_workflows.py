@@ -83,9 +83,9 @@ metrics as (select file, contigs, total, n50, l50, full_sgl, full_dup, case when
     add("qc_text_report", views, lambda *f: am.report_text(metrics(*f), "file"), table + f"select file, '-' || file || chr(10) || {said} as report from metrics")
     add("standard_qc", ("fx_read_lengths", "fx_genes"), lambda r, g: wf.assembly_metrics(r, am.gene_completeness(g).withColumn("file", F.expr(file_of))), f", n as (select * from {inside('z as (select 1)', 'nx_lx_aun', 'fx_read_lengths')}), k as (select {file_of} as file, count(*) filter (state = 'full_sgl') as full_sgl, count(*) filter (state = 'full_dup') as full_dup from {inside('z as (select 1)', 'gene_completeness', 'fx_genes')} group by 1) select file, contigs, total, n50, l50, full_sgl, full_dup, cast(null as double) as qv, cast(null as double) as switch_rate, cast(null as double) as hamming_rate from n left join k using (file)")
     add("short_qc", views, lambda *f: am.report_text(metrics(*f).withColumn("qv", F.lit(None).cast("double")), "file"), table.replace("case when file = 'AF' then cast(43.5 as double) end", "cast(null as double)") + f"select file, '-' || file || chr(10) || {said} as report from metrics")
-    keyed = "regexp_extract(description, '^([^ ]*)', 1)"
-    add("comparison_qc", ("fx_sequences",), lambda s: wf.comparison_qc(s.where("description is not null").withColumn("file", F.expr(keyed)), 1000), f" select * from {inside(f'fx_read_lengths as (select {keyed} as file, length(seq) as length from fx_sequences where description is not null and length(seq) >= 1000)', 'nx_lx_aun', 'fx_read_lengths')}")
-    add("comparison_qc_broken", ("fx_sequences",), lambda s: wf.comparison_qc(s.where("description is not null").withColumn("file", F.expr(keyed)), 50, broken=True), f" select * from {inside(f'p as (select {keyed} as file, unnest(regexp_split_to_array(seq, {chr(39)}[nN]+{chr(39)})) as x from fx_sequences where description is not null), fx_read_lengths as (select file, length(x) as length from p where length(x) >= 50)', 'nx_lx_aun', 'fx_read_lengths')}")
+    keyed = "coalesce(regexp_extract(description, '^([^ ]*)', 1), 'none')"
+    add("comparison_qc", ("fx_sequences",), lambda s: wf.comparison_qc(s.withColumn("file", F.expr(keyed)), 1000), f" select * from {inside(f'fx_read_lengths as (select {keyed} as file, length(seq) as length from fx_sequences where length(seq) >= 1000)', 'nx_lx_aun', 'fx_read_lengths')}")
+    add("comparison_qc_broken", ("fx_sequences",), lambda s: wf.comparison_qc(s.withColumn("file", F.expr(keyed)), 50, broken=True), f" select * from {inside(f'p as (select {keyed} as file, unnest(regexp_split_to_array(seq, {chr(39)}[nN]+{chr(39)})) as x from fx_sequences), fx_read_lengths as (select file, length(x) as length from p where length(x) >= 50)', 'nx_lx_aun', 'fx_read_lengths')}")
 
     drop, mt = "length(seq) % 5 = 0", "ACGTACGTTTGA"
     add("clean_assembly", ("fx_sequences", "fx_orientation"), lambda s, o: wf.clean_assembly(s, s.where(drop), o, o.groupBy(F.col("query").alias("name")).agg(F.min("target").alias("chrom")), s.sparkSession.range(1).select(F.lit("MT").alias("name"), F.lit(mt).alias("seq"))), f""", o as (select query as name, min(strand) as strand, min(target) as chrom from fx_orientation group by 1), k as (select name || ' [location=chromosome][chromosome=' || replace(chrom, 'chr', '') || ']' as name, case strand when '-' then reverse(translate(seq, 'ACGT', 'TGCA')) else seq end as seq from fx_sequences join o using (name) where name not in (select name from fx_sequences where {drop})
