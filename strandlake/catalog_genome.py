@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .operators import align as ag
 from .operators import calls as ca
 from .operators import haplotypes as hp
 from .operators import kmers as km
@@ -91,6 +92,15 @@ select sample, site, cast(floor(ref_n * rate) as bigint) as ref_n, cast(floor(al
 y as (select contig, pos, substr(seq, pos, 1) as ref, alt, depth, support from x join fx_reference f on f.name = x.contig) select * from y where ref <> '' and ref <> alt""")
     mm = "concat('C+m,', CAST(nm_ % 3 AS STRING), ',', CAST(nm_ % 2 AS STRING), ',1;')"
     add("methyl_pileup", ("fx_records",), lambda r: ca.methyl_pileup(r.withColumn("nm_", F.regexp_extract("tags", r"NM:i:(\d+)", 1).cast("int")).select("contig", "pos", F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"), "cigar", "seq", F.expr(mm).alias("mm"), F.array(F.lit(250), F.lit(20), F.lit(160)).alias("ml"))), methyl_sql("cast(regexp_extract(tags, 'NM:i:(\\d+)', 1) as int) % 3", "cast(regexp_extract(tags, 'NM:i:(\\d+)', 1) as int) % 2") + "select *, 100 * modified / coverage as percent from called")
+    add("sv_merge_forest", ("fx_sv",), ag.merge_calls)  # joins in order of distance are not SQL
+    worn = "concat(repeat('CCCTAA', CAST(length(seq) % 31 AS INT)), 'T', repeat('CCCTAA', CAST(length(seq) % 17 AS INT)), substr(seq, 1, 700), 'N', repeat('TTAGGG', CAST(length(seq) % 23 AS INT)), 'AG', repeat('TTAGGG', CAST(length(seq) % 5 AS INT)))"
+    turns = ", ".join(f"'{(m + m)[i : i + 6]}'" for m in ("TTAGGG", "CCCTAA") for i in range(6))
+    add("telomere_repeats", ("fx_sequences",), lambda s: ag.telomere_repeats(s.withColumn("seq", F.expr(worn)), edge=400, drop=40, least=30), f""", t as (select name, {worn} as seq from fx_sequences), e as (select name, 'start' as "end", length(seq) as n, left(seq, 400) as part, 1 as way from t union all select name, 'end', length(seq), right(seq, 400), -1 from t),
+w as (select *, unnest(range(1, length(part) - 4)) as i from e where length(part) >= 6), h as (select *, case when substr(part, i, 6) in ({turns}) then 1 else -1 end as hit from w),
+c as (select *, sum(hit) over (partition by name, "end" order by i * way) as score, row_number() over (partition by name, "end" order by i * way) as place from h),
+b as (select *, greatest(max(score) over (partition by name, "end" order by place), 0) - score > 40 as lost from c), k as (select *, bool_or(lost) over (partition by name, "end" order by place) as over from b),
+g as (select name, "end", any_value(n) as n, arg_max(place, (score, -place)) as windows, max(score) as score from k where not over group by 1, 2)
+select name, "end", case "end" when 'start' then 0 else n - windows - 5 end as start_pos, case "end" when 'start' then windows + 5 else n end as end_pos, cast(score as bigint) as score from g where score >= 30""")
     like = "1 - levenshtein(alt, lag(alt) over w) / greatest(length(alt), length(lag(alt) over w), 1)"
     add("sv_merge", ("fx_sv",), ca.sv_merge, f""", d as (select contig, kind, strand, pos, caller, alt, max(support) as support from fx_sv where support >= 3 group by all),
 n as (select *, case when lag(pos) over w is null or pos - lag(pos) over w > 500 or caller = lag(caller) over w or (kind = 'INS' and {like} < 0.3) then 1 else 0 end as new from d window w as (partition by contig, kind, strand order by pos, caller, alt)),

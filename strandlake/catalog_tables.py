@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .operators import align as ag
 from .operators import assembly as am
 from .operators import calls as ca
 from .operators import intervals as iv
@@ -54,6 +55,8 @@ def register(add) -> None:
     add("filter_read_quality", ("fx_reads",), lambda r: rd.filter_read_quality(r, 12.25, 1000), f" select * from fx_reads where length(seq) >= 1000 and {_Q} >= 12.25")
     windows = " or ".join(f"levenshtein(substr(seq, i, {n}), '{a}') <= 1" for a in (ADAPTER, _BACK) for n in (13, 14, 15))
     add("discard_adapter_reads", ("fx_reads",), lambda r: rd.discard_adapter_reads(r, (ADAPTER,), 0.08, len(ADAPTER)).select("read_id"), f" select read_id from fx_reads where len(list_filter(range(1, length(seq) + 1), lambda i: {windows})) = 0")
+    part = " or ".join(x for a in (ADAPTER, _BACK) for x in (*[f"left(seq, {n}) = '{a[-n:]}' or right(seq, {n}) = '{a[:n]}'" for n in (10, 11, 12)], *[f"levenshtein(left(seq, {n}), '{a[1:]}') <= 1 or levenshtein(right(seq, {n}), '{a[:-1]}') <= 1" for n in (12, 13, 14)]))
+    add("discard_adapter_parts", ("fx_reads",), lambda r: ag.discard_adapters(r.select("read_id", "seq"), (ADAPTER,), 0.08, 10).select("read_id"), f" select read_id from fx_reads where len(list_filter(range(1, length(seq) + 1), lambda i: {windows})) = 0 and not ({part})")
     add("exclude_lines", ("fx_reads",), lambda r: rd.exclude_lines(r, ADAPTER[:8], ("seq", "read_id")), f" select * from fx_reads where not contains(seq, '{ADAPTER[:8]}') and not contains(read_id, '{ADAPTER[:8]}')")
     add("blast_len_filter", ("fx_blast",), lambda h: am.blast_len_filter(h.withColumn("source", F.expr(_SOURCE)), _limits(h.withColumn("source", F.expr(_SOURCE)))), f", h as (select *, {_SOURCE} as source from fx_blast) select * from h where length >= {_LEAST}")
     add("paf_adapter_filter", ("fx_paf",), rd.paf_adapter_filter, " select * from fx_paf where nm <= 2 and query_end - query_start >= 42")
