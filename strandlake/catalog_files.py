@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .operators import reports as rp
+from .sources import fastq as fq
 from .sources import readers as rr
 from .sources import writers as ww
 from .sources.scratch import shared_dir
@@ -29,25 +30,21 @@ _KINNEX = """concat_ws('\\n', 'Results', concat('Input reads: ', n_in), concat('
 _KINNEX_COLUMNS = "cast(c_custkey * 100 as string) as n_in, cast(c_custkey * 70 as string) as n_ok, cast(c_custkey % 100 as string) || '.5' as pct, cast(c_nationkey as string) as genes, cast(c_nationkey * 3 as string) as tr, cast(c_custkey % 37 as string) as fsm, cast(c_custkey % 11 as string) as ism"
 
 
-def _lines(text: str):
-    """(file, line_no, line) of reports held as one text each; file is the column of that name."""
-    return lambda df: df.select("file", F.posexplode(F.split(F.expr(text), "\n")).alias("line_no", "line"))
+def _reports(df, text: str):
+    """Writes a report file for each row, in a folder named by its column file, and gives the lines read back from the files."""
+    return _through(df.select("file", F.expr(text).alias("value")), lambda d, p: d.repartition("file").write.partitionBy("file").text(p), lambda s, p: rr.report_lines(s, p, "file"))
 
 
 def _pigeon(metrics):
-    """Reports of all samples in one folder of files; a report's first line names its sample, so that line numbers need no
-    file each."""
     made = metrics.select(F.col("sample").alias("file"), F.substring("sample", 3, 9).cast("bigint").alias("k"))
     made = made.selectExpr("file", *[x.replace("c_custkey", "k").replace("c_nationkey", "(k % 25)") for x in _KINNEX_COLUMNS.split(", ")])
-    return _through(made, lambda d, p: _lines(_KINNEX)(d).select(F.concat_ws("\t", "file", F.col("line_no").cast("string"), "line").alias("value")).write.text(p),
-                    lambda s, p: rp.pigeon_summary(s.read.text(p).select(F.split("value", "\t").alias("f")).select(F.col("f")[0].alias("file"), F.col("f")[1].cast("long").alias("line_no"), F.col("f")[2].alias("line"))))
+    return rp.pigeon_summary(_reports(made, _KINNEX))
 
 
 def _contamination(contigs):
     """Submission reports with trims of two spans and exclusions, read back."""
     text = "concat_ws('\\n', 'Trim:', 'Sequence name, length, span(s), apparent source', concat_ws('\\t', contig, length, concat('10..', length % 50 + 20, ',400..500'), 'adaptor:NGB'), '', 'Exclude:', 'Sequence name, length, apparent source', concat_ws('\\t', contig, length, 'mitochondrion not cleaned'), '')"
-    return _through(contigs.withColumn("file", F.col("contig")), lambda d, p: _lines(text)(d).select(F.concat_ws("\t", "file", F.col("line_no").cast("string"), F.regexp_replace("line", "\t", " ")).alias("value")).write.text(p),
-                    lambda s, p: rp.contamination_rows(s.read.text(p).select(F.split("value", "\t").alias("f")).select(F.col("f")[0].alias("file"), F.col("f")[1].cast("long").alias("line_no"), F.col("f")[2].alias("line"))))
+    return rp.contamination_rows(_reports(contigs.withColumn("file", F.col("contig")), text))
 
 
 def register(add) -> None:
@@ -56,6 +53,7 @@ def register(add) -> None:
     add("scan_fasta", ("fx_sequences",), lambda s: _through(clean(s), lambda d, p: ww.write_fasta(d, p, 60), lambda k, p: rr.read_fasta(k, p).drop("file")), fasta)
     add("write_fasta", ("fx_sequences",), lambda s: _through(clean(s), lambda d, p: ww.write_fasta(d, p, gzip=True), lambda k, p: rr.read_fasta(k, p).drop("file")), fasta)
     add("scan_fastq", ("fx_reads",), lambda r: _through(r.where("seq != ''"), lambda d, p: ww.write_fastq(d, p), lambda s, p: rr.read_fastq(s, p).drop("file")), " select read_id, seq, qual, length(seq) as length from fx_reads where seq <> ''")
+    add("scan_fastq_ranges", ("fx_reads",), lambda r: _through(r.where("seq != ''"), lambda d, p: ww.write_fastq(d, p), lambda s, p: fq.scan_fastq(s, p, 300_000).drop("file")), " select read_id, seq, qual, length(seq) as length from fx_reads where seq <> ''")
     add("scan_lengths", ("fx_contigs",), _round("concat_ws('\t', contig, length, '0', '60', '61')", lambda s, p: rr.read_lengths(s, p).select("name", "length")), " select contig as name, length from fx_contigs")
     add("scan_bed", ("fx_intervals",), _round("concat_ws('\t', contig, start_pos, end_pos, source, hit_id)", lambda s, p: rr.read_bed(s, p, ("source", "hit_id"))), " select * from fx_intervals")
     tagged = "concat_ws('\t', query, query_length, query_start, query_end, strand, target, target_length, target_start, target_end, block_len, block_len, mapq, concat('NM:i:', nm), concat('AS:i:', as_score))"
@@ -85,9 +83,11 @@ union all select contig, 'Trim', contig, length, 400, 500, 'adaptor:NGB' from fx
     add("write_bed_sorted", ("fx_intervals", "fx_regions"), lambda a, b: _through(a.select("contig", "start_pos", "end_pos"), lambda d, p: ww.write_bed_sorted(p, d, b.select("contig", "start_pos", "end_pos")), rr.read_bed), " select contig, start_pos, end_pos from fx_intervals union all select contig, start_pos, end_pos from fx_regions")
     add("write_bedgraph", ("fx_base_counts",), lambda b: _through(b.select("contig", (F.col("pos") - 1).alias("start_pos"), F.col("pos").alias("end_pos"), F.greatest("a", "c", "g", "t").alias("first")), lambda d, p: ww.write_bedgraph(d, p, "first"), lambda s, p: rr.read_bed(s, p, ("first:long",))), " select contig, pos - 1 as start_pos, pos as end_pos, greatest(a, c, g, t) as first from fx_base_counts")
 
-    def sharded(df):
+    def sharded(df, **size):
         named = df.select(F.concat_ws("/", "file", F.col("read_id").cast("string")).alias("name"), "length")
-        return _through(named, lambda d, p: ww.write_sharded(d, p, 20_000_000), lambda s, p: s.read.schema("name string, length long, shard int").parquet(p).select("name", "length"))
+        return _through(named, lambda d, p: ww.write_sharded(d, p, order=("name", "length"), **size), lambda s, p: s.read.schema("name string, length long, number long, shard long").parquet(p))
 
-    add("write_sharded", ("fx_read_lengths",), sharded, " select file || '/' || cast(read_id as varchar) as name, length from fx_read_lengths")
+    order = "select file || '/' || cast(read_id as varchar) as name, length, row_number() over (order by file || '/' || cast(read_id as varchar), length) - 1 as number from fx_read_lengths"
+    add("write_sharded", ("fx_read_lengths",), lambda r: sharded(r, shard_bases=20_000_000), f" select *, cast((sum(length) over (order by number) - length) // 20000000 as bigint) as shard from ({order})")
+    add("write_sharded_records", ("fx_read_lengths",), lambda r: sharded(r, shard_records=7000), f" select *, number // 7000 as shard from ({order})")
     add("write_entity_table", ("fx_samples",), lambda s: _through(s, ww.write_entity_table, lambda k, p: k.read.parquet(p)), " select * from fx_samples")

@@ -57,13 +57,16 @@ def numbered_lines(spark: SparkSession, path) -> DataFrame:
 
         last, at = None, 0
         for batch in batches:
-            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-            out = np.zeros(len(keys), np.int64)
-            for i, key in enumerate(keys):
-                at = at + 1 if key == last else 0
-                last = key
-                out[i] = at
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out), batch.column(2)], names=["file", "block", "at", "value"])
+            n = batch.num_rows
+            if not n:
+                continue
+            file, block = batch.column(0).dictionary_encode().indices.to_numpy(), batch.column(1).to_numpy()
+            heads = np.flatnonzero(np.append(True, (file[1:] != file[:-1]) | (block[1:] != block[:-1])))
+            out = np.arange(n) - np.repeat(heads, np.diff(np.append(heads, n)))
+            if (batch.column(0)[0].as_py(), block[0]) == last:
+                out[: heads[1] if len(heads) > 1 else n] += at
+            last, at = (batch.column(0)[n - 1].as_py(), block[n - 1]), int(out[-1]) + 1
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out.astype(np.int64)), batch.column(2)], names=["file", "block", "at", "value"])
 
     lines = raw.mapInArrow(number, schema)
     counts = raw.groupBy("file", "block").agg(F.count("*").alias("n"))
@@ -165,6 +168,7 @@ def read_manifest(spark: SparkSession, path, fields: int = 2) -> DataFrame:
     return cut.select(checked.alias("path"), F.try_element_at("f", F.lit(2)).alias("second"))
 
 
-def report_lines(spark: SparkSession, path) -> DataFrame:
-    """(file, line_no, line) of text reports."""
-    return numbered_lines(spark, path).select(F.element_at(F.split("file", "/"), -1).alias("file"), "line_no", F.col("value").alias("line"))
+def report_lines(spark: SparkSession, path, folder: str | None = None) -> DataFrame:
+    """(file, line_no, line) of text reports. file: the file's name, or what follows folder= in its path."""
+    name = F.element_at(F.split("file", "/"), -1) if folder is None else F.url_decode(F.regexp_extract("file", f"/{folder}=([^/]*)/", 1))
+    return numbered_lines(spark, path).select(name.alias("file"), "line_no", F.col("value").alias("line"))

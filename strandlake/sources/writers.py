@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import shared_dir
+
 
 def _text(lines: DataFrame, path: str, gzip: bool = False) -> None:
     lines.write.mode("overwrite").options(compression="gzip" if gzip else "none").text(path)
@@ -53,15 +55,44 @@ def write_summary_tsv(rows: DataFrame, path: str, key: str) -> None:
     rows.withColumn("part", F.col(key)).write.mode("overwrite").partitionBy("part").options(header=True, sep="\t", nullValue="NA").csv(path)
 
 
-def write_sharded(records: DataFrame, path: str, shard_bases: int, length: str = "length", order: str = "name") -> None:
-    """Shards of about shard_bases bases each, cut between records: column shard of the Parquet table. Bases are added up
-    within groups of records by the hash of their order, then over the groups."""
-    dealt = records.withColumn("group", F.pmod(F.xxhash64(order), F.lit(4096)))
-    total = dealt.groupBy("group").agg(F.sum(length).alias("all"))
-    base = total.select("group", (F.sum("all").over(Window.orderBy("group")) - F.col("all")).alias("base"))  # 4096 rows at most
-    inside = F.sum(length).over(Window.partitionBy("group").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)) - F.col(length)
-    placed = dealt.withColumn("inside", inside).join(base, "group").withColumn("shard", F.floor((F.col("base") + F.col("inside")) / shard_bases))
-    placed.select(*records.columns, "shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+def numbered(records: DataFrame, length: str, *order: str) -> DataFrame:
+    """records in ascending order with `number`, from 0, and `before`, the sum of length before each. Ranges of the order are counted apart, a
+    table is written to the shared folder, and each range moves by the sums of those before it."""
+    spark = records.sparkSession
+    kept = records.columns
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in records.schema], "slot int, number long, before long"])
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        n, total, slot = 0, 0, TaskContext.get().partitionId()
+        for batch in batches:
+            own = batch.column(batch.schema.get_field_index(length)).fill_null(0).to_numpy().astype(np.int64)
+            sums = total + np.cumsum(own)
+            yield pa.record_batch([*batch.columns, pa.array(np.full(len(own), slot, np.int32)), pa.array(n + np.arange(len(own))), pa.array(sums - own)], names=[*kept, "slot", "number", "before"])
+            n, total = n + len(own), int(sums[-1]) if len(own) else total
+
+    ranged = records.repartitionByRange(*order).sortWithinPartitions(*order)
+    path = shared_dir(spark)
+    ranged.mapInArrow(count, schema).write.parquet(path)
+    placed = spark.read.schema(schema).parquet(path)
+    w = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy("slot").agg(F.count("*").alias("n"), F.sum(F.coalesce(length, F.lit(0))).alias("all"))  # a row for each range
+    moved = sums.select("slot", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("n"), F.coalesce(F.sum("all").over(w), F.lit(0)).alias("all"))
+    met = placed.join(F.broadcast(moved), "slot")
+    return met.select(*kept, (F.col("number") + F.col("n")).alias("number"), (F.col("before") + F.col("all")).alias("before"))
+
+
+def write_sharded(records: DataFrame, path: str, shard_bases: int | None = None, shard_records: int | None = None, length: str = "length", order: tuple[str, ...] = ("name",)) -> None:
+    """Shards of about shard_bases bases or of shard_records records each, cut between records: column shard of the Parquet table at path, with
+    the record's number. Records keep their order over the shards; a shard's files are written by the tasks whose ranges it meets."""
+    if (shard_bases is None) == (shard_records is None):
+        raise ValueError("give shard_bases or shard_records")
+    placed = numbered(records, length, *order)
+    shard = F.floor(F.col("before") / shard_bases) if shard_bases else F.floor(F.col("number") / shard_records)
+    placed.withColumn("shard", shard).drop("before").write.mode("overwrite").partitionBy("shard").parquet(path)
 
 
 def write_entity_table(rows: DataFrame, path: str) -> None:
