@@ -173,6 +173,7 @@ _SQUEEZED = "seq"
 for _b in "ACGTN":
     _SQUEEZED = f"regexp_replace({_SQUEEZED}, '{_b}+', '{_b}', 'g')"
 _add("kmer_count", ("fx_sequences",), lambda s: km.kmer_count(s, 21, 2), _kmer_sql() + "select kmer, count(*) as n from c group by kmer having count(*) >= 2")
+_add("kmer_count_suppressed", ("fx_sequences",), lambda s: km.suppressed_counts(s).select(km.spelled(F.col("code"), 21).alias("kmer"), "n"), _kmer_sql() + "select kmer, count(*) as n from c group by kmer having count(*) >= 2")
 _add("kmer_count_compressed", ("fx_sequences",), lambda s: km.kmer_count(s, 30, 2, compress=True), _kmer_sql(30, _SQUEEZED) + "select kmer, count(*) as n from c group by kmer having count(*) >= 2")
 _add("kmer_union_sum", ("fx_sequences",), lambda s: km.union_sum(*_roles(s)).select(km.spelled(F.col("code"), 21).alias("kmer"), "n"), _kmer_sql() + "select kmer, count(*) as n from c group by kmer")
 _VALLEY = """, t as (select role, kmer, count(*) as n from c group by 1, 2), h as (select role, n, count(*) as d from t group by 1, 2), l as (select *, lead(d) over (partition by role order by n) as e from h),

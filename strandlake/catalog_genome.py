@@ -71,6 +71,10 @@ select *, case when y > x then 1 when x > y then 2 end as hap from g""")
     hashes = _kmers(_FILE) + """, u as (select distinct key as file, kmer from c), m as (select kmer, cast((cast(list_sum(list_transform(range(0, 21), lambda i: (instr('ACGT', substr(kmer, i + 1, 1)) - 1) * cast(power(4, 20 - i) as bigint))) as bigint) * 48271) % 2147483647 as bigint) as hash from (select distinct kmer from u)),
 sketch as (select file, hash from (select distinct file, hash from u join m using (kmer)) qualify row_number() over (partition by file order by hash) <= 1000) """
     add("minhash_sketch", ("fx_sequences",), lambda s: sk.minhash_sketch(by_file(s), size=1000, hashed=drawn), hashes + "select file, hash from sketch")
+    add("minhash_sketch_default", ("fx_sequences",), lambda s: sk.minhash_sketch(by_file(s), hashed=drawn), hashes.replace("<= 1000", "<= 10000") + "select file, hash from sketch")
+    add("containment_screen_sketches", ("fx_sequences",), lambda s: sk.containment_screen(sk.minhash_sketch(by_file(s), size=3000, hashed=drawn), sk.minhash_sketch(s.where("length(seq) % 2 = 0").withColumn("file", F.lit("reads")), size=30_000, hashed=drawn)), hashes.replace("<= 1000", "<= 3000") + f""", e as (select unnest(range(1, length(seq) - 19)) as i, seq from fx_sequences where length(seq) >= 21 and length(seq) % 2 = 0), ek as (select distinct least(x, reverse(translate(x, 'ACGT', 'TGCA'))) as kmer from (select substr(seq, i, 21) as x from e) where not contains(x, 'N')),
+reads as (select distinct hash from ek join m using (kmer) order by hash limit 30000), seen as (select * from sketch where hash in (select hash from reads)), sh as (select file, count(*) as hashes, count(*) filter (hash in (select hash from seen)) as found from sketch group by 1),
+w as (select distinct on (hash) hash, file from seen join sh using (file) order by hash, found / hashes desc, file), n as (select file, count(*) as won from w group by 1) select file, hashes, found, coalesce(won, 0) as won, found / hashes as share from sh left join n using (file) where found > 0""")
     add("minhash_dist", ("fx_sequences",), lambda s: sk.minhash_dist(sk.minhash_sketch(by_file(s), size=1000, hashed=drawn), size=1000).withColumn("distance", F.round("distance", 9)), hashes + """, p as (select distinct a.file as a, b.file as b from sketch a join sketch b using (hash) where a.file < b.file),
 t as (select a, b, hash, count(*) as n from (select a, b, hash from p join sketch on file = a union all select a, b, hash from p join sketch on file = b) group by all), low as (select * from t qualify row_number() over (partition by a, b order by hash) <= 1000),
 g as (select a, b, count(*) filter (n = 2) as shared, count(*) as merged from low group by 1, 2) select *, round(-ln(2 * (shared / merged) / (1 + shared / merged)) / 21, 9) + 0.0 as distance from g where shared > 0""")

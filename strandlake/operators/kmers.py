@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 #: Bases that are turned into k-mers at once; a longer sequence is cut into pieces that overlap.
 PIECE = 1_000_000
+#: Bits of the filter of repeated k-mers (16 MB), and bytes of a block in which tasks' filters are merged.
+FILTER_BITS, FILTER_BLOCK = 1 << 27, 1 << 14
 _CODE = np.full(256, 4, np.uint8)
 for _i, _c in enumerate("ACGT"):
     _CODE[ord(_c)] = _CODE[ord(_c.lower())] = _i
@@ -60,9 +62,10 @@ def _pieces(texts: pa.Array, k: int, compress: bool):
         begin = end
 
 
-def packed_counts(sequences: DataFrame, k: int = 21, least: int = 1, keep: tuple[str, ...] = (), compress: bool = False) -> DataFrame:
+def packed_counts(sequences: DataFrame, k: int = 21, least: int = 1, keep: tuple[str, ...] = (), compress: bool = False, repeated=None) -> DataFrame:
     """(keep ..., code, n) of canonical k-mers, k at most 31, seen at least so many times per value of keep. Windows with a
-    letter other than ACGT, in either case, do not count. compress: runs of one base count as one. Null sequences have none."""
+    letter other than ACGT, in either case, do not count. compress: runs of one base count as one. Null sequences have none.
+    repeated: a broadcast filter of repeated_filter(); k-mers that it does not hold are left out."""
     if not 1 <= k <= 31:
         raise ValueError("k must lie between 1 and 31")
     rows = sequences.select(*[F.col(c).cast("string").alias(c) for c in keep], F.col("seq").cast("string").alias("seq"))
@@ -75,9 +78,17 @@ def packed_counts(sequences: DataFrame, k: int = 21, least: int = 1, keep: tuple
                 groups, which = np.unique(np.array(["\x01".join("\x00" if x is None else x for x in r) for r in zip(*[c.to_pylist() for c in names.columns], strict=True)], object), return_inverse=True)
             for row, bases in _pieces(batch.column(len(keep)), k, compress):
                 start, code = canonical_codes(bases, k)
-                owner = which[row[start]] if keep else np.zeros(len(code), np.int64)
-                order = np.lexsort((code, owner))
-                owner, code = owner[order], code[order]
+                if repeated is not None:
+                    bits = repeated.value
+                    slot = slots(code, 8 * len(bits))
+                    held = (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+                    start, code = start[held], code[held]
+                if keep:
+                    owner = which[row[start]]
+                    order = np.lexsort((code, owner))
+                    owner, code = owner[order], code[order]
+                else:
+                    owner, code = np.zeros(len(code), np.int64), np.sort(code)
                 heads = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1]))[: len(code)])
                 n = np.diff(np.append(heads, len(code)))
                 said = [[None if x == "\x00" else x for x in g.split("\x01")] for g in (groups if keep else [])]
@@ -87,6 +98,75 @@ def packed_counts(sequences: DataFrame, k: int = 21, least: int = 1, keep: tuple
     return rows.mapInArrow(count, schema).groupBy(*keep, "code").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
+def slots(codes: np.ndarray, bits: int) -> np.ndarray:
+    """A place for each code in a filter of so many bits, a power of two."""
+    x = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((x ^ (x >> np.uint64(29))) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def _set_bits(held: np.ndarray, at: np.ndarray) -> None:
+    """Sets the bits at ascending places."""
+    if len(at):
+        byte = at >> 3
+        heads = np.flatnonzero(np.append(True, byte[1:] != byte[:-1]))
+        held[byte[heads]] |= np.bitwise_or.reduceat(np.left_shift(1, at & 7).astype(np.uint8), heads)
+
+
+def repeated_filter(sequences: DataFrame, k: int = 21, compress: bool = False, bits: int = FILTER_BITS) -> np.ndarray:
+    """A filter that holds every k-mer seen twice or more, and few others: bits / 8 bytes, whatever the input.
+
+    A task marks a k-mer's place once, and in a second filter when it meets the place again. Blocks of both filters are merged over the tasks:
+    what two tasks have each seen once is seen twice. Only blocks with a mark are shuffled. The more distinct k-mers there are for
+    the bits, the more of those seen once get through; none seen twice is lost.
+    """
+    if bits & (bits - 1) or bits < 8 * FILTER_BLOCK:
+        raise ValueError(f"bits must be a power of two of at least {8 * FILTER_BLOCK}")
+
+    def mark(batches):
+        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            for _, bases in _pieces(batch.column(0), k, compress):
+                at, n = np.unique(slots(canonical_codes(bases, k)[1], bits), return_counts=True)
+                seen = (once[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+                _set_bits(twice, at[(n > 1) | seen])
+                _set_bits(once, at)
+        a, b = once.reshape(-1, FILTER_BLOCK), twice.reshape(-1, FILTER_BLOCK)
+        for i in np.flatnonzero(a.any(axis=1)).tolist():
+            yield pa.record_batch([pa.array([i], pa.int32()), pa.array([a[i].tobytes()], pa.binary()), pa.array([b[i].tobytes()], pa.binary())], names=["block", "once", "twice"])
+
+    def merge(batches):
+        last, once, twice = None, None, None
+        given = lambda: pa.record_batch([pa.array([last], pa.int32()), pa.array([twice.tobytes()], pa.binary())], names=["block", "twice"])
+        for batch in batches:
+            for i, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if i != last:
+                    if last is not None:
+                        yield given()
+                    last, once, twice = i, np.zeros(FILTER_BLOCK, np.uint8), np.zeros(FILTER_BLOCK, np.uint8)
+                a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+                twice |= b | (once & a)
+                once |= a
+        if last is not None:
+            yield given()
+
+    marked = sequences.select(F.col("seq").cast("string").alias("seq")).mapInArrow(mark, "block int, once binary, twice binary")
+    merged = marked.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, twice binary")
+    out = np.zeros((bits // 8 // FILTER_BLOCK, FILTER_BLOCK), np.uint8)
+    for r in merged.collect():  # bits / 8 bytes
+        out[r.block] = np.frombuffer(r.twice, np.uint8)
+    return out.reshape(-1)
+
+
+def suppressed_counts(sequences: DataFrame, k: int = 21, least: int = 2, keep: tuple[str, ...] = (), compress: bool = False, bits: int = FILTER_BITS) -> DataFrame:
+    """packed_counts of k-mers seen at least twice, in two passes: nearly all that occur once never leave the task that reads them. The filter
+    is made when this is called. With keep, a k-mer counts as seen in all values of keep together for the filter."""
+    if least < 2:
+        raise ValueError("suppression needs least >= 2")
+    held = sequences.sparkSession.sparkContext.broadcast(repeated_filter(sequences, k, compress, bits))
+    return packed_counts(sequences, k, least, keep, compress, held)
+
+
 def spelled(code: Column, k: int) -> Column:
     """The bases of a code."""
     return F.translate(F.lpad(F.conv(code.cast("string"), 10, 4), k, "0"), "0123", "ACGT")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,12 +15,42 @@ def code_hash(code: Column) -> Column:
     return F.xxhash64(code)
 
 
+def smallest(rows: DataFrame, size: int, key: str, lanes: int = 16) -> DataFrame:
+    """(key, hash): the `size` smallest distinct hashes of each key. Each task keeps those of its own rows, then `lanes` tasks for each key those of
+    theirs, then one those of the lanes: no task gets more than lanes * size hashes of a key, however many there are."""
+
+    def keep(batches):
+        last, held, any_ = None, [], False
+        given = lambda: pa.record_batch([pa.array([last] * len(h := np.unique(np.concatenate(held))[:size]), pa.string()), pa.array(h)], names=[key, "hash"])
+        for batch in batches:
+            codes, hashes = batch.column(0).dictionary_encode(), batch.column(1).to_numpy()
+            place = codes.indices.fill_null(-1).to_numpy()
+            cuts = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), len(place)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                name = batch.column(0)[a].as_py()
+                if any_ and name != last:
+                    yield given()
+                    held = []
+                last, any_ = name, True
+                held.append(hashes[a:b])
+                if sum(map(len, held)) > 4 * size + 65_536:
+                    held = [np.unique(np.concatenate(held))[:size]]
+        if any_:
+            yield given()
+
+    def kept(df: DataFrame) -> DataFrame:
+        return df.select(key, "hash").sortWithinPartitions(key).mapInArrow(keep, f"`{key}` string, hash long")
+
+    rows = rows.select(F.col(key).cast("string").alias(key), F.col("hash").cast("long").alias("hash")).where("hash is not null")
+    first = kept(rows).withColumn("lane", F.spark_partition_id() % lanes)
+    return kept(kept(first.repartition(key, "lane")).repartition(key))
+
+
 def minhash_sketch(sequences: DataFrame, k: int = 21, size: int = 10_000, key: str = "file", copies: int = 1, hashed=code_hash) -> DataFrame:
-    """(file, hash): the smallest `size` hashes of each file's distinct canonical k-mers seen `copies` times. Tasks keep their
-    own smallest before the shuffle."""
-    codes = packed_counts(sequences, k, copies, keep=(key,)).select(key, hashed(F.col("code")).alias("hash")).distinct()
-    at = F.row_number().over(Window.partitionBy(key).orderBy("hash"))
-    return codes.withColumn("at", at).where(F.col("at") <= size).drop("at")
+    """(file, hash): the smallest `size` hashes of each file's distinct canonical k-mers seen `copies` times."""
+    return smallest(packed_counts(sequences, k, copies, keep=(key,)).select(key, hashed(F.col("code")).alias("hash")), size, key)
 
 
 def minhash_dist(sketches: DataFrame, k: int = 21, size: int = 10_000, key: str = "file") -> DataFrame:
