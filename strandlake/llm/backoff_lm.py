@@ -26,9 +26,9 @@ BATCH_BYTES = 8_000_000
 BATCHES_A_RANGE = 3
 BACKOFF = 0.4
 #: n-grams of two words and more that the corpus holds fewer times count as unseen.
-MIN_COUNT = 2
+MIN_COUNT = 1
 #: Words of the longest n-gram.
-ORDER = 2
+ORDER = 3
 
 
 def _pack(x: np.ndarray) -> bytes:

@@ -166,15 +166,18 @@ select page_id, host, path, {rule} as rule, {verdict} as verdict, n_strict, n_so
 
 
 def _op9_sql() -> str:
+    # Every n-gram of a corpus that is scored by itself occurs in it, so the longest one at each word decides.
     return r"""
 with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
 w as (select r, unnest(ws) as w, generate_subscripts(ws, 1) as i from d),
-g as (select r, i, w, lag(w) over (partition by r order by i) as v from w),
+g as (select r, i, w, lag(w) over o as v, lag(w, 2) over o as u from w window o as (partition by r order by i)),
 one as (select w, count(*) as c from g group by w),
 two as (select v, w, count(*) as c from g where v is not null group by v, w),
+three as (select u, v, w, count(*) as c from g where u is not null group by u, v, w),
 n as (select cast(count(*) as double) as n from g),
-s as (select g.r, case when two.c >= 2 then ln(two.c / cast(h.c as double)) when g.v is null then ln(one.c / n.n) else ln(0.4) + ln(one.c / n.n) end as s
-  from g join one on g.w = one.w left join two on g.v = two.v and g.w = two.w left join one h on g.v = h.w cross join n),
+s as (select g.r, case when g.u is not null then ln(three.c / cast(h2.c as double)) when g.v is not null then ln(two.c / cast(h1.c as double)) else ln(one.c / n.n) end as s
+  from g join one on g.w = one.w left join two on g.v = two.v and g.w = two.w left join one h1 on g.v = h1.w
+  left join three on g.u = three.u and g.v = three.v and g.w = three.w left join two h2 on g.u = h2.v and g.v = h2.w cross join n),
 t as (select r, sum(s) as s from s group by r)
 select doc_id, cast(len(ws) as bigint) as n_words, round(coalesce(s, 0), 4) as log_score, round(s / nullif(len(ws), 0), 6) as mean_log_score from d left join t using (r)"""
 

@@ -209,7 +209,7 @@ def test_backoff(docs, none):
     one = Counter(w for t in texts for w in t)
     two = Counter(p for t in texts for p in zip(t, t[1:], strict=False))
     total = sum(one.values())
-    for r in backoff_scores(docs).collect():
+    for r in backoff_scores(docs, order=2, min_count=2).collect():
         t = texts[r.doc_id]
         want = sum(math.log(two[v, w] / one[v]) if v is not None and two[v, w] >= 2 else math.log(one[w] / total) + (math.log(0.4) if v is not None else 0) for v, w in zip([None, *t], t, strict=False))
         assert r.n_words == len(t) and math.isclose(r.log_score, want, rel_tol=1e-9, abs_tol=1e-9) and (r.mean_log_score is None) == (not t)
