@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import catalog_files, catalog_genome, catalog_tables, catalog_workflows
+from . import catalog_bundles, catalog_files, catalog_genome, catalog_tables, catalog_workflows
 from .operators import alignments as al
 from .operators import assembly as am
 from .operators import intervals as iv
@@ -208,7 +208,7 @@ _add("vcf_quality_distribution", ("fx_variants",), va.quality_distribution, " se
 _add("duplicate_list", ("fx_sequences",), sq.duplicate_list, ", f as (select seq, min(name) as first from fx_sequences group by 1 having count(*) > 1) select sha256(seq) as digest, name, first from fx_sequences join f using (seq) where name <> first")
 
 
-for _module in (catalog_tables, catalog_files, catalog_genome, catalog_workflows):
+for _module in (catalog_tables, catalog_files, catalog_genome, catalog_workflows, catalog_bundles):
     _module.register(_add)
 
 

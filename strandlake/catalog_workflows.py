@@ -67,22 +67,47 @@ select query as id, case when t2t then chrom when targets = 1 then chrom || '_'
     hap_of = "CASE WHEN CAST(substr(contig, 4) AS BIGINT) % 2 = 0 THEN 'AF' ELSE 'NO' END"
     parent = "CASE WHEN CAST(round(vaf * 100) AS BIGINT) % 5 < 3 THEN 'mat' ELSE 'pat' END"
 
-    def metrics(r, g, v):
-        genes = am.gene_completeness(g).withColumn("file", F.expr(file_of))
+    hap = """(with a as (select distinct kmer from c where role = {r}), b as (select kmer, count(*) as n from c where role = 2 group by 1), t as (select count(a.kmer) as total, count(*) filter (a.kmer is not null and b.kmer is null) as only_assembly, count(*) filter (b.n >= 2) as solid, count(*) filter (b.n >= 2 and a.kmer is not null) as found from a full join b using (kmer)),
+e as (select *, 1 - power(1 - only_assembly / nullif(total, 0), 1.0 / 21) as error from t) select 'hap{h}' as hap, total, only_assembly, round(error, 9) as error, round(case when error > 0 then -10 * log10(error) end, 9) + 0.0 as qv, round(found / nullif(solid, 0), 9) as completeness from e)"""
+
+    def quality(s):
+        """QV of the sequences of role 0 and 1, as files AF and NO, against those of role 2."""
+        from .catalog import _roles
+        from .plans.bundles import quality_values
+
+        one, two, reads = _roles(s)
+        return quality_values({"AF": one, "NO": two}, reads)
+
+    def phasing(v):
         phased = am.switch_hamming(v.select("contig", "pos", F.expr(parent).alias("parent"))).withColumn("file", F.expr(hap_of))
-        rates = phased.groupBy("file").agg((F.sum("switches") / F.sum(F.col("markers") - 1)).alias("switch_rate"), (F.sum("minority") / F.sum("markers")).alias("hamming_rate"))
-        qv = r.where("file = 'AF'").select("file").distinct().withColumn("qv", F.lit(43.5))
-        return wf.assembly_metrics(r, genes, qv, rates)
-
-    table = f""", n as (select * from {inside('z as (select 1)', 'nx_lx_aun', 'fx_read_lengths')}), s as (select *, {file_of} as file from {inside('z as (select 1)', 'gene_completeness', 'fx_genes')}), h as (select {hap_of} as file, sum(switches) / sum(markers - 1) as switch_rate, sum(minority) / sum(markers) as hamming_rate from {inside('z as (select 1)', 'switch_hamming', 'fx_variants')} group by 1),
-k as (select file, count(*) filter (state = 'full_sgl') as full_sgl, count(*) filter (state = 'full_dup') as full_dup from s group by 1),
-metrics as (select file, contigs, total, n50, l50, full_sgl, full_dup, case when file = 'AF' then cast(43.5 as double) end as qv, switch_rate, hamming_rate from n left join k using (file) left join h using (file)) """
-    views = ("fx_read_lengths", "fx_genes", "fx_variants")
+        return phased.groupBy("file").agg((F.sum("switches") / F.sum(F.col("markers") - 1)).alias("switch_rate"), (F.sum("minority") / F.sum("markers")).alias("hamming_rate"))
+
+    def metrics(r, g, v, s):
+        genes = am.gene_completeness(g).withColumn("file", F.expr(file_of))
+        return wf.assembly_metrics(r, genes, quality(s).select("file", "qv"), phasing(v))
+
+    table = catalog._kmer_sql() + f""", n as (select * from {inside('z as (select 1)', 'nx_lx_aun', 'fx_read_lengths')}), s as (select *, {file_of} as file from {inside('z as (select 1)', 'gene_completeness', 'fx_genes')}), h as (select {hap_of} as file, sum(switches) / sum(markers - 1) as switch_rate, sum(minority) / sum(markers) as hamming_rate from {inside('z as (select 1)', 'switch_hamming', 'fx_variants')} group by 1),
+gk as (select file, count(*) filter (state = 'full_sgl') as full_sgl, count(*) filter (state = 'full_dup') as full_dup from s group by 1),
+qv as (select 'AF' as file, qv, completeness from {hap.format(r=0, h=1)} union all select 'NO', qv, completeness from {hap.format(r=1, h=2)}),
+metrics as (select file, contigs, total, n50, l50, full_sgl, full_dup, qv, switch_rate, hamming_rate from n left join gk using (file) left join h using (file) left join qv using (file)) """
+    views = ("fx_read_lengths", "fx_genes", "fx_variants", "fx_sequences")
     add("assembly_metrics_table", views, metrics, table + "select * from metrics")
     said = " || chr(10) || ".join(f"'{n}: ' || coalesce({x}, 'Not_Calc')" for n, x in (("Contigs", "cast(contigs as varchar)"), ("Total Gb", "printf('%.4f', total / 1e9)"), ("N50 Mb", "printf('%.2f', n50 / 1e6)"), ("Single genes", "cast(full_sgl as varchar)"), ("Double genes", "cast(full_dup as varchar)"), ("QV", "printf('%.3f', qv)"), ("Switch %", "printf('%.4f', switch_rate * 100)"), ("Hamming %", "printf('%.4f', hamming_rate * 100)")))
     add("qc_text_report", views, lambda *f: am.report_text(metrics(*f), "file"), table + f"select file, '-' || file || chr(10) || {said} as report from metrics")
     add("standard_qc", ("fx_read_lengths", "fx_genes"), lambda r, g: wf.assembly_metrics(r, am.gene_completeness(g).withColumn("file", F.expr(file_of))), f", n as (select * from {inside('z as (select 1)', 'nx_lx_aun', 'fx_read_lengths')}), k as (select {file_of} as file, count(*) filter (state = 'full_sgl') as full_sgl, count(*) filter (state = 'full_dup') as full_dup from {inside('z as (select 1)', 'gene_completeness', 'fx_genes')} group by 1) select file, contigs, total, n50, l50, full_sgl, full_dup, cast(null as double) as qv, cast(null as double) as switch_rate, cast(null as double) as hamming_rate from n left join k using (file)")
-    add("short_qc", views, lambda *f: am.report_text(metrics(*f).withColumn("qv", F.lit(None).cast("double")), "file"), table.replace("case when file = 'AF' then cast(43.5 as double) end", "cast(null as double)") + f"select file, '-' || file || chr(10) || {said} as report from metrics")
+    # Without parents there are no error rates.
+    bare = "(select * replace (cast(null as double) as switch_rate, cast(null as double) as hamming_rate) from metrics)"
+    add("short_qc", views, lambda r, g, v, s: am.report_text(wf.assembly_metrics(r, am.gene_completeness(g).withColumn("file", F.expr(file_of)), quality(s).select("file", "qv")), "file"), table + f"select file, '-' || file || chr(10) || {said} as report from {bare}")
+
+    def variants(r, g, v, s):
+        from .plans.bundles import VARIANTS, standard_qc
+
+        genes, qv, rates = am.gene_completeness(g).withColumn("file", F.expr(file_of)), quality(s), phasing(v)
+        return tb.union_all(*[standard_qc(name, r, genes, qv, rates, "AF") for name in VARIANTS])
+
+    empty = "cast(null as double)"
+    one_of = lambda name, qv, rates, full, where: f"select '{name}' as variant, file, contigs, total, n50, l50, full_sgl, full_dup, {qv} as qv, {'switch_rate' if rates else empty} as switch_rate, {'hamming_rate' if rates else empty} as hamming_rate, {'completeness' if full else empty} as completeness from (select m.*, qv.completeness from metrics m left join qv using (file)) where {where}"
+    add("standard_qc_variants", views, variants, table + " union all ".join([one_of("trio", "qv", True, False, "true"), one_of("trio_no_qv", empty, True, False, "true"), one_of("nontrio", "qv", False, False, "true"), one_of("haploid", "qv", False, False, "file = 'AF'"), one_of("full", "qv", True, True, "true")]))
     keyed = "coalesce(regexp_extract(description, '^([^ ]*)', 1), 'none')"
     add("comparison_qc", ("fx_sequences",), lambda s: wf.comparison_qc(s.withColumn("file", F.expr(keyed)), 1000), f" select * from {inside(f'fx_read_lengths as (select {keyed} as file, length(seq) as length from fx_sequences where length(seq) >= 1000)', 'nx_lx_aun', 'fx_read_lengths')}")
     add("comparison_qc_broken", ("fx_sequences",), lambda s: wf.comparison_qc(s.withColumn("file", F.expr(keyed)), 50, broken=True), f" select * from {inside(f'p as (select {keyed} as file, unnest(regexp_split_to_array(seq, {chr(39)}[nN]+{chr(39)})) as x from fx_sequences), fx_read_lengths as (select file, length(x) as length from p where length(x) >= 50)', 'nx_lx_aun', 'fx_read_lengths')}")
@@ -119,8 +144,6 @@ select id, case when contig is null then 0 else 2 end as trims, contig is not nu
         made = wf.kmer_qc_bundle({"hap1": part("0"), "hap2": part("1")}, part("2"), v.select("contig", "pos", F.expr(parent).alias("parent")))
         return made.withColumns({c: F.round(c, 9) for c in ("error", "qv", "completeness")})
 
-    hap = """(with a as (select distinct kmer from c where role = {r}), b as (select kmer, count(*) as n from c where role = 2 group by 1), t as (select count(a.kmer) as total, count(*) filter (a.kmer is not null and b.kmer is null) as only_assembly, count(*) filter (b.n >= 2) as solid, count(*) filter (b.n >= 2 and a.kmer is not null) as found from a full join b using (kmer)),
-e as (select *, 1 - power(1 - only_assembly / nullif(total, 0), 1.0 / 21) as error from t) select 'hap{h}' as hap, total, only_assembly, round(error, 9) as error, round(case when error > 0 then -10 * log10(error) end, 9) + 0.0 as qv, round(found / nullif(solid, 0), 9) as completeness from e)"""
     add("kmer_qc_bundle", ("fx_sequences", "fx_variants"), bundle, catalog._kmer_sql() + f" select * from ({hap.format(r=0, h=1)} union all {hap.format(r=1, h=2)}), (select cast(sum(switches) as bigint) as switches, cast(sum(markers) as bigint) as markers from {inside('z as (select 1)', 'switch_hamming', 'fx_variants')})")
     add("assembly_read_prep", ("fx_reads",), lambda r: wf.assembly_read_prep(r, r, (ADAPTER,), 0.0, len(ADAPTER), 12.25, 1000), f" select 'hifi' as kind, count(*) as reads, cast(sum(length(seq)) as bigint) as bases from fx_reads where not contains(seq, '{ADAPTER}') and not contains(seq, '{_BACK}') union all select 'ultralong', count(*), cast(sum(length(seq)) as bigint) from fx_reads where length(seq) >= 1000 and {_Q} >= 12.25")
     add("kinetics_fix", ("fx_kinetics",), lambda k: rd.trim_counters(rd.trim_kinetics(k, strict=True)), f" select * from {inside('z as (select 1)', 'trim_counters', 'fx_kinetics')}")
