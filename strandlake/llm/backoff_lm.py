@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .runs import runs
-from .store import materialise, partitions
+from .store import materialise_by, partitions
 from .words import grams, slices, split
 
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 16_000_000
 #: A hash range holds about as many n-grams as so many batches.
 BATCHES_A_RANGE = 3
 BACKOFF = 0.4
@@ -68,7 +68,7 @@ def _batches(docs: DataFrame) -> DataFrame:
                 k += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return materialise(rows.mapInArrow(read, "batch long, ids array<long>, sizes binary, vocabulary binary, places binary"), "batches")
+    return materialise_by(rows.mapInArrow(read, "batch long, ids array<long>, sizes binary, vocabulary binary, places binary"), "batch", "batches")
 
 
 def _ngrams(words: np.ndarray, sizes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
