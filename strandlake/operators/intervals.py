@@ -41,27 +41,51 @@ def flank(intervals: DataFrame, contigs: DataFrame, d: int) -> DataFrame:
     return met.withColumn("f", F.explode(sides)).where("f.s < f.e").select("contig", F.col("f.side").alias("side"), F.col("f.s").alias("start_pos"), F.col("f.e").alias("end_pos"))
 
 
-def _binned(df: DataFrame, width: int) -> DataFrame:
+#: Widths of bins grow by this factor from level to level; an interval lies in the level where it meets five bins at most.
+FACTOR, LEVELS = 16, 6
+
+
+def _level(width: int):
+    """The level of an interval."""
+    size = F.col("end_pos") - F.col("start_pos")
+    out = F.lit(LEVELS - 1)
+    for k in range(LEVELS - 2, -1, -1):
+        out = F.when(size <= 4 * width * FACTOR**k, k).otherwise(out)
+    return out
+
+
+def _binned(df: DataFrame, width: int, top: DataFrame | None = None) -> DataFrame:
+    """df with `own level`, `bin level` and `bin no`: a row for each bin of its own level that an interval meets and, for the sake of longer
+    intervals of the other side, two at most for each level above, up to that side's highest (`top level`, one row)."""
+    size = F.lit(width) * F.pow(F.lit(FACTOR), F.col("bin level")).cast("long")
     last = F.greatest(F.col("end_pos") - 1, F.col("start_pos"))
-    return df.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start_pos") / width), F.floor(last / width))))
+    rows = df.withColumn("own level", _level(width))
+    rows = rows.withColumn("top level", F.col("own level")) if top is None else rows.join(F.broadcast(top))  # one row
+    each = rows.withColumn("bin level", F.explode(F.sequence("own level", F.greatest("own level", "top level")))).drop("top level")
+    return each.withColumn("bin no", F.explode(F.sequence(F.floor(F.col("start_pos") / size), F.floor(last / size))))
 
 
 def overlaps(a: DataFrame, b: DataFrame, width: int = 4096) -> DataFrame:
-    """All overlapping pairs; b's columns get the prefix b_. An equi-join on (contig, bin): a pair is kept in the bin where
-    its overlap begins, so a large contig is dealt by bin and no pair appears twice."""
-    right = b.select("contig", *[F.col(c).alias("b_" + c) for c in b.columns if c != "contig"])
-    right_bins = _binned(b, width).select("contig", "bin", *[F.col(c).alias("b_" + c) for c in b.columns if c != "contig"])
-    met = _binned(a, width).join(right_bins, ["contig", "bin"]).where("start_pos < b_end_pos and b_start_pos < end_pos")
-    met = met.where(F.col("bin") == F.floor(F.greatest("start_pos", "b_start_pos") / width))
-    return met.select(*a.columns, *[c for c in right.columns if c != "contig"])
+    """All overlapping pairs; b's columns get the prefix b_. An equi-join on (contig, level, bin): a pair is kept in the higher of its two
+    levels, in the bin where its overlap begins, so a large contig is dealt by bin, a long interval is few rows and no pair appears twice."""
+    highest = lambda df: df.agg(F.coalesce(F.max(_level(width)), F.lit(0)).alias("top level"))
+    left = _binned(a, width, highest(b)).withColumnRenamed("own level", "level of a")
+    right = _binned(b, width, highest(a)).select("contig", "bin level", "bin no", F.col("own level").alias("level of b"), *[F.col(c).alias("b_" + c) for c in b.columns if c != "contig"])
+    met = left.join(right, ["contig", "bin level", "bin no"]).where("start_pos < b_end_pos and b_start_pos < end_pos")
+    size = F.lit(width) * F.pow(F.lit(FACTOR), F.col("bin level")).cast("long")
+    met = met.where((F.col("bin level") == F.greatest("level of a", "level of b")) & (F.col("bin no") == F.floor(F.greatest("start_pos", "b_start_pos") / size)))
+    return met.select(*a.columns, *["b_" + c for c in b.columns if c != "contig"])
 
 
 def intersect_left(a: DataFrame, b: DataFrame, width: int = 4096) -> DataFrame:
-    """All overlaps, and rows of a without one with nulls. Equal rows of a are one row."""
-    a = a.distinct()
-    found = overlaps(a, b, width)
-    lone = a.join(found.select(*a.columns).distinct(), a.columns, "left_anti")
-    return found.unionByName(lone, allowMissingColumns=True)
+    """All overlaps, and rows of a without one with nulls. Equal rows of a are one row. Rows are dealt once by a hash of 128 bits, by which
+    those without an overlap are found: only hashes of the others travel."""
+    hashed = ["hash 1", "hash 2"]
+    one = a.withColumns({hashed[0]: F.xxhash64(*a.columns), hashed[1]: F.xxhash64(F.lit(1), *reversed(a.columns))}).repartition(*hashed)
+    one = one.groupBy(*hashed, *a.columns).agg(F.lit(1).alias("one")).drop("one")
+    found = overlaps(one, b, width)
+    lone = one.join(found.select(*hashed).distinct(), hashed, "left_anti")
+    return found.unionByName(lone, allowMissingColumns=True).drop(*hashed)
 
 
 def intersect_semi(a: DataFrame, regions: DataFrame, width: int = 4096) -> DataFrame:
