@@ -21,9 +21,9 @@ from .runs import runs
 from .store import materialise_by, partitions
 from .words import grams, slices, split
 
-BATCH_BYTES = 16_000_000
+BATCH_BYTES = 12_000_000
 #: A hash range holds about as many n-grams as so many batches.
-BATCHES_A_RANGE = 3
+BATCHES_A_RANGE = 2
 BACKOFF = 0.4
 #: n-grams of two words and more that the corpus holds fewer times count as unseen.
 MIN_COUNT = 1
@@ -87,9 +87,11 @@ def _explode(batches: DataFrame, buckets: int, order: int) -> DataFrame:
         for part in parts:
             for row in range(part.num_rows):
                 sizes, vocabulary, places = _unpack(part.column(1)[row].as_py(), "<u4"), _unpack_sorted(part.column(2)[row].as_py()), _unpack(part.column(3)[row].as_py(), "<u4")
-                tables = [(vocabulary, np.bincount(places, minlength=len(vocabulary)))]
-                tables += [np.unique(_ngrams(vocabulary[places], sizes, n)[0], return_counts=True) for n in range(2, order + 1)]
-                for kind, (h, n) in enumerate(tables, 1):
+                for kind in range(1, order + 1):  # one table at a time
+                    if kind == 1:
+                        h, n = vocabulary, np.bincount(places, minlength=len(vocabulary))
+                    else:
+                        h, n = np.unique(_ngrams(vocabulary[places], sizes, kind)[0], return_counts=True)
                     p = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                     found, first = np.unique(p, return_index=True)
                     ends = [*first[1:], len(h)]
@@ -141,19 +143,22 @@ def backoff_scores(docs: DataFrame, backoff: float = BACKOFF, min_count: int = M
             for row in range(part.num_rows):
                 ids, sizes = part.column("ids")[row].values, _unpack(part.column("sizes")[row].as_py(), "<u4").astype(np.int64)
                 vocabulary, places = _unpack_sorted(part.column("vocabulary")[row].as_py()), _unpack(part.column("places")[row].as_py(), "<u4")
-                told: dict[int, list] = {k: [] for k in range(1, order + 1)}
-                for x in part.column("counts")[row].as_py() or ():
-                    told[x["kind"]].append(_unpack(x["c"], "<u8"))
-                counts = {k: np.concatenate(v).astype(float) if v else np.zeros(0) for k, v in told.items()}
+                told = part.column("counts")[row].as_py() or ()
+
+                def counts(kind: int) -> np.ndarray:
+                    own = [_unpack(x["c"], "<u8") for x in told if x["kind"] == kind]  # noqa: B023
+                    return np.concatenate(own).astype(float) if own else np.zeros(0)
+
                 words = vocabulary[places]
-                seen = counts[1][places] if len(places) else np.zeros(0)  # of the n-gram that ends at each word
+                seen = counts(1)[places] if len(places) else np.zeros(0)  # of the n-gram that ends at each word
                 logs = np.log(seen / total)
                 for n in range(2, order + 1):
                     h, inside = _ngrams(words, sizes, n)
                     if not len(h):
                         break
                     own = np.zeros(len(words))
-                    own[inside] = counts[n][np.unique(h, return_inverse=True)[1]]
+                    own[inside] = counts(n)[np.unique(h, return_inverse=True)[1]]
+                    del h
                     before = np.append(0.0, seen[:-1])
                     known = own >= min_count
                     logs = np.where(known, np.log(np.where(known, own, 1.0) / np.where(known, before, 1.0)), np.where(inside, np.log(backoff), 0.0) + logs)
