@@ -91,6 +91,8 @@ select sample, site, cast(floor(ref_n * rate) as bigint) as ref_n, cast(floor(al
     typed = ", g as (select sample, site, case when alt_n / (ref_n + alt_n) < 0.1 then 0 when alt_n / (ref_n + alt_n) > 0.9 then 2 else 1 end as g from fx_alleles where ref_n + alt_n >= 1) "
     pairs = """p as (select a.sample as a, b.sample as b, count(*) as sites, count(*) filter (a.g = b.g) as same, count(*) filter (abs(a.g - b.g) = 2) as ibs0, count(*) filter (a.g = 1 and b.g = 1) as shared_hets, count(*) filter (a.g = 1) as ha, count(*) filter (b.g = 1) as hb from g a join g b using (site) where a.sample < b.sample group by 1, 2) """
     add("pairwise_sample_eval", ("fx_alleles",), sk.pairwise_sample_eval, typed + ", " + pairs + "select a, b, sites, same, ibs0, shared_hets, (shared_hets - 2 * ibs0) / nullif(least(ha, hb), 0) as relate from p")
+    chance = ", ".join(f"{w} * power({p}, alt_n) * power({1 - p}, ref_n) as l{k}" for k, (p, w) in enumerate(((0.01, 0.25), (0.5, 0.5), (0.99, 0.25))))
+    add("pairwise_sample_score", ("fx_alleles",), lambda a: sk.pairwise_sample_score(a).withColumn("score", F.round("score", 6)), typed.replace("else 1 end as g from", f"else 1 end as g, {chance} from") + ", " + pairs.replace("select a.sample as a", "select round(sum(ln(a.l0 * b.l0 / 0.25 + a.l1 * b.l1 / 0.5 + a.l2 * b.l2 / 0.25) - ln((a.l0 + a.l1 + a.l2) * (b.l0 + b.l1 + b.l2))), 6) as score, a.sample as a").replace("group by 1, 2", "group by 2, 3") + "select a, b, sites, same, ibs0, shared_hets, (shared_hets - 2 * ibs0) / nullif(least(ha, hb), 0) as relate, score from p")
     add("base_pileup", ("fx_records",), ca.base_pileup, PILED + "select * from piled where a + c + g + t > 0")
     add("haploid_consensus_calls", ("fx_records", "fx_reference"), lambda r, f: ca.haploid_consensus_calls(ca.base_pileup(r), f), PILED + """, m as (select *, greatest(a, c, g, t) as support, a + c + g + t as depth from piled), x as (select *, case support when a then 'A' when c then 'C' when g then 'G' else 'T' end as alt from m),
 y as (select contig, pos, substr(seq, pos, 1) as ref, alt, depth, support from x join fx_reference f on f.name = x.contig) select * from y where ref <> '' and ref <> alt""")

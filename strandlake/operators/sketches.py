@@ -106,6 +106,88 @@ def pairwise_sample_eval(counts: DataFrame, least: int = 1) -> DataFrame:
     return met.withColumn("relate", (F.col("shared_hets") - 2 * F.col("ibs0")) / F.nullif(F.least("hets_a", "hets_b"), F.lit(0))).drop("hets_a", "hets_b")
 
 
+#: Samples in a tile's side, and parts into which sites are dealt.
+SAMPLES, SITE_PARTS = 128, 64
+
+
+def _tile_sums(run: pa.Table, prior: np.ndarray) -> list[np.ndarray] | None:
+    """(a, b, sums ...) of the pairs of samples of a tile over its sites; None if it has no pair."""
+    tile, i, j = (run.column(c).to_numpy() for c in ("tile", "i", "j"))
+    names, who = np.unique(np.array(run.column("sample").to_pylist(), object), return_inverse=True)
+    site = np.unique(np.array(run.column("site").to_pylist(), object), return_inverse=True)[1]
+    g = np.full((len(names), site.max() + 1), -1, np.int8)
+    g[who, site] = run.column("g").to_numpy()
+    chance = np.zeros((*g.shape, 3))
+    for k in range(3):
+        chance[who, site, k] = run.column(f"p{k}").to_numpy()
+    chance /= np.sqrt(prior)
+    side = np.zeros(len(names), np.int64)
+    side[who] = tile
+    left, right = np.flatnonzero(side == i[0]), np.flatnonzero(side == j[0])
+    one = [(g == k).astype(np.float32) for k in range(3)]
+    seen = (g >= 0).astype(np.float32)
+    both = lambda x, y: x[left] @ y[right].T
+    sums = [both(seen, seen), sum(both(x, x) for x in one), both(one[0], one[2]) + both(one[2], one[0]), both(one[1], one[1]), both(one[1], seen), both(seen, one[1])]
+    score = np.zeros((len(left), len(right)))
+    for k, a in enumerate(left.tolist()):  # a row of pairs at a time
+        at = np.flatnonzero(g[a] >= 0)
+        met = np.einsum("mk,nmk->nm", chance[a, at], chance[np.ix_(right, at)])
+        score[k] = np.log(np.where(g[np.ix_(right, at)] >= 0, met, 1.0)).sum(axis=1)
+    x, y = np.nonzero((sums[0] > 0) & ((left[:, None] < right[None, :]) if i[0] == j[0] else np.ones(score.shape, bool)))
+    if not len(x):
+        return None
+    swap = left[x] > right[y]  # names are in order, so places are
+    columns = [c[x, y] for c in sums]
+    columns[4], columns[5] = np.where(swap, columns[5], columns[4]), np.where(swap, columns[4], columns[5])
+    return [names[np.where(swap, right[y], left[x])], names[np.where(swap, left[x], right[y])], *columns, score[x, y]]
+
+
+def pairwise_sample_score(counts: DataFrame, least: int = 1, error: float = 0.01, prior: tuple[float, float, float] = (0.25, 0.5, 0.25)) -> DataFrame:
+    """(a, b, sites, same, ibs0, shared_hets, relate, score) of pairs of samples with a < b that have a site in common, as pairwise_sample_eval, and a score:
+    the log-likelihood that both have the same genotype at each site, less that of independent ones.
+
+    Reads show the alternative allele with chance error, 1/2 or 1 - error for 0, 1 or 2 copies, which occur with the prior. Counts (sample, site, ref_n,
+    alt_n) of one sample and site are added up; rows with a null sample or site, and sites with fewer than least counts, go. Sites are dealt in
+    parts and samples in blocks; a task multiplies two blocks' matrices of one part, so no pair and site is ever a row.
+    """
+    prior = np.array(prior)
+    rows = counts.where("sample is not null and site is not null").groupBy(F.col("sample").cast("string").alias("sample"), F.col("site").cast("string").alias("site")).agg(F.sum("ref_n").alias("ref_n"), F.sum("alt_n").alias("alt_n"))
+    logs = [F.col("alt_n") * np.log(p) + F.col("ref_n") * np.log(1 - p) + np.log(w) for p, w in zip((error, 0.5, 1 - error), prior, strict=True)]
+    typed = rows.select("sample", "site", genotype(F.col("ref_n"), F.col("alt_n"), least).cast("int").alias("g"), *[x.alias(f"l{k}") for k, x in enumerate(logs)]).where("g is not null")
+    most = F.greatest("l0", "l1", "l2")
+    typed = typed.withColumns({f"p{k}": F.exp(F.col(f"l{k}") - most) for k in range(3)})
+    typed = typed.withColumns({f"p{k}": F.col(f"p{k}") / (F.col("p0") + F.col("p1") + F.col("p2")) for k in range(3)})
+    tiles = rows.agg(F.ceil(F.approx_count_distinct("sample") / SAMPLES).alias("tiles"))  # one row
+    dealt = typed.join(F.broadcast(tiles)).select("sample", "site", "g", "p0", "p1", "p2", F.pmod(F.xxhash64("site"), F.lit(SITE_PARTS)).alias("part"), F.pmod(F.xxhash64("sample"), "tiles").alias("tile"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other"))
+    dealt = dealt.select("part", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "sample", "site", "g", "p0", "p1", "p2")
+    names = ["a", "b", "sites", "same", "ibs0", "shared_hets", "hets_a", "hets_b", "score"]
+
+    def multiply(batches):
+        held, last = [], None
+
+        def given():
+            out = _tile_sums(pa.Table.from_batches(held), prior) if held else None
+            if out is not None:
+                yield pa.record_batch([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), *[pa.array(np.rint(c).astype(np.int64)) for c in out[2:-1]], pa.array(out[-1])], names=names)
+
+        for batch in batches:
+            keys = np.column_stack([batch.column(c).to_numpy() for c in ("part", "i", "j")])
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                if x == y:
+                    continue
+                if last is not None and tuple(keys[x]) != last:
+                    yield from given()
+                    held = []
+                last = tuple(keys[x])
+                held.append(batch.slice(x, y - x))
+        yield from given()
+
+    made = dealt.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j").mapInArrow(multiply, "a string, b string, sites long, same long, ibs0 long, shared_hets long, hets_a long, hets_b long, score double")
+    out = made.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in names[2:]])
+    return out.withColumn("relate", (F.col("shared_hets") - 2 * F.col("ibs0")) / F.nullif(F.least("hets_a", "hets_b"), F.lit(0))).select("a", "b", "sites", "same", "ibs0", "shared_hets", "relate", "score")
+
+
 def kmer_sex_group(contigs: DataFrame, markers: DataFrame, k: int = 21, ratio: float = 1.0) -> DataFrame:
     """(name, x, y, par, hap) per contig with marker k-mers (code, chrom X, Y or PAR): counts, and haplotype 1 where Y markers
     outweigh X markers by the ratio, 2 where X outweigh Y, null where they are level."""
