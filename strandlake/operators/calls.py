@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .pileup import base_pileup  # noqa: F401
 from .tiles import bases_at
 
 
@@ -24,15 +25,6 @@ def aligned_blocks(cigar: Column) -> Column:
     return F.aggregate(step, start, walk, lambda a: a["out"])
 
 
-def base_pileup(records: DataFrame) -> DataFrame:
-    """(contig, pos, a, c, g, t) from aligned records (contig, pos from 1, cigar, seq): bases of reads at each position. Each
-    task adds up its own counts before the shuffle."""
-    blocks = records.select("contig", "pos", "seq", F.explode(aligned_blocks(F.col("cigar"))).alias("b"))
-    part = blocks.select("contig", (F.col("pos") + F.col("b.t")).alias("start"), F.substring("seq", F.col("b.q") + 1, F.col("b.n")).alias("bases"))
-    each = part.select("contig", "start", F.posexplode(F.split("bases", "")).alias("at", "base")).where("base != ''")
-    return each.groupBy("contig", (F.col("start") + F.col("at")).alias("pos")).agg(*[F.count_if(F.upper("base") == b).alias(b.lower()) for b in "ACGT"])
-
-
 def haploid_consensus_calls(pileup: DataFrame, reference: DataFrame, least: int = 1) -> DataFrame:
     """(contig, pos, ref, alt, depth, support) where the commonest base (ties: the first of ACGT) is not the reference's."""
     count = lambda b: F.col(b.lower())
