@@ -170,12 +170,14 @@ def _slots(stats: DataFrame, most: int, slots: int, seed: int) -> DataFrame:
 def mixed_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     """The mix as documents, with the columns of docs: a row for each document and round that takes words of it, whose
     text holds those words in order, with the white space before them; n_chars, where there is one, is counted anew.
-    Identical rows are one stream, so they give one row a round; a null or empty text gives none."""
+    Rows with equal doc_id, text and source are one stream, so they give one row a round: of rows that differ in other columns, that with the
+    smallest hash of all columns; a null or empty text gives none."""
     words = F.regexp_extract_all(F.concat(F.lit("\n"), "text"), F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
     parts = mix.pieces.groupBy("doc_id", "tie", "round").agg(F.struct(F.max("times").alias("times"), F.array_sort(F.collect_list(F.struct("first", "n"))).alias("spans")).alias("take"))
     parts = parts.select(F.struct("doc_id", "tie").alias("key of a piece"), "take")
     # One struct holds the row, so that no column of docs can clash.
-    own = docs.select(F.struct(F.col("doc_id"), _tie("text").alias("tie")).alias("key"), F.struct(*docs.columns).alias("row")).dropDuplicates(["key"])
+    own = docs.select(F.struct(F.col("doc_id"), _tie("text").alias("tie")).alias("key"), F.struct(*docs.columns).alias("row"), F.xxhash64(*docs.columns).alias("hash"))
+    own = own.groupBy("key").agg(F.min_by("row", "hash").alias("row"))
     same = (F.col("key")["doc_id"].eqNullSafe(F.col("key of a piece")["doc_id"])) & (F.col("key")["tie"] == F.col("key of a piece")["tie"])
     met = own.join(parts.hint("merge"), same).select("row.*", F.col("take").alias("what the mix takes"))
     take = F.col("what the mix takes")
