@@ -77,7 +77,8 @@ def format_conversations(conversations: DataFrame, template=TEMPLATE) -> DataFra
 
 
 def read_turns(formatted: DataFrame, template=TEMPLATE) -> DataFrame:
-    """Adds turns (role, text), read back from the formatted text alone by its control strings."""
+    """Adds turns (role, text), read back from the formatted text alone by its control strings. A null formatted text gives null turns, an empty one
+    none; other columns stay, but a column turns is replaced; an empty table gives no rows."""
     quote = lambda c: "\\Q" + c + "\\E"
     ways = [f"{quote(b)}(?<r{i}>)(.*?){quote(a)}" for i, (b, a, _) in enumerate(template.values())]
     ways.append(f"{quote(OTHER[0])}(.*?){quote(OTHER[1])}(.*?){quote(OTHER[2])}")
@@ -97,5 +98,5 @@ def read_turns(formatted: DataFrame, template=TEMPLATE) -> DataFrame:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """The text under the loss mask, unescaped."""
+    """The text under the loss mask, unescaped: the spans in order, nothing between. No spans: empty; null spans or text: null."""
     return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["begin"] + 1, s["end"] - s["begin"]))), "")

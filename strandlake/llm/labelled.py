@@ -27,7 +27,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS
 
 
 def keep_rows(docs: DataFrame, decide) -> DataFrame:
-    """The rows of docs, all columns, whose text decide(arrow string column) -> boolean numpy array accepts. One map."""
+    """The rows of docs, all columns, whose text decide(arrow string column) -> boolean numpy array accepts. One map.
+
+    decide gets null texts as nulls; repeated rows are decided each; columns of any name go through; an empty table gives no rows.
+    """
     import pyarrow as pa
 
     from .words import slices

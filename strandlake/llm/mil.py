@@ -127,7 +127,11 @@ def fit_bags(bags: list[np.ndarray], y: np.ndarray, hidden: int = 24, gates: int
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> AttentionModel:
-    """Fits on at most per_class documents of each label, at most FIT_PASSAGES passages of each."""
+    """Fits on at most per_class documents of each label, at most FIT_PASSAGES passages of each.
+
+    Null and empty texts are bags of one zero passage. Rows that share a doc_id count once, with the smallest text and label; other columns are
+    ignored. Without documents of both labels the model scores everything 0.5.
+    """
 
     def measure(batches):
         for batch in batches:

@@ -56,7 +56,7 @@ def plan_targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.5, most:
     """(source, source_size) -> target added: share of all words by weight, at most `most` times a source's size, the
     excess given to the others by weight until none is above.
 
-    A row per source. With the sources in order of (cap / weight), one level fits: those whose cap lies below it get
+    A row per source; a null source is one, and the last. A source without words gets 0; without sources there are no rows. With the sources in order of (cap / weight), one level fits: those whose cap lies below it get
     their cap and the rest level x weight.
     """
     order = Window.orderBy(F.col("source").isNull(), "source")
@@ -128,7 +128,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: int
 
 def slot_counts(stats: DataFrame, slots: int, seed: int) -> DataFrame:
     """(shard, k, n): how many slots of each shard draw each source. stats: (k, want), a row per source. Each slot draws one
-    number, so the counts of a shard are multinomial; no slots, no rows."""
+    number, so the counts of a shard are multinomial; sources that want nothing, or null, draw none; no slots, no rows."""
     order = Window.orderBy("k")
     sources = stats.where("want > 0").withColumn("high", F.sum("want").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("want").over(Window.partitionBy()))
     sources = sources.select("k", F.coalesce(F.lag("high").over(order), F.lit(0.0)).alias("low"), F.when(F.lead("k").over(order).isNull(), 2.0).otherwise(F.col("high")).alias("high"))

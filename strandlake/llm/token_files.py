@@ -99,7 +99,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
 class TokenFile:
     """Random access to the sequences of one local file, without copies: sequence(i) -> views (ids as numpy, mask as an
-    Arrow boolean array)."""
+    Arrow boolean array). i counts from 0; one beyond len() raises IndexError. A file has a sequence at least."""
 
     def __init__(self, path: str):
         with pa.ipc.open_stream(pa.memory_map(path)) as reader:
@@ -117,7 +117,8 @@ class TokenFile:
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document in the files, start counted over all files by name."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document in the files, start counted over all files by name. Null ids come back null, repeated ids
+    as often as they were written; a folder of an empty table gives no rows."""
     schema = "file string, doc_id long, begins long, n_tokens long, ids_crc32 long"
 
     def read(batches):
