@@ -9,6 +9,7 @@ from .intervals import alignment_ignore_filter, islands
 
 
 def blast_tier_filter(hits: DataFrame) -> DataFrame:
+    """Hits of 98 % over 50 bases, 94 % over 100 or 90 % over 200, as they are; one whose identity or length is null goes."""
     return hits.where("(pident >= 98 and length >= 50) or (pident >= 94 and length >= 100) or (pident >= 90 and length >= 200)")
 
 
@@ -34,6 +35,7 @@ def primary_target(paf: DataFrame) -> DataFrame:
 
 
 def flag_filter(sam: DataFrame, exclude: int = 0, require: int = 0) -> DataFrame:
+    """Records with none of the excluded bits and all of the required ones; a null flag goes."""
     return sam.where((F.col("flag").bitwiseAND(exclude) == 0) & (F.col("flag").bitwiseAND(require) == require))
 
 
@@ -55,6 +57,8 @@ def misjoin_breaks_outside(paf: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def chrom_mapping_stats(paf: DataFrame) -> DataFrame:
+    """Per target: bases of target and query in alignments, repeats counted, its length and the longest alignment. Null places add nothing; a null
+    target is one of its own."""
     span = F.col("target_end") - F.col("target_start")
     return paf.groupBy("target").agg(F.sum(span).alias("target_span"), F.sum(F.col("query_end") - F.col("query_start")).alias("query_span"), F.max("target_length").alias("target_length"), F.max(span).alias("longest"))
 

@@ -79,6 +79,7 @@ def parse_tag(tags: Column, name: str) -> Column:
 
 
 def paf_adapter_filter(hits: DataFrame, most_mismatches: int = 2, least_span: int = 42) -> DataFrame:
+    """Hits with few mismatches over a long enough stretch of the query; one where either is null goes."""
     return hits.where((F.col("nm") <= most_mismatches) & (F.col("query_end") - F.col("query_start") >= least_span))
 
 
@@ -97,6 +98,7 @@ def reference_span(cigar: Column) -> Column:
 
 
 def sam_quality_filter(records: DataFrame, least_mapq: int = 10, least_length: int = 10_000) -> DataFrame:
+    """Records of a mapping quality whose cigar takes up enough bases of the read; a null quality or cigar goes."""
     return records.where(F.col("mapq") >= least_mapq).where(query_span(F.col("cigar")) >= least_length)
 
 

@@ -62,6 +62,7 @@ def split_by_haplotype(track: DataFrame, haplotypes: DataFrame) -> DataFrame:
 
 
 def paste_columns(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Columns of both tables for each key that both have; a key's rows of one meet all of the other's, a null key meets none."""
     return a.join(b, key)
 
 
@@ -80,6 +81,7 @@ def rename_map(scaffold_rows: DataFrame, pattern: str = "utig4") -> DataFrame:
 
 
 def sum_max(df: DataFrame, column: str) -> DataFrame:
+    """One row: sum and largest value without the nulls; both null where there is none."""
     return df.agg(F.sum(column).alias("total"), F.max(column).alias("largest"))
 
 
@@ -115,6 +117,7 @@ def other_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def diploid_concat(first: DataFrame, second: DataFrame) -> DataFrame:
+    """All rows of both haplotypes, of the same columns, with hap 1 or 2; a column hap of theirs is replaced."""
     return first.withColumn("hap", F.lit(1)).unionByName(second.withColumn("hap", F.lit(2)))
 
 

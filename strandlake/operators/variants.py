@@ -20,6 +20,7 @@ def tiered_gq(variants: DataFrame, insertion: int = 20, deletion: int = 12, othe
 
 
 def drop_star(variants: DataFrame) -> DataFrame:
+    """Variants without a * in alt; a null alt goes."""
     return variants.where("not contains(alt, '*')")
 
 
