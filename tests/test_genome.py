@@ -45,7 +45,8 @@ def test_chunks_lift_back(spark):
 
 
 def test_every_query_has_sql():
-    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    # Joining in order of distance is no SQL: test_align.py holds that query's operator against brute force.
+    assert set(catalog.queries()) == {*catalog.oracle_sql(), "sv_merge_forest"}
 
 
 def test_mask_and_extract(spark):
