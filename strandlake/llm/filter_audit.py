@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from .runs import runs
 from .store import materialise
 
-#: Ids of a range. Equal rows are one entry with a count, so a range has few entries, whatever repeats.
-SPAN = 1024
+#: Ids of a range: small, so that many ranges level out over the tasks. Equal rows are one entry with a count, so a range has few
+#: entries, whatever repeats.
+SPAN = 256
 WORDS = r"[\x20\x09-\x0D]+"
 #: Parts whose sums a task holds before it gives them out.
 HELD = 1000

@@ -76,7 +76,7 @@ def test_posting_lists_and_empty_tables(spark):
         a, b = (np.unique(rng.integers(0, 50, int(rng.integers(0, 40)))) for _ in range(2))
         assert merge(a, b).tolist() == np.union1d(a, b).tolist()
     rows = spark.createDataFrame([("p", 5, True, False), ("p", 5, True, False), ("p", 9, False, None), ("p", None, True, True), (None, 2000, True, False)], "part string, id long, X boolean, Y boolean")
-    got = {(r.part, r.range): r for r in posting_lists(rows, ["X", "Y"]).collect()}
+    got = {(r.part, r.range): r for r in posting_lists(rows, ["X", "Y"], span=1024).collect()}
     assert set(got) == {("p", 0), ("p", -(2**62)), ("", 1)}
     assert got["p", 0].ids == [5, 9] and got["p", 0].times == [2, 1] and got["p", 0].lists == {"X": [0], "Y": []}
     assert got["p", -(2**62)].ids == [None]
