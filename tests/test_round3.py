@@ -50,3 +50,7 @@ def same_rows(spark, folder, name):
 
 def test_overrides_of_large_keys(spark, large_keys):
     same_rows(spark, large_keys, "overlay_overrides")
+
+
+def test_launch_table_of_large_keys(spark, large_keys):
+    same_rows(spark, large_keys, "launch_table")
