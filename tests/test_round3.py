@@ -54,3 +54,7 @@ def test_overrides_of_large_keys(spark, large_keys):
 
 def test_launch_table_of_large_keys(spark, large_keys):
     same_rows(spark, large_keys, "launch_table")
+
+
+def test_sex_info_of_large_keys(spark, large_keys):
+    same_rows(spark, large_keys, "sex_info_join")
