@@ -33,8 +33,8 @@ def large_keys(tmp_path_factory):
     """Customers and orders whose keys have five and six digits with the same beginning."""
     folder = tmp_path_factory.mktemp("keys")
     db = duckdb.connect()
-    db.execute(f"copy (select * replace (c_custkey * 10 + 12340 + (c_custkey % 7) * 111100 as c_custkey, c_custkey % 25 as c_nationkey) from '{SF}/customer.parquet' where c_custkey < 40 union all select * replace (12345 as c_custkey, 3 as c_nationkey) from '{SF}/customer.parquet' where c_custkey = 0 union all select * replace (123450 + c_custkey as c_custkey, c_custkey % 4 as c_nationkey) from '{SF}/customer.parquet' where c_custkey < 10) to '{folder}/customer.parquet'")
-    db.execute(f"copy (select * replace (case when o_orderkey % 2 = 0 then 12345 else 123450 + o_orderkey % 12 end as o_custkey) from '{SF}/orders.parquet' where o_orderkey < 60) to '{folder}/orders.parquet'")
+    db.execute(f"copy (select * replace (c_custkey * 10 + 12340 + (c_custkey % 7) * 111100 as c_custkey, c_custkey % 25 as c_nationkey) from '{SF}/customer.parquet' where c_custkey < 40 union all select * replace (12345 as c_custkey, 3 as c_nationkey) from '{SF}/customer.parquet' where c_custkey = 0 union all select * replace (1234500 + c_custkey as c_custkey, c_custkey % 4 as c_nationkey) from '{SF}/customer.parquet' where c_custkey < 10) to '{folder}/customer.parquet'")
+    db.execute(f"copy (select * replace (case when o_orderkey % 2 = 0 then 12345 else 1234500 + o_orderkey % 12 end as o_custkey) from '{SF}/orders.parquet' where o_orderkey < 60) to '{folder}/orders.parquet'")
     return str(folder)
 
 
@@ -58,3 +58,21 @@ def test_launch_table_of_large_keys(spark, large_keys):
 
 def test_sex_info_of_large_keys(spark, large_keys):
     same_rows(spark, large_keys, "sex_info_join")
+
+
+def test_reports_of_large_keys(spark, large_keys):
+    assert len(same_rows(spark, large_keys, "scan_pigeon_summary")) == 51
+
+
+def test_report_bundle(spark, tmp_path):
+    """Names and lines come back, empty ones too, from fewer files than reports."""
+    from strandlake.sources.readers import report_bundle_lines
+    from strandlake.sources.writers import write_report_bundle
+
+    path = f"file://{tmp_path}/bundle"
+    reports = [(f"dir/n {k}%=é", f"a{k}\n\n b\t{k}\n") for k in range(200)] + [(None, "x"), ("empty", "")]
+    write_report_bundle(spark.createDataFrame(reports, "file string, text string"), path)
+    got = sorted(report_bundle_lines(spark, path).collect(), key=lambda r: (r.file or "", r.line_no))
+    want = sorted(((f, k, x) for f, t in reports for k, x in enumerate(t.split("\n"), 1)), key=lambda r: (r[0] or "", r[1]))
+    assert list(map(tuple, got)) == want
+    assert len(list((tmp_path / "bundle").glob("part-*"))) < 10
