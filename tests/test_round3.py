@@ -62,6 +62,7 @@ def test_sex_info_of_large_keys(spark, large_keys):
 
 def test_reports_of_large_keys(spark, large_keys):
     assert len(same_rows(spark, large_keys, "scan_pigeon_summary")) == 51
+    same_rows(spark, large_keys, "kinnex_qc_summary")
 
 
 def test_report_bundle(spark, tmp_path):
