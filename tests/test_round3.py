@@ -77,3 +77,17 @@ def test_report_bundle(spark, tmp_path):
     want = sorted(((f, k, x) for f, t in reports for k, x in enumerate(t.split("\n"), 1)), key=lambda r: (r[0] or "", r[1]))
     assert list(map(tuple, got)) == want
     assert len(list((tmp_path / "bundle").glob("part-*"))) < 10
+
+
+def test_many_reports_in_few_files(spark, tmp_path):
+    """genbank_contamination_summary writes far fewer files than contigs."""
+    from strandlake.catalog_files import _contamination
+
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        contigs = spark.range(500).selectExpr("concat('c', id) as contig", "1000 + id as length")
+        assert _contamination(contigs).count() == 1500
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+    assert len(list(tmp_path.rglob("part-*"))) < 20
