@@ -79,15 +79,46 @@ def test_report_bundle(spark, tmp_path):
     assert len(list((tmp_path / "bundle").glob("part-*"))) < 10
 
 
-def test_many_reports_in_few_files(spark, tmp_path):
+def test_many_reports_in_few_files(spark, tmp_path, monkeypatch):
     """genbank_contamination_summary writes far fewer files than contigs."""
-    from strandlake.catalog_files import _contamination
-
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        contigs = spark.range(500).selectExpr("concat('c', id) as contig", "1000 + id as length")
-        assert _contamination(contigs).count() == 1500
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
+    from strandlake import catalog_files
+
+    monkeypatch.setattr(catalog_files, "shared_dir", lambda spark: f"file://{tmp_path}/reports")
+    contigs = spark.range(500).selectExpr("concat('c', id) as contig", "1000 + id as length")
+    assert catalog_files._contamination(contigs).count() == 1500
     assert len(list(tmp_path.rglob("part-*"))) < 20
+
+
+def test_codes_and_hashes(spark):
+    """Windows of every size against letters; the array's hash against Spark's."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from strandlake.operators import kmers, sketches
+
+    bases = np.random.default_rng(5).choice(5, 300, p=[0.24, 0.24, 0.24, 0.24, 0.04]).astype(np.uint8)
+    number = lambda x: int("".join(map(str, x)), 4)
+    for k in range(1, 32):
+        at, code = kmers.canonical_codes(bases, k)
+        want = [(i, min(number(w), number([3 - c for c in w[::-1]]))) for i in range(300 - k + 1) if max(w := bases[i : i + k].tolist()) < 4]
+        assert list(zip(at.tolist(), code.tolist(), strict=True)) == want
+    codes = np.append(np.random.default_rng(6).integers(0, 1 << 62, 50), 0)
+    rows = spark.createDataFrame([(int(c),) for c in codes], "c long").select(sketches.code_hash(F.col("c"))).collect()
+    assert sketches.hashed_codes(codes).tolist() == [r[0] for r in rows]
+
+
+def test_sketch_moves_no_kmers(spark):
+    """A task leaves the smallest hashes of its sequences, not a row for each k-mer, and loses none when it holds many keys."""
+    import random
+
+    from strandlake.operators import kmers, sketches
+
+    rng = random.Random(4)
+    rows = [(f"f{i % 7}" if i % 11 else None, "".join(rng.choice("ACGTN") if rng.random() < 0.02 else rng.choice("ACGT") for _ in range(3000))) for i in range(60)]
+    df = spark.createDataFrame(rows, "file string, seq string").repartition(3)
+    made = sketches.minhash_sketch(df, 15, 200)
+    want = {}
+    for r in kmers.packed_counts(df, 15, keep=("file",)).select("file", sketches.code_hash("code").alias("h")).collect():
+        want.setdefault(r.file, []).append(r.h)
+    assert sorted(map(tuple, made.collect()), key=repr) == sorted(((f, h) for f, x in want.items() for h in sorted(x)[:200]), key=repr)
+    assert "HashAggregate" not in made._jdf.queryExecution().toString()
