@@ -122,3 +122,23 @@ def test_sketch_moves_no_kmers(spark):
         want.setdefault(r.file, []).append(r.h)
     assert sorted(map(tuple, made.collect()), key=repr) == sorted(((f, h) for f, x in want.items() for h in sorted(x)[:200]), key=repr)
     assert "HashAggregate" not in made._jdf.queryExecution().toString()
+
+
+def test_sections_over_stretches(spark):
+    """Sections that begin in another stretch than their lines, end in one, or go on over several; against a loop over the lines."""
+    from strandlake.operators import reports
+
+    n, rng = reports.LINES, __import__("random").Random(3)
+    places = sorted({0, 1, n - 1, n, n + 1, 3 * n, 3 * n + 7, 9 << 32, *(rng.randrange(6 * n) for _ in range(400))})
+    rows = [(f, p, rng.choice(["== A ==", "", "x", "y", "z", "== B C ==", " "] if rng.random() < 0.3 else ["x"])) for f in ("f", "g", None) for p in places]
+    want, at = [], {}
+    for f, p, line in rows:
+        if line.startswith("=="):
+            at[f] = line[3:-3]
+        elif not line.strip():
+            at[f] = ""
+        elif at.get(f):
+            want.append((f, p, line, at[f]))
+    made = reports.sections(spark.createDataFrame(rows, "file string, line_no long, line string"))
+    assert sorted(map(tuple, made.collect()), key=repr) == sorted(want, key=repr)
+    assert "stretch" in made._jdf.queryExecution().optimizedPlan().toString()
