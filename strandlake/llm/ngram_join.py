@@ -332,12 +332,12 @@ def _across(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     salted = each.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     dealt = lists.withColumn("salt", F.pmod(F.xxhash64("k"), F.lit(SALTS).cast("long"))).join(salted, ["h", "c", "salt"]).drop("salt").join(rest, "h")
     dealt = dealt.withColumns({"g": F.when(own, F.col("c")).otherwise(-1), "i": F.when(own, F.pmod(F.xxhash64("k"), F.ceil(F.col("s") / BLOCK))).otherwise(F.pmod(F.xxhash64("c"), F.ceil(F.col("rest") / BLOCK)))})
-    dealt = dealt.join(texts.select("k", "sign"), "k").select("h", "g", "i", "k", "c", "n", "pos", "sign")
+    dealt = materialise(dealt.select("h", "g", "i", "k", "c", "n", "pos"), "dealt")
     blocks = dealt.groupBy("h", "g", "i").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     x, y = (blocks.select("h", *[F.col(v).alias(u + v) for v in ("g", "i", "low", "high")]) for u in "xy")
     met = x.join(y, "h").where("(xg < yg or (xg = yg and xi <= yi)) and not (xg = yg and xg >= 0)")
-    met = met.where(f"100 * xhigh >= {percent} * ylow and 100 * yhigh >= {percent} * xlow").select("h", "xg", "xi", "yg", "yi")
-    met = met.withColumnRenamed("h", "list")
+    met = met.where(f"100 * xhigh >= {percent} * ylow and 100 * yhigh >= {percent} * xlow").select(F.col("h").alias("list"), "xg", "xi", "yg", "yi")
+    met, dealt = materialise(met, "blocks"), dealt.join(texts.select("k", "sign"), "k")
     within = lambda side: (F.col("h") == F.col("list")) & (F.col("g") == F.col(side + "g")) & (F.col("i") == F.col(side + "i"))
     left = dealt.join(met, within("x")).withColumn("side", F.lit(0))
     right = dealt.join(met.where("not (xg = yg and xi = yi)"), within("y")).withColumn("side", F.lit(1))
@@ -357,7 +357,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     """
     profiles = _profiles(docs, n)
     own = profiles.where("part = -1").select("doc_id", "n", "k")
-    classes = own.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+    classes = materialise(own.where("n > 0").groupBy("k").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies")), "classes")
     met = _meetings(docs, _sketch(profiles), n, percent)
     pairs, lists = met.where("b is not null").select("a", "b").distinct(), met.where("b is null").select("h", F.col("a").alias("k"), "n", "pos")
     needed = met.select(F.explode(F.array_compact(F.array("a", "b"))).alias("k")).distinct()
@@ -365,17 +365,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
 
     verifier = _Verifier(texts, n, percent)
     found = connected_components(verifier.links(pairs))
-    if not lists.isEmpty():
-        as_links = lambda: found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        for turn in range(NEIGHBOUR_ROUNDS):
-            lists = _mixed(lists, found)
-            found = connected_components(verifier.links(_neighbours(lists, turn, percent)).unionByName(as_links()))
-        last = _across(_mixed(lists, found), texts, percent)
-        found = connected_components(verifier.links(last, filtered=True).unionByName(as_links()))
+    for turn in range(NEIGHBOUR_ROUNDS + 1):
+        if lists.isEmpty() or (lists := _mixed(lists, found)).isEmpty():
+            break  # every list is of one component
+        fresh = verifier.links(_neighbours(lists, turn, percent)) if turn < NEIGHBOUR_ROUNDS else verifier.links(_across(lists, texts, percent), filtered=True)
+        found = connected_components(fresh.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
 
     named = classes.join(found.withColumnRenamed("id", "k"), "k").groupBy("component").agg(F.min("first_id").alias("least"))
     label = found.join(named, "component").select(F.col("id").alias("k"), "least")
-    each = classes.join(label, "k", "left").select("k", "copies", F.coalesce("least", "first_id").alias("least"))
+    each = materialise(classes.join(label, "k", "left").select("k", "copies", F.coalesce("least", "first_id").alias("least")), "named")
     # Classes with a thousandth of all rows or more, a thousand at most, would be hot keys.
     large = F.broadcast(each.where(F.col("copies") * 1000 >= own.count()).select("k", "least"))
     joined = own.join(large, "k").unionByName(own.join(large, "k", "left_anti").join(each.select("k", "least"), "k", "left"))

@@ -88,3 +88,19 @@ def test_one_of_each_keeps_a_defined_row(spark):
     got = sorted((r.doc_id is None, r.doc_id or 0, r.source) for r in one_of_each(docs.repartition(3)).collect())
     assert got == [(False, 1, "a"), (False, 3, "f"), (True, 0, "d"), (True, 0, "e")]
     assert one_of_each(docs.limit(0)).count() == 0
+
+
+def test_components_broadcast_nothing(spark):
+    """A driver that runs many rounds has no broadcast of each: its joins are merge joins, however small the tables are."""
+    from strandlake.llm.components import connected_components
+
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    links = spark.createDataFrame([(i + 1, i) for i in range(20)] + [(40, 41), (50, 50)], "a long, b long")
+    got = {tuple(r) for r in connected_components(links).collect()}
+    assert got == {(i, 0) for i in range(21)} | {(40, 40), (41, 40)}
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    plans = store.executionsList()
+    said = [plans.apply(i).physicalPlanDescription() for i in range(before, plans.size())]
+    assert any("SortMergeJoin" in x for x in said) and not any("BroadcastHashJoin" in x for x in said)
+    assert connected_components(links.limit(0)).count() == 0
