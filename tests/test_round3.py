@@ -142,3 +142,28 @@ def test_sections_over_stretches(spark):
     made = reports.sections(spark.createDataFrame(rows, "file string, line_no long, line string"))
     assert sorted(map(tuple, made.collect()), key=repr) == sorted(want, key=repr)
     assert "stretch" in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize(("k", "least"), [(3, 1), (21, 1), (31, 2)])
+def test_counts_travel_in_blocks(spark, monkeypatch, k, least):
+    """k-mers of several tasks and chunks meet in their bucket; the shuffle has a row for each block, and nothing aggregates rows of k-mers."""
+    import random
+    from collections import Counter
+
+    from strandlake.operators import kmers as km
+
+    monkeypatch.setattr(km, "SORTED", 500)
+    r = random.Random(k)
+    base = "".join(r.choice("ACGT") for _ in range(700))
+    rows = [(None if i % 5 == 0 else f"f{i % 3}", base[a : a + 300] + r.choice("Nn") + base[: r.randrange(90)].lower()) for i in range(40) if (a := r.randrange(400)) >= 0] + [("f1", None), (None, "")]
+    want = Counter()
+    for name, seq in rows:
+        seq = (seq or "").upper()
+        for x in (seq[i : i + k] for i in range(len(seq) - k + 1)):
+            if "N" not in x:
+                want[name, min(x, x[::-1].translate(str.maketrans("ACGT", "TGCA")))] += 1
+    got = km.packed_counts(spark.createDataFrame(rows, "file string, seq string").repartition(4), k, least, ("file",))
+    assert "Aggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    spelled = got.select("file", km.spelled(got["code"], k).alias("kmer"), "n").collect()
+    assert len(spelled) == len({(x.file, x.kmer) for x in spelled})
+    assert {(x.file, x.kmer): x.n for x in spelled} == {g: n for g, n in want.items() if n >= least}
