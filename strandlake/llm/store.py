@@ -4,19 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.scratch import shared_dir
+from ..sources.scratch import materialise, shared_dir
 
 __all__ = ["materialise", "materialise_by", "partitions", "shared_dir"]
 
 
-def materialise(df: DataFrame, name: str = "table") -> DataFrame:
-    """Writes df once to the shared folder and reads it from there, which cuts its lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def materialise_by(df: DataFrame, key: str, name: str = "table") -> DataFrame:
     """materialise(), with the rows in as many files by the hash of key as there are shuffle partitions: a join by key moves the other side alone."""
     spark = df.sparkSession

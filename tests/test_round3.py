@@ -167,3 +167,44 @@ def test_counts_travel_in_blocks(spark, monkeypatch, k, least):
     spelled = got.select("file", km.spelled(got["code"], k).alias("kmer"), "n").collect()
     assert len(spelled) == len({(x.file, x.kmer) for x in spelled})
     assert {(x.file, x.kmer): x.n for x in spelled} == {g: n for g, n in want.items() if n >= least}
+
+
+def test_methylation_counts_in_tiles(spark, monkeypatch):
+    """Calls against a loop over the bases, nulls and short lists too; neither a base nor a call is a row."""
+    import random
+    import re
+    from collections import Counter
+
+    from strandlake.operators import pileup
+    from strandlake.operators.calls import methyl_pileup
+
+    monkeypatch.setattr(pileup, "CHUNK", 300)
+    monkeypatch.setattr(pileup, "HELD", 2)
+    r, rows, want = random.Random(8), [], Counter()
+    for _ in range(150):
+        n = r.randrange(60)
+        seq = "".join(r.choice("ACGTCGCGcgN" + "é" * (n % 9 == 0)) for _ in range(n))
+        cigar = "".join(f"{r.randrange(15)}{r.choice('MIDNSHP=XMMM')}" for _ in range(r.randrange(6)))
+        mm = r.choice([None, "", "A+a,0;", "C+m," + ",".join(str(r.randrange(3)) for _ in range(r.randrange(6))) + ";"])
+        ml = None if r.random() < 0.2 else [r.choice([0, 100, 127, 128, 204, 205, 255, None]) for _ in range(r.randrange(6))]
+        rows.append((r.choice(["a", "b", None]), r.choice([1, 250, 10**10, None]), r.choice("++-") if r.random() < 0.9 else None, r.choice([cigar, cigar, cigar, None]), r.choice([seq, seq, seq, None]), mm, ml))
+        contig, pos, strand, cigar, seq, mm, ml = rows[-1]
+        seq, place, q, t = (seq or "").upper(), {}, 0, 0
+        for k, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar or ""):
+            if op in "M=X":
+                place |= {q + i: t + i for i in range(int(k))}
+            q, t = q + int(k) * (op in "MIS=X"), t + int(k) * (op in "MDN=X")
+        own = [i for i, c in enumerate(seq) if c == ("G" if strand == "-" else "C")][:: -1 if strand == "-" else 1]
+        skips = [int(x) for x in mm[4:-1].split(",") if x] if (mm or "").startswith("C+m,") else []
+        named = {sum(skips[: k + 1]) + k: k for k in range(len(skips))}
+        for k, i in enumerate(own):
+            beside = i > 0 and seq[i - 1] == "C" if strand == "-" else seq[i + 1 : i + 2] == "G"
+            p = 0 if k not in named else (ml[named[k]] + 0.5) / 256 if ml and named[k] < len(ml) and ml[named[k]] is not None else None
+            if beside and i in place and p is not None and (p >= 0.8 or p <= 0.5):
+                want[contig, None if pos is None else pos - 1 + place[i] - (strand == "-"), p >= 0.8] += 1
+    df = spark.createDataFrame(rows, "contig string, pos long, strand string, cigar string, seq string, mm string, ml array<int>").repartition(2)
+    made = methyl_pileup(df)
+    got = {(x.contig, x.pos): (x.coverage, x.modified, x.percent) for x in made.collect()}
+    keys = {k[:2] for k in want}
+    assert len(keys) > 50 and got == {k: (n := want[*k, True] + want[*k, False], want[*k, True], 100 * want[*k, True] / n) for k in keys}
+    assert "Generate" not in made._jdf.queryExecution().optimizedPlan().toString()
