@@ -208,3 +208,23 @@ def test_methylation_counts_in_tiles(spark, monkeypatch):
     keys = {k[:2] for k in want}
     assert len(keys) > 50 and got == {k: (n := want[*k, True] + want[*k, False], want[*k, True], 100 * want[*k, True] / n) for k in keys}
     assert "Generate" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_phasing_tables_make_each_side_once(spark, monkeypatch):
+    """Equal stretches of cs strings as a loop finds them; pairs are read once, and the alignments come from a written table."""
+    from strandlake.operators import assembly as am
+    from strandlake.plans import workflows as wf
+
+    assert am.equal_stretches(":5*ac:7+acg:9-tt:6", 6) == [(13, 13, 7), (25, 22, 9), (31, 30, 6)]
+    assert am.equal_stretches(None, 1) == am.equal_stretches("", 1) == []
+    pairs = spark.createDataFrame([("a", 100, 10, "b", 90, 5, ":20*ac:30+gg:5"), ("a", 100, 10, "b", 90, 5, ":20*ac:30+gg:5"), ("a", 100, 0, "b", 90, 0, None)], "query string, query_length long, query_start long, target string, target_length long, target_start long, cs string")
+    found = am.homozygous_regions(pairs, 20, 3)
+    assert sorted(map(tuple, found.collect())) == [("a", 7, 33, "b", 2, 28), ("a", 28, 64, "b", 23, 59)]
+    both = am.stack_haplotype_intervals(found)
+    assert sorted(map(tuple, both.collect())) == [("a", 7, 33), ("a", 28, 64), ("b", 2, 28), ("b", 23, 59)]
+    assert "Union" not in both._jdf.queryExecution().optimizedPlan().toString()
+    written = []
+    monkeypatch.setattr(wf, "materialise", lambda df, name: written.append(name) or df)
+    records = spark.createDataFrame([("r1", 0, "a", 20, 7, "10M", "NM:i:0"), ("r2", 0, "a", 65, 7, "10M", "NM:i:0"), ("r3", 0, "b", 20, 7, "10M", "NM:i:9")], "read_id string, flag int, contig string, pos long, mapq int, cigar string, tags string")
+    out = wf.polish_phasing_tables(pairs, records, 20, 3, 0.5)
+    assert sorted((r.read_id, r.mapq) for r in out.collect()) == [("r1", 60), ("r2", 7)] and written == ["regions", "good"]
