@@ -228,3 +228,19 @@ def test_phasing_tables_make_each_side_once(spark, monkeypatch):
     records = spark.createDataFrame([("r1", 0, "a", 20, 7, "10M", "NM:i:0"), ("r2", 0, "a", 65, 7, "10M", "NM:i:0"), ("r3", 0, "b", 20, 7, "10M", "NM:i:9")], "read_id string, flag int, contig string, pos long, mapq int, cigar string, tags string")
     out = wf.polish_phasing_tables(pairs, records, 20, 3, 0.5)
     assert sorted((r.read_id, r.mapq) for r in out.collect()) == [("r1", 60), ("r2", 7)] and written == ["regions", "good"]
+
+
+def test_matched_calls_are_written_once(spark, monkeypatch):
+    """The calls' ranges are sought once: what later steps read again comes from written tables."""
+    from strandlake.operators import haplotypes as hp
+
+    runs = spark.sparkContext.accumulator(0)
+    seen = []
+    real = hp.materialise
+    monkeypatch.setattr(hp, "materialise", lambda df, name: seen.append(name) or real(df, name))
+    reference = spark.createDataFrame([("c", "ACGTTTTTACGA")], "name string, seq string").mapInArrow(lambda batches: (runs.add(b.num_rows) or b for b in batches), "name string, seq string")
+    truth = spark.createDataFrame([("c", 4, "T", "TT"), ("c", 10, "C", "G")], "contig string, pos long, ref string, alt string")
+    query = spark.createDataFrame([("c", 7, "T", "TT"), ("c", 11, "G", "A")], "contig string, pos long, ref string, alt string")
+    out = hp.match_calls(truth, query, reference)
+    assert sorted((r.pos, r.side, r.matched) for r in out.collect()) == [(4, "truth", True), (7, "query", True), (10, "truth", False), (11, "query", False)]
+    assert runs.value == 1 and seen == ["reference", "calls", "near", "good", "segments"]
