@@ -33,8 +33,10 @@ def keep_rows(docs: DataFrame, decide) -> DataFrame:
     """
     import pyarrow as pa
 
+    from .runs import tidy
     from .words import slices
 
+    @tidy
     def choose(batches):
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .labelled import PER_CLASS, training_rows
+from .runs import tidy
 from .words import mix, slices, split
 
 PASSAGE = 48
@@ -133,6 +134,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLAS
     ignored. Without documents of both labels the model scores everything 0.5.
     """
 
+    @tidy
     def measure(batches):
         for batch in batches:
             for a, b in slices(batch.column(1)):
@@ -153,6 +155,7 @@ def classify(docs: DataFrame, model: AttentionModel, threshold: float = 0.3) ->
     """
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
+    @tidy
     def judge(batches):
         for batch in batches:
             for a, b in slices(batch.column(1)):

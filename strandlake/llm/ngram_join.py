@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .runs import runs
+from .runs import runs, tidy
 from .store import materialise, partitions
 from .words import mix, shingle_sets, slices
 
@@ -55,6 +55,7 @@ def _set_key(s: np.ndarray) -> int:
 def _profiles(docs: DataFrame, n: int) -> DataFrame:
     """One pass: (part = -1, doc_id, n, k) per document and (part >= 0, blob) per slice of a task's counters."""
 
+    @tidy
     def measure(batches):
         size = 1 << SKETCH_BITS
         counts, waiting, held = np.zeros(size, np.uint32), [], 0
@@ -131,6 +132,7 @@ def _meetings(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> Data
     def parts_of(h: np.ndarray) -> np.ndarray:
         return shared.value[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int64) // hot + 1
 
+    @tidy
     def emit(batches):
         counts = shared.value
         h, k, pos, size, held, seen = [], [], [], [], 0, set()
@@ -164,6 +166,7 @@ def _meetings(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> Data
         none = pa.nulls(len(a), pa.int64())
         return pa.record_batch([pa.array(a), none if b is None else pa.array(b), none if h is None else pa.array(h), *[pa.nulls(len(a), pa.int32()) if x is None else pa.array(x.astype(np.int32)) for x in (size, pos)]], names=["a", "b", "h", "n", "pos"])
 
+    @tidy
     def meet(batches):
         kept = [np.zeros(0, np.int64) for _ in range(4)]  # the list at the end of a batch, which may go on
         long = None  # (h, deal, last k) of a long list that was sent so far as it is known
@@ -219,6 +222,7 @@ def _meetings(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> Data
 def _signed_texts(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     """(k, n, sign, text): a whole text of some classes and the sizes of its set's ranges. Texts are smaller than their sets."""
 
+    @tidy
     def build(batches):
         for batch in batches:
             for a, b in slices(batch.column(1)):
@@ -254,6 +258,7 @@ class _Verifier:
         """The pairs (a, b), not compared before, with 100 * intersection >= percent * union over whole sets."""
         n, percent, texts = self.n, self.percent, self.texts
 
+        @tidy
         def suffix(batches):
             for batch in batches:
                 for k in range(0, batch.num_rows, 20_000):
@@ -262,6 +267,7 @@ class _Verifier:
                     both = part.column("an").to_numpy().astype(np.int64) + part.column("bn").to_numpy()
                     yield part.select(["a", "b"]).filter(pa.array((100 + percent) * apart <= (100 - percent) * both))
 
+        @tidy
         def compare(batches):
             for batch in batches:
                 for i, j in slices(batch.column(2)):
@@ -310,6 +316,7 @@ def _across(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of the lists' entries in different components that pass the filters. A component with a block's
     entries or more in a list has blocks of its own there; a task compares two blocks."""
 
+    @tidy
     def compare(batches):
         for run in runs(batches, ["h", "xg", "xi", "yg", "yi"]):
             k, c, size, pos, side = (run.column(x).to_numpy() for x in ("k", "c", "n", "pos", "side"))

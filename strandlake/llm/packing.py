@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .runs import tidy
+
 #: Ids of a batch of pieces at most, unless one document has more: their bytes stay below what 32-bit offsets reach.
 BATCH_IDS = 100_000_000
 
@@ -45,6 +47,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, max_len: in
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("doc_tokens", T.LongType())])
 
+    @tidy
     def pack(batches):
         from .tokenise import encoder, text_slices, with_end
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .labelled import PER_CLASS, training_rows
+from .runs import tidy
 from .words import grams, slices, split
 
 SYMBOLS = np.zeros(256, bool)
@@ -143,6 +144,7 @@ def fit_rules(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     width = len(FEATURES)
     schema = T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("y", T.LongType()), *[T.StructField(f, T.DoubleType()) for f in FEATURES]])
 
+    @tidy
     def measure(batches):
         for batch in batches:
             for a, b in slices(batch.column(1)):
@@ -175,6 +177,7 @@ def apply_rules(docs: DataFrame, forest: Forest, keep: float = KEEP, min_words:
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", kind), *[T.StructField(c, T.LongType()) for c in BASE], T.StructField("base_failed", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType())])
 
+    @tidy
     def judge(batches):
         for batch in batches:
             for a, b in slices(batch.column(1)):

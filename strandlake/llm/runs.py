@@ -1,13 +1,38 @@
-"""Streaming over sorted Arrow batches."""
+"""Streaming over Arrow batches."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 
+def give_back() -> None:
+    """Returns the memory that this process has freed, but its allocators keep, to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
+def tidy(task):
+    """A mapInArrow function that gives freed memory back when its task ends. Workers are used again by later stages: what each keeps
+    would lie beside the executor's heap from then on."""
+
+    @functools.wraps(task)
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def runs(batches, keys: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows with equal keys, which lie side by side in the sorted batches, as one batch each; keys hold no nulls.
 
